@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyloft import schemas as S
 from tallyloft.operators.joins import attach
@@ -19,6 +20,10 @@ TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 BASE_RATES = [("USD", 1000), ("CAD", 1300), ("GBP", 800), ("AUD", 1500), ("EUR", 900)]
 
 
+# Schemas by path, so that only the first query over a table reads a footer to plan.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
@@ -28,9 +33,15 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = configure(spark), sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def load(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:
+            path = f"{self.dir}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._tables[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return self._tables[name]
 
     # ---- bronze -------------------------------------------------------------------------
 
@@ -167,8 +178,8 @@ class Inputs:
         return self.events_of(self.load("events"))
 
     def event_stream(self) -> DataFrame:
-        schema = self.load("events").schema
-        return bronze.file_stream(self.spark, self.dir, schema, pathGlobFilter="events.parquet")
+        # A pattern, because a stream takes a folder or a pattern and the table may be a single file.
+        return bronze.file_stream(self.spark, f"{self.dir}/event[s].parquet", self.load("events").schema)
 
     def frames_of(self, events: DataFrame, seed_defects: bool = False) -> DataFrame:
         """Sales events as framed messages; ``seed_defects`` spoils some of them in five ways."""
@@ -180,7 +191,8 @@ class Inputs:
                 "event_timestamp": F.when(eid % 73 == 0, "yesterday").otherwise(F.col("event_timestamp")),
             })
         payload = F.to_json(F.struct(*S.SALES_EVENT.names))
-        value = decode.frame(payload)
+        sales = sales.select("*", decode.once(decode.frame(payload), "framed"))
+        value = F.col("framed")
         if seed_defects:
             value = (
                 F.when(eid % 97 == 0, F.substring(value, 1, 3))
@@ -188,7 +200,7 @@ class Inputs:
                 .when(eid % 83 == 0, F.substring(value, F.lit(1), F.floor(F.length(value) / 2).cast("int")))
                 .otherwise(value)
             )
-        return sales.select(F.col("order_serial").alias("key"), value.alias("value"), "arrived_at")
+        return sales.select(F.col("order_serial").alias("key"), decode.once(value, "value"), "arrived_at")
 
     @cached_property
     def event_stores(self) -> DataFrame:
@@ -233,19 +245,45 @@ class Inputs:
         return dims.stores(silver.stores(self.stores), self.rows["supplier"])
 
     @cached_property
-    def star(self) -> facts.Star:
+    def bounds(self) -> tuple:
+        return tuple(self.days.first())
+
+    @cached_property
+    def known_days(self) -> DataFrame:
+        """The bounds as literals, so that a calendar used twice does not read the orders twice."""
+        first, after = self.bounds
+        return self.spark.sql(f"SELECT DATE'{first}' AS start, DATE'{after}' AS end")
+
+    def _star(self, product: DataFrame, store: DataFrame, customer: DataFrame, rates: DataFrame, date: DataFrame) -> facts.Star:
         return facts.Star(
-            sales=self.silver_sales, product=self.dim_product, store=self.dim_stores, customer=self.dim_customer,
-            rates=dims.exchange_rates(self.silver_rates, self.rows["rates"]), date=dims.date(self.days),
+            sales=self.silver_sales, product=product, store=store, customer=customer, rates=rates, date=date,
             rows={"product": self.rows["part"], "store": self.rows["supplier"], "customer": self.rows["customer"],
                   "rates": self.rows["rates"], "date": self.rows["days"]})
 
+    @cached_property
+    def star(self) -> facts.Star:
+        return self._star(
+            self.dim_product, self.dim_stores, self.dim_customer,
+            dims.exchange_rates(self.silver_rates, self.rows["rates"]), dims.date(self.known_days))
+
     @cached_property
     def star_compat(self) -> facts.Star:
-        star = self.star
-        return facts.Star(
-            star.sales, star.product, star.store, star.customer,
-            dims.exchange_rates_compat(self.silver_rates, self.rows["rates"]), dims.date_compat(self.days), star.rows)
+        return self._star(
+            self.dim_product, self.dim_stores, self.dim_customer,
+            dims.exchange_rates_compat(self.silver_rates, self.rows["rates"]), dims.date_compat(self.known_days))
+
+    @cached_property
+    def natural_star(self) -> facts.Star:
+        """For marts, which never look at surrogate keys: the dimensions as they are before numbering."""
+        def unkeyed(dim: DataFrame, key: str) -> DataFrame:
+            return dim.withColumn(key, F.lit(None).cast("bigint"))
+
+        return self._star(
+            unkeyed(dims.product_columns(silver.products(self.products)), "product_sk"),
+            unkeyed(dims.store_columns(silver.stores(self.stores)), "store_sk"),
+            unkeyed(dims.customer_columns(silver.customers(self.customers)), "customer_sk"),
+            unkeyed(dims.rate_columns(self.silver_rates), "exchange_sk"),
+            dims.date(self.known_days))
 
 
 class _Counts(dict):
@@ -257,7 +295,7 @@ class _Counts(dict):
 
     def __missing__(self, name: str) -> int:
         if name in ("rates", "days"):
-            first, after = self.inputs.days.first()
+            first, after = self.inputs.bounds
             days = (after - first).days
             self.update(days=days, rates=days * len(BASE_RATES))
         else:

@@ -412,7 +412,7 @@ sql("hot_items_by_country", f"""SELECT {_HOT_FIXED} FROM hot_items WHERE store_c
   OR (store_country LIKE 'NATION_%' AND CAST(substr(store_country, 8) AS INTEGER) % 2 = 0)""")
 sql("hot_items_recent", f"SELECT {_HOT} FROM hot_items ORDER BY event_ts DESC, store_country, order_serial LIMIT 50")
 sql("hot_items_by_channel", f"SELECT {_HOT} FROM hot_items WHERE sales_channel = 'Online'")
-sql("hot_items_by_city", f"SELECT {_HOT} FROM hot_items WHERE store_city = 'STATE_19'")
+sql("hot_items_by_city", f"SELECT {_HOT} FROM hot_items WHERE store_city = 'Online'")
 sql("mart_total_revenue", "SELECT CAST(sum(price_total) AS DOUBLE) AS revenue FROM in_range")
 sql("mart_top_products", """SELECT product_name, CAST(sum(quantity) AS BIGINT) AS units FROM in_range GROUP BY product_name
        ORDER BY units DESC, product_name NULLS FIRST LIMIT 10""")

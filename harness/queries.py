@@ -162,22 +162,22 @@ def dim_stores(x):
 
 @query
 def dim_exchange_rates(x):
-    return x.star.rates
+    return dims.exchange_rates(x.silver_rates, x.rows["rates"])
 
 
 @query
 def dim_exchange_rates_compat(x):
-    return x.star_compat.rates
+    return dims.exchange_rates_compat(x.silver_rates, x.rows["rates"])
 
 
 @query
 def dim_date(x):
-    return x.star.date
+    return dims.date(x.days)
 
 
 @query
 def dim_date_compat(x):
-    return x.star_compat.date
+    return dims.date_compat(x.days)
 
 
 @query
@@ -225,8 +225,8 @@ def fact_product_sales_compat(x):
 @query
 def fx_asof_sales(x):
     last = F.lit("2001-12-31").cast("date")
-    rates = x.star.rates.select("currency_code", "date_key", "rate")
-    lines = attach(x.silver_sales, x.dim_product.select("product_key", "unit_price_usd"), "product_key",
+    rates = x.natural_star.rates.select("currency_code", "date_key", "rate")
+    lines = attach(x.silver_sales, x.natural_star.product.select("product_key", "unit_price_usd"), "product_key",
                    rows=x.rows["part"])
     lines = lines.withColumn("price_usd", F.col("unit_price_usd") * F.col("quantity"))
     done = fx.normalise(lines, fx.daily_rates(rates, last), ["price_usd"])
@@ -238,16 +238,16 @@ def fx_asof_sales(x):
 
 
 def _orders(x: Inputs) -> DataFrame:
-    return facts.order_measures(x.star)
+    return facts.order_measures(x.natural_star)
 
 
 def _products(x: Inputs) -> DataFrame:
-    return facts.product_measures(x.star, "product_name", "brand", "category")
+    return facts.product_measures(x.natural_star, "product_name", "brand", "category")
 
 
 @query
 def mart_shipping(x):
-    return gold.shipping(_orders(x), x.dim_stores, x.rows["supplier"])
+    return gold.shipping(_orders(x), x.natural_star.store, x.rows["supplier"])
 
 
 @query
@@ -267,17 +267,17 @@ def mart_top_brands(x):
 
 @query
 def mart_demographics(x):
-    return gold.demographics(_orders(x), x.dim_customer, as_of())
+    return gold.demographics(_orders(x), x.natural_star.customer, as_of())
 
 
 @query
 def mart_store_performance(x):
-    return gold.store_performance(_orders(x), x.dim_stores, x.rows["supplier"])
+    return gold.store_performance(_orders(x), x.natural_star.store, x.rows["supplier"])
 
 
 @query
 def mart_channel_geo(x):
-    return gold.channel_geography(_orders(x), x.dim_stores, x.rows["supplier"])
+    return gold.channel_geography(_orders(x), x.natural_star.store, x.rows["supplier"])
 
 
 @query
@@ -464,7 +464,7 @@ def hot_items_by_channel(x):
 
 @query
 def hot_items_by_city(x):
-    return hot.at(_hot_items(x), store_city="STATE_19")
+    return hot.at(_hot_items(x), store_city="Online")
 
 
 @query
@@ -543,7 +543,7 @@ def dq_referential(x):
     found = [
         Q.orphans(sales, fk, dim, fk).select(F.lit(fk).alias("fk"), F.col("key_value").cast("string").alias("key_value"), "row_count")
         for fk, dim in checks]
-    rates = Q.missing_rates(sales, x.star.rates).select(
+    rates = Q.missing_rates(sales, x.natural_star.rates).select(
         F.lit("exchange_rate").alias("fk"), F.concat_ws("/", "currency_code", "date_key").alias("key_value"), "row_count")
     out = rates
     for part in found:
@@ -608,7 +608,7 @@ def _checks(x: Inputs) -> DataFrame:
         Q.finding("silver_sales", "not_null", "keys", nulls),
         Q.finding("silver_sales", "referential", "product_key", Q.orphans(sales, "product_key", products, "product_key")),
         Q.finding("silver_sales", "referential", "customer_key", Q.orphans(sales, "customer_key", customers, "customer_key")),
-        Q.finding("silver_sales", "referential", "exchange_rate", Q.missing_rates(sales, x.star.rates)),
+        Q.finding("silver_sales", "referential", "exchange_rate", Q.missing_rates(sales, x.natural_star.rates)),
     ])
 
 

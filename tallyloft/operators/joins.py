@@ -24,30 +24,34 @@ SKETCH_ITEMS = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
-    """Keys holding at least ``share`` of the rows, with their share.
+    """Keys holding at least ``share`` of the rows, with their share; NULL counts as a key.
 
     One pass with a mergeable sketch: nothing is shuffled by the key itself. The answer only
     steers the salting, so an estimate is enough.
     """
     most = int(1 / share)
-    found = df.where(F.col(key).isNotNull()).agg(
+    found = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(`{key}`, {most}, {SKETCH_ITEMS})").alias("top"),
+        F.count_if(F.col(key).isNull()).alias("nulls"),
+        F.expr(f"approx_top_k(`{key}`, {most}, {SKETCH_ITEMS}) FILTER (WHERE `{key}` IS NOT NULL)").alias("top"),
     ).first()
-    if not found["n"]:
-        return {}
-    return {t["item"]: t["count"] / found["n"] for t in found["top"] if t["count"] >= share * found["n"]}
+    least = max(share * found["n"], 1)
+    hot = {t["item"]: t["count"] / found["n"] for t in found["top"] or [] if t["count"] >= least}
+    if found["nulls"] >= least:
+        hot[None] = found["nulls"] / found["n"]
+    return hot
 
 
 def _salted(big: DataFrame, unique: DataFrame, on: str, how: str, hot: dict) -> DataFrame:
     width = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = {k: max(2, math.ceil(share * width * 2)) for k, share in hot.items()}
+    key = F.col(on)
     spread = F.lit(1)
-    for value, n in salts.items():
-        spread = F.when(F.col(on) == F.lit(value), F.lit(n)).otherwise(spread)
+    for value, share in hot.items():
+        is_value = key.isNull() if value is None else key == F.lit(value)
+        spread = F.when(is_value, F.lit(max(2, math.ceil(share * width * 2)))).otherwise(spread)
     # The salt depends on the row's content alone, so a recomputed task sends each row the same way.
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), spread).cast("int"))
-    right = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+    right = unique.where(key.isNotNull()).withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
     return left.join(right, [on, "_salt"], how).drop("_salt")
 
 

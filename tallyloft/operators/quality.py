@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,10 +61,12 @@ def lost_row_contents(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.exceptAll(after.select(*before.columns))
 
 
-def domain_reason(domains: dict[str, list[str]], required: list[str]) -> Column:
+def domain_reason(
+    domains: dict[str, list[str]], required: list[str], field: Callable[[str], Column] = F.col
+) -> Column:
     """First reason a row breaks its contract, NULL for a sound row."""
-    checks = [F.when(F.col(c).isNull(), F.lit(f"{c} missing")) for c in required]
-    checks += [F.when(~F.col(c).isin(values), F.lit(f"{c} not allowed")) for c, values in domains.items()]
+    checks = [F.when(field(c).isNull(), F.lit(f"{c} missing")) for c in required]
+    checks += [F.when(~field(c).isin(values), F.lit(f"{c} not allowed")) for c, values in domains.items()]
     return F.coalesce(*checks)
 
 

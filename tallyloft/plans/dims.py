@@ -31,26 +31,22 @@ HOLIDAY_COUNTRIES = list(dict.fromkeys(rule[0] for rule in HOLIDAYS))
 CALENDAR_START, CALENDAR_END = "2015-01-01", "2021-12-31"
 
 
-def customer(silver: DataFrame, rows: int | None = None) -> DataFrame:
-    kept = silver.select(
-        "customer_key", "name", "gender", "city", "state", "country", "continent", "birthday")
-    return dense_key(kept, ["customer_key"], "customer_sk", rows)
+def customer_columns(silver: DataFrame) -> DataFrame:
+    return silver.select("customer_key", "name", "gender", "city", "state", "country", "continent", "birthday")
 
 
-def product_info(silver: DataFrame, rows: int | None = None) -> DataFrame:
-    kept = silver.select(
+def product_columns(silver: DataFrame) -> DataFrame:
+    return silver.select(
         "product_key", "product_name", "brand",
         F.col("unit_cost").alias("unit_cost_usd"), F.col("unit_price").alias("unit_price_usd"),
         "subcategory_key", "subcategory", "category_key", "category")
-    return dense_key(kept, ["product_key"], "product_sk", rows)
 
 
-def stores(silver: DataFrame, rows: int | None = None) -> DataFrame:
-    kept = silver.select("store_key", "state", "country", "square_meters", "open_date")
-    return dense_key(kept, ["store_key"], "store_sk", rows)
+def store_columns(silver: DataFrame) -> DataFrame:
+    return silver.select("store_key", "state", "country", "square_meters", "open_date")
 
 
-def _rates(silver: DataFrame) -> DataFrame:
+def rate_columns(silver: DataFrame) -> DataFrame:
     return silver.select(
         F.col("currency").alias("currency_code"),
         F.col("currency").alias("currency_name"),
@@ -59,14 +55,26 @@ def _rates(silver: DataFrame) -> DataFrame:
         "rate_date")
 
 
+def customer(silver: DataFrame, rows: int | None = None) -> DataFrame:
+    return dense_key(customer_columns(silver), ["customer_key"], "customer_sk", rows)
+
+
+def product_info(silver: DataFrame, rows: int | None = None) -> DataFrame:
+    return dense_key(product_columns(silver), ["product_key"], "product_sk", rows)
+
+
+def stores(silver: DataFrame, rows: int | None = None) -> DataFrame:
+    return dense_key(store_columns(silver), ["store_key"], "store_sk", rows)
+
+
 def exchange_rates(silver: DataFrame, rows: int | None = None) -> DataFrame:
     """Keys follow the calendar."""
-    return dense_key(_rates(silver), ["date_key", "currency_code"], "exchange_sk", rows).drop("rate_date")
+    return dense_key(rate_columns(silver), ["date_key", "currency_code"], "exchange_sk", rows).drop("rate_date")
 
 
 def exchange_rates_compat(silver: DataFrame, rows: int | None = None) -> DataFrame:
     """Keys follow the day-first text of the date, so they are not chronological."""
-    return dense_key(_rates(silver), ["rate_date", "currency_code"], "exchange_sk", rows).drop("rate_date")
+    return dense_key(rate_columns(silver), ["rate_date", "currency_code"], "exchange_sk", rows).drop("rate_date")
 
 
 def standard_bounds(any_df: DataFrame) -> DataFrame:

@@ -35,11 +35,10 @@ def body(value: Column) -> Column:
 
 
 def json_body(raw: Column) -> Column:
-    """JSON bodies; unreadable ones come out as NULL."""
+    """JSON bodies; an unreadable one is kept as text in an extra field."""
     schema = T.StructType(S.SALES_EVENT.fields + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(
+    return F.from_json(
         raw.cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return F.when(parsed[_CORRUPT].isNull(), parsed.dropFields(_CORRUPT))
 
 
 def avro_body(raw: Column) -> Column:
@@ -49,27 +48,34 @@ def avro_body(raw: Column) -> Column:
     return from_avro(raw, S.sales_event_avro(), {"mode": "PERMISSIVE"})
 
 
+def once(column: Column, name: str) -> Column:
+    """A one-row generator: the optimizer cannot copy ``column`` into each of its later uses."""
+    return F.explode(F.array(column)).alias(name)
+
+
 def decode(raw: DataFrame, read_body: BodyReader = json_body) -> DataFrame:
     """Keep the message columns, add ``event`` and ``reason`` (NULL for a usable message)."""
     value = F.col("value")
-    parsed = raw.withColumn("event", F.when(F.length(value) > HEADER_BYTES, read_body(body(value))))
-    fields = parsed.select("*", *[F.col(f"event.{f.name}").alias(f"_{f.name}") for f in S.SALES_EVENT.fields])
-    contract = domain_reason(
-        {f"_{name}": values for name, values in S.DOMAINS.items()}, [f"_{name}" for name in REQUIRED])
+    # The body is parsed once per message, not once per field that is read from it.
+    parsed = raw.select("*", once(F.when(F.length(value) > HEADER_BYTES, read_body(body(value))), "event"))
+    unreadable = F.col("event").isNull()
+    if _CORRUPT in parsed.schema["event"].dataType.names:
+        unreadable = unreadable | F.col(f"event.{_CORRUPT}").isNotNull()
+    contract = domain_reason(S.DOMAINS, REQUIRED, lambda name: F.col(f"event.{name}"))
     reason = (
         F.when(value.isNull() | (F.length(value) <= HEADER_BYTES), "short frame")
         .when(magic_byte(value) != "00", "wrong magic byte")
-        .when(F.col("event").isNull(), "unreadable body")
-        .when(contract.isNotNull(), F.ltrim(contract, F.lit("_")))
-        .when(event_time(F.col("_event_timestamp")).isNull(), "event_timestamp unreadable")
+        .when(unreadable, "unreadable body")
+        .when(contract.isNotNull(), contract)
+        .when(event_time(F.col("event.event_timestamp")).isNull(), "event_timestamp unreadable")
     )
-    return fields.withColumn("reason", reason).select(*raw.columns, "event", "reason")
+    return parsed.select("*", once(reason, "reason"))
 
 
 def good(decoded: DataFrame) -> DataFrame:
     """Usable events; message columns such as the arrival time stay beside the event fields."""
     carried = [c for c in decoded.columns if c not in ("value", "event", "reason", "key")]
-    return decoded.where("reason IS NULL").select(*carried, "event.*")
+    return decoded.where("reason IS NULL").select(*carried, *[f"event.{name}" for name in S.SALES_EVENT.names])
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
