@@ -30,6 +30,11 @@ def ndjson(spark: SparkSession, path: str, table: str) -> DataFrame:
     )
 
 
+def rejected_lines(raw: DataFrame) -> DataFrame:
+    """Lines that are no JSON object; the other columns stay, since Spark reads this one only beside them."""
+    return raw.where(F.col(CORRUPT).isNotNull())
+
+
 def typed(raw: DataFrame, table: str) -> DataFrame:
     """The declared columns of a bronze table, out of its raw lines."""
     if table == "customers":
