@@ -48,8 +48,7 @@ class Inputs:
     @cached_property
     def customers(self) -> DataFrame:
         key = F.col("c_custkey")
-        places = F.broadcast(self.load("nation").join(
-            F.broadcast(self.load("region")), F.col("n_regionkey") == F.col("r_regionkey")))
+        places = self.load("nation").join(self.load("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         return self.load("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
             key.alias("customerkey"),
             F.when(key % 2 == 0, "male").otherwise("female").alias("gender"),
@@ -89,8 +88,7 @@ class Inputs:
     def stores(self) -> DataFrame:
         key = F.col("s_suppkey")
         online = key == 0
-        return self.load("supplier").join(
-            F.broadcast(self.load("nation")), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        return self.load("supplier").join(self.load("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
             key.alias("storekey"),
             F.when(online, "Online").otherwise(F.col("n_name")).alias("country"),
             F.when(online, "Online").otherwise(F.concat(F.lit("STATE_"), F.col("n_nationkey"))).alias("state"),
@@ -123,8 +121,8 @@ class Inputs:
     @cached_property
     def sales(self) -> DataFrame:
         """Order lines; the currency follows the customer's region."""
-        regions = F.broadcast(self.load("nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), pick(S.CURRENCIES, F.col("n_regionkey")).alias("currency_code")))
+        regions = self.load("nation").select(
+            F.col("n_nationkey").alias("c_nationkey"), pick(S.CURRENCIES, F.col("n_regionkey")).alias("currency_code"))
         currency = self.load("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey").join(
             regions, "c_nationkey").select("o_custkey", "currency_code")
         orders = self.load("orders").select(

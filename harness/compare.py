@@ -1,4 +1,8 @@
-"""Run registered queries next to their SQL and report differences: ``python -m harness.compare [sf] [names...]``."""
+"""Run registered queries next to their SQL and report differences.
+
+``python -m harness.compare [--large] [sf] [names...]``; ``--large`` makes every size check answer "too big", so
+that joins shuffle or salt and keys are numbered range by range, as they would on large tables.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ import duckdb
 
 from harness.oracles import ORACLES
 from harness.queries import QUERIES
+from tallyloft.operators import joins, keys
 from tallyloft.session import build_session
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -68,11 +73,21 @@ def pairs(df, types: dict[str, str]) -> str:
     return "types differ: " + ", ".join(odd) if odd else ""
 
 
+def pretend_large() -> None:
+    joins.BROADCAST_ROWS = keys.ONE_TASK_ROWS = 0
+
+
 def main(argv: list[str]) -> int:
+    if "--large" in argv:
+        argv = [a for a in argv if a != "--large"]
+        pretend_large()
     sf = argv[0] if argv else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
     names = argv[1:] or list(QUERIES)
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+    if joins.BROADCAST_ROWS == 0:
+        settings["spark.sql.autoBroadcastJoinThreshold"] = "10000"
+    spark = build_session("compare", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = database(sf_dir), 0
     for name in names:

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloft.functions.scalar import local_amount, margin
-from tallyloft.operators.joins import BROADCAST_ROWS, attach
+from tallyloft.operators import joins
+from tallyloft.operators.joins import attach
 from tallyloft.operators.keys import dense_key
 
 ORDER_COLS = ["order_number", "customer_key", "store_key", "currency_code", "order_date"]
@@ -83,7 +84,7 @@ def _lines(star: Star) -> DataFrame:
     into the order aggregate. Otherwise the lines are summed per (order, product) before they travel.
     """
     rows = star.rows.get("product")
-    if rows is None or rows > BROADCAST_ROWS:
+    if rows is None or rows > joins.BROADCAST_ROWS:
         return _product_grain(star)
     return star.sales.select(
         *ORDER_COLS, "product_key", "quantity", F.lit(1).alias("line_count"),
