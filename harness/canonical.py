@@ -256,7 +256,12 @@ class Inputs:
         return facts.Star(
             sales=self.silver_sales, product=product, store=store, customer=customer, rates=rates, date=date,
             rows={"product": self.rows["part"], "store": self.rows["supplier"], "customer": self.rows["customer"],
-                  "rates": self.rows["rates"], "date": self.rows["days"]})
+                  "rates": self.rows["rates"], "date": self.rows["days"]},
+            hot_from={
+                "order_number": self.load("lineitem").select(F.col("l_orderkey").alias("order_number")),
+                "product_key": self.load("lineitem").select(F.col("l_partkey").alias("product_key")),
+                "customer_key": self.load("orders").select(F.col("o_custkey").alias("customer_key")),
+                "store_key": self.load("orders").select((F.col("o_custkey") % 10).alias("store_key"))})
 
     @cached_property
     def star(self) -> facts.Star:

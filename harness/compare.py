@@ -1,12 +1,13 @@
 """Run registered queries next to their SQL and report differences.
 
-``python -m harness.compare [--large] [sf] [names...]``; ``--large`` makes every size check answer "too big", so
+``python -m harness.compare [--large] [sf or folder] [names...]``; ``--large`` makes every size check answer "too big", so
 that joins shuffle or salt and keys are numbered range by range, as they would on large tables.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -46,6 +47,7 @@ def rows_of(columns, rows):
 
 def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     started = time.time()
+    spark.sparkContext.setJobGroup(name, name)
     df = QUERIES[name](spark, sf_dir)
     mine = [tuple(r) for r in df.collect()]
     took = time.time() - started
@@ -82,11 +84,16 @@ def main(argv: list[str]) -> int:
         argv = [a for a in argv if a != "--large"]
         pretend_large()
     sf = argv[0] if argv else "0.01"
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     names = argv[1:] or list(QUERIES)
     settings = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     if joins.BROADCAST_ROWS == 0:
         settings["spark.sql.autoBroadcastJoinThreshold"] = "10000"
+    if log := os.environ.get("COMPARE_EVENT_LOG"):
+        settings |= {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log, "spark.eventLog.compress": "false",
+                     "spark.eventLog.rolling.enabled": "false",
+                     # Small partitions stay apart, so that an uneven one can be seen.
+                     "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     spark = build_session("compare", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = database(sf_dir), 0

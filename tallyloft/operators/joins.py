@@ -13,27 +13,40 @@ Every way returns the same rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
+# For a unique side that grows with the data and is not worth counting.
+UNBOUNDED = 1 << 62
 # A key is hot from this share on, so at most 1 / HOT_SHARE keys can be hot.
 HOT_SHARE = 0.01
 SKETCH_ITEMS = 10_000
+# Pieces of hot rows per shuffle partition. Shares add up to at most one, so the unique side grows
+# by no more than this many rows per partition, however hot the keys are.
+PIECES = 8
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
-    """Keys holding at least ``share`` of the rows, with their share; NULL counts as a key.
+def _code(keys: list[str]) -> Column:
+    """One number per key, NULL when a part of the key is NULL (such a row has no partner)."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return F.when(whole, F.xxhash64(*keys))
+
+
+def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> dict[int | None, float]:
+    """Codes of the keys holding at least ``share`` of the rows, with their share; NULL counts as a key.
 
     One pass with a mergeable sketch: nothing is shuffled by the key itself. The answer only
-    steers the salting, so an estimate is enough.
+    steers the salting, so an estimate is enough, and two keys sharing a code do no harm.
     """
     most = int(1 / share)
-    found = df.agg(
+    found = df.select(_code(keys).alias("code")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(key).isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(`{key}`, {most}, {SKETCH_ITEMS}) FILTER (WHERE `{key}` IS NOT NULL)").alias("top"),
+        F.count_if(F.col("code").isNull()).alias("nulls"),
+        F.expr(f"approx_top_k(code, {most}, {SKETCH_ITEMS}) FILTER (WHERE code IS NOT NULL)").alias("top"),
     ).first()
     least = max(share * found["n"], 1)
     hot = {t["item"]: t["count"] / found["n"] for t in found["top"] or [] if t["count"] >= least}
@@ -42,17 +55,26 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
     return hot
 
 
-def _salted(big: DataFrame, unique: DataFrame, on: str, how: str, hot: dict) -> DataFrame:
+def _codes_agree(big: DataFrame, unique: DataFrame, keys: list[str]) -> bool:
+    """Codes are only comparable between columns of one type, and not at all for floating point."""
+    kinds = [(big.schema[k].dataType, unique.schema[k].dataType) for k in keys]
+    return all(a == b and not isinstance(a, (T.FloatType, T.DoubleType)) for a, b in kinds)
+
+
+def _salted(big: DataFrame, unique: DataFrame, keys: list[str], how: str, hot: dict[int | None, float]) -> DataFrame:
     width = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.col(on)
     spread = F.lit(1)
-    for value, share in hot.items():
-        is_value = key.isNull() if value is None else key == F.lit(value)
-        spread = F.when(is_value, F.lit(max(2, math.ceil(share * width * 2)))).otherwise(spread)
+    for code, share in hot.items():
+        is_hot = F.col("_code").isNull() if code is None else F.col("_code") == code
+        spread = F.when(is_hot, math.ceil(share * width * PIECES) + 1).otherwise(spread)
     # The salt depends on the row's content alone, so a recomputed task sends each row the same way.
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), spread).cast("int"))
-    right = unique.where(key.isNotNull()).withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
-    return left.join(right, [on, "_salt"], how).drop("_salt")
+    salt = F.pmod(F.xxhash64(*big.columns), spread).cast("int")
+    left = big.withColumn("_code", _code(keys)).withColumn("_salt", salt).drop("_code")
+    right = (
+        unique.withColumn("_code", _code(keys)).where("_code IS NOT NULL")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1))).drop("_code")
+    )
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def attach(
@@ -75,8 +97,9 @@ def attach(
     if rows <= max_broadcast:
         return big.join(F.broadcast(unique), on, how)
     keys = [on] if isinstance(on, str) else list(on)
-    if len(keys) == 1 and not big.isStreaming:
-        hot = hot_keys(big if hot_from is None else hot_from, keys[0])
+    # A stream cannot be searched for hot keys before it runs; foreachBatch hands over plain tables.
+    if not big.isStreaming and _codes_agree(big, unique, keys):
+        hot = hot_keys(big if hot_from is None else hot_from, keys)
         if hot:
-            return _salted(big, unique, keys[0], how, hot)
+            return _salted(big, unique, keys, how, hot)
     return big.join(unique, keys, how)

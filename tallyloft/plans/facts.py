@@ -6,7 +6,7 @@ where the greatest shipment or line stands for the whole order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,11 @@ ORDER_COLS = ["order_number", "customer_key", "store_key", "currency_code", "ord
 
 @dataclass
 class Star:
-    """What the facts are built from; ``rows`` holds upper bounds for the dimension sizes."""
+    """What the facts are built from.
+
+    ``rows`` holds upper bounds for the dimension sizes. ``hot_from`` names, per key, a narrow table
+    with the key distribution of the sales, for when looking for hot keys in the sales costs too much.
+    """
 
     sales: DataFrame
     product: DataFrame
@@ -30,6 +34,10 @@ class Star:
     rates: DataFrame
     date: DataFrame
     rows: dict[str, int | None]
+    hot_from: dict[str, DataFrame] = field(default_factory=dict)
+
+    def keys_of(self, key: str) -> DataFrame:
+        return self.hot_from.get(key, self.sales)
 
 
 def _product_grain(star: Star) -> DataFrame:
@@ -45,7 +53,7 @@ def _product_grain(star: Star) -> DataFrame:
 def _with_product(grain: DataFrame, star: Star, *extra: str) -> DataFrame:
     columns = ["product_key", "unit_cost_usd", "unit_price_usd", *extra]
     priced = attach(grain, star.product.select(*columns), "product_key",
-                    rows=star.rows.get("product"), hot_from=star.sales)
+                    rows=star.rows.get("product"), hot_from=star.keys_of("product_key"))
     return priced.withColumns({
         "total_cost_usd": F.col("unit_cost_usd") * F.col("quantity"),
         "total_price_usd": F.col("unit_price_usd") * F.col("quantity"),
@@ -54,12 +62,12 @@ def _with_product(grain: DataFrame, star: Star, *extra: str) -> DataFrame:
 
 def _with_store(df: DataFrame, star: Star) -> DataFrame:
     return attach(df, star.store.select("store_key", "store_sk"), "store_key",
-                  rows=star.rows.get("store"), hot_from=star.sales)
+                  rows=star.rows.get("store"), hot_from=star.keys_of("store_key"))
 
 
 def _with_customer(df: DataFrame, star: Star) -> DataFrame:
     return attach(df, star.customer.select("customer_key", "customer_sk"), "customer_key",
-                  rows=star.rows.get("customer"), hot_from=star.sales)
+                  rows=star.rows.get("customer"), hot_from=star.keys_of("customer_key"))
 
 
 def _with_rate(df: DataFrame, star: Star, how: str = "left") -> DataFrame:
@@ -68,6 +76,10 @@ def _with_rate(df: DataFrame, star: Star, how: str = "left") -> DataFrame:
     return attach(df, rates, ["currency_code", "order_date"], how, rows=star.rows.get("rates"))
 
 
+def _with_line_count(df: DataFrame, per_order: DataFrame, star: Star) -> DataFrame:
+    return attach(df, per_order, "order_number", rows=joins.UNBOUNDED, hot_from=star.keys_of("order_number"))
+
+
 def _with_dates(df: DataFrame, star: Star) -> DataFrame:
     """The calendar twice: order date (required) and delivery date (optional)."""
     days = star.date.select("date_key", "date_sk")
@@ -138,7 +150,7 @@ def product_fact(star: Star) -> DataFrame:
     # Counting lines per order by aggregate and join: an order with very many lines collapses
     # before the shuffle, which a window over the order would not do.
     per_order = star.sales.groupBy("order_number").agg(F.count(F.lit(1)).alias("total_line_items"))
-    fact = product_measures(star, "product_sk").join(per_order, "order_number").select(
+    fact = _with_line_count(product_measures(star, "product_sk"), per_order, star).select(
         F.col("order_number").alias("order_number_bk"), "total_line_items",
         "order_date_fk", "delivery_date_fk",
         F.col("store_sk").alias("store_fk"),
@@ -158,7 +170,7 @@ def product_fact(star: Star) -> DataFrame:
 def _compat_dates(star: Star) -> Star:
     """Facts see the greatest ``date_sk`` of a day, so the fanned-out calendar is collapsed first."""
     day = star.date.groupBy("date_key").agg(F.max("date_sk").alias("date_sk"))
-    return Star(star.sales, star.product, star.store, star.customer, star.rates, day, star.rows)
+    return replace(star, date=day)
 
 
 def order_fact_compat(star: Star) -> DataFrame:
@@ -212,7 +224,7 @@ def product_fact_compat(star: Star) -> DataFrame:
         F.max("total_price_usd").alias("total_price_usd"),
         F.max(margin(F.col("unit_cost_usd"), F.col("unit_price_usd"))).alias("profit_margin"),
     )
-    keyed = _with_customer(collapsed, star).join(per_order, "order_number")
+    keyed = _with_line_count(_with_customer(collapsed, star), per_order, star)
     cost_local = local_amount(F.col("total_cost_usd"), F.col("rate"))
     price_local = local_amount(F.col("total_price_usd"), F.col("rate"))
     fact = keyed.select(

@@ -7,13 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Only settings that can be changed on a running session; memory, cores and
-# shuffle width belong to whoever starts the cluster.
+# Only what the results or the skew handling rest on; adaptive execution is on by default, and
+# memory, cores and shuffle width belong to whoever starts the cluster.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even when the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # State grows with open orders, so it lives on disk rather than on the heap.
