@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloft import schemas as S
+from tallyloft.functions.scalar import once
 from tallyloft.operators.joins import attach
 from tallyloft.plans import dims, facts, silver
 from tallyloft.session import configure
@@ -189,7 +190,7 @@ class Inputs:
                 "event_timestamp": F.when(eid % 73 == 0, "yesterday").otherwise(F.col("event_timestamp")),
             })
         payload = F.to_json(F.struct(*S.SALES_EVENT.names))
-        sales = sales.select("*", decode.once(decode.frame(payload), "framed"))
+        sales = sales.select("*", once(decode.frame(payload), "framed"))
         value = F.col("framed")
         if seed_defects:
             value = (
@@ -198,7 +199,7 @@ class Inputs:
                 .when(eid % 83 == 0, F.substring(value, F.lit(1), F.floor(F.length(value) / 2).cast("int")))
                 .otherwise(value)
             )
-        return sales.select(F.col("order_serial").alias("key"), decode.once(value, "value"), "arrived_at")
+        return sales.select(F.col("order_serial").alias("key"), once(value, "value"), "arrived_at")
 
     @cached_property
     def event_stores(self) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from harness.canonical import Inputs
 from tallyloft import schemas as S
+from tallyloft.functions.scalar import is_bad_text, money, once
 from tallyloft.operators import clean, fx, quality as Q, scd2
 from tallyloft.operators.joins import attach
 from tallyloft.plans import dims, facts, gold_marts as gold, hot_marts as hot, silver
@@ -322,7 +323,7 @@ def stream_item_enrich(x):
 @query
 def stream_item_json(x):
     sent = _run(x, "item-messages", messages.item_messages(_enriched(x, _raw(x))))
-    return sent.select("key", F.from_json("value", S.ITEM_MESSAGE).alias("m")).select("key", "m.*").withColumn(
+    return sent.select("key", once(F.from_json("value", S.ITEM_MESSAGE), "m")).select("key", "m.*").withColumn(
         "event_ts", F.col("event_ts").try_cast("timestamp"))
 
 
@@ -368,7 +369,7 @@ def stream_order_json(x):
         .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch_id={n}"))
         .option("checkpointLocation", scratch_path(x.spark, "order-messages-checkpoint")))
     sent = x.spark.read.schema("key string, value string, batch_id long").parquet(out)
-    return sent.select("key", F.from_json("value", S.ORDER_MESSAGE).alias("m")).select("key", "m.*").withColumn(
+    return sent.select("key", once(F.from_json("value", S.ORDER_MESSAGE), "m")).select("key", "m.*").withColumn(
         "last_update", F.col("last_update").try_cast("timestamp"))
 
 
@@ -579,8 +580,6 @@ def dq_domain(x):
 @query
 def dq_money_text(x):
     """Price texts that cannot be read, after some have been spoiled."""
-    from tallyloft.functions.scalar import is_bad_text, money
-
     key = F.col("productkey")
     dirty = x.products.withColumn("unit_price_usd", F.when(key % 9 == 0, "abc").when(key % 9 == 1, " ").otherwise(F.col("unit_price_usd")))
     price = F.col("unit_price_usd")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloft import schemas as S
-from tallyloft.functions.scalar import event_time
+from tallyloft.functions.scalar import event_time, once
 from tallyloft.operators.quality import domain_reason
 
 HEADER_BYTES = 5
@@ -48,11 +48,6 @@ def avro_body(raw: Column) -> Column:
     return from_avro(raw, S.sales_event_avro(), {"mode": "PERMISSIVE"})
 
 
-def once(column: Column, name: str) -> Column:
-    """A one-row generator: the optimizer cannot copy ``column`` into each of its later uses."""
-    return F.explode(F.array(column)).alias(name)
-
-
 def decode(raw: DataFrame, read_body: BodyReader = json_body) -> DataFrame:
     """Keep the message columns, add ``event`` and ``reason`` (NULL for a usable message)."""
     value = F.col("value")

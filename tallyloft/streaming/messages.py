@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloft import schemas as S
-from tallyloft.functions.scalar import iso_time
+from tallyloft.functions.scalar import iso_time, once
 
 ITEM_TOPIC, ORDER_TOPIC = "processed_sales_items", "processed_orders_agg"
 HOT_ITEM_KEY = ["store_country", "event_ts", "order_serial"]
@@ -38,7 +38,7 @@ def order_messages(orders: DataFrame) -> DataFrame:
 
 
 def _parsed(messages: DataFrame, fields: T.StructType) -> DataFrame:
-    return messages.select(F.from_json(F.col("value").cast("string"), fields).alias("m")).select("m.*")
+    return messages.select(once(F.from_json(F.col("value").cast("string"), fields), "m")).select("m.*")
 
 
 def hot_items(items: DataFrame) -> DataFrame:
