@@ -1,0 +1,8 @@
+"""Operators for preparing training corpora."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the task, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
