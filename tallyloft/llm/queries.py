@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import exact_dedup, simhash, url_filter
+from tallyloft.llm import decontaminate, exact_dedup, simhash, url_filter
 from tallyloft.llm.common import table
 
 # The rules that the URL query judges by.
@@ -22,6 +22,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), name="found")
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("found.items"), ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("found")).alias("contaminated"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, ["page_id"])
@@ -30,6 +38,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_url_filter": op10_url_filter,
 }
 
@@ -38,6 +47,21 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         WINDOW g AS (PARTITION BY text_sha256)""",
+    "op9_decontaminate": r"""
+        WITH d AS (
+          SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (
+          SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        c AS (SELECT item_id, w, least(len(w), 13) AS k FROM b WHERE len(w) > 0),
+        s AS (SELECT item_id, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM c),
+        windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i + 1 : i + k], ' ') AS t FROM s),
+        g AS (SELECT r, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k),
+        h AS (SELECT r, i, item_id, k FROM (SELECT r, i, k, array_to_string(w[i + 1 : i + k], ' ') AS t FROM g) JOIN windows USING (k, t)),
+        n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM h) GROUP BY r),
+        m AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM h GROUP BY r)
+        SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+        FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)""",
     "op10_url_filter": r"""
         WITH cut AS (
           SELECT page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
