@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import SparkContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +53,15 @@ def only(docs: DataFrame, kept: DataFrame, keys: dict[str, Column]) -> DataFrame
     right = kept.select(*(F.col(n).alias(f"{names[n]}_kept") for n in keys))
     on = [F.col(names[n]).eqNullSafe(F.col(f"{names[n]}_kept")) for n in keys]
     return keyed.join(right, on, "left_semi").dropDuplicates(list(names.values())).drop(*names.values())
+
+
+def shared(context: SparkContext, value: Any) -> Callable[[], Any]:
+    """Broadcast a value of bounded size with its class; tasks get it by a call."""
+    packed, held = context.broadcast(cloudpickle.dumps(value)), []
+
+    def get() -> Any:
+        if not held:
+            held.append(pickle.loads(packed.value))
+        return held[0]
+
+    return get

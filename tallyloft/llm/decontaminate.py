@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloft.llm.common import shared
 from tallyloft.session import stage
 
 WINDOW = 13
@@ -213,7 +214,7 @@ def find(texts: list[bytes | None], spans: list, items: list, block: Block) -> p
 def _searcher(block) -> Column:
     @F.pandas_udf(FOUND)
     def search(texts: pd.Series, spans: pd.Series, items: pd.Series) -> pd.DataFrame:
-        return find(list(texts), list(spans), list(items), block.value)
+        return find(list(texts), list(spans), list(items), block())
 
     return search
 
@@ -227,10 +228,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     for block in blocks(benchmark, item_col, item_text, k, window, block_words):
         if passes:  # written, so that workers hold one block at a time
             out = stage(out, "contamination")
-        out = out.withColumn(name, _searcher(context.broadcast(block))(F.col(text_col).cast("binary"), f"{name}.spans", f"{name}.items"))
+        out = out.withColumn(name, _searcher(shared(context, block))(F.col(text_col).cast("binary"), f"{name}.spans", f"{name}.items"))
         passes += 1
     if not passes:
-        out = out.withColumn(name, _searcher(context.broadcast(Block([], k, window)))(F.col(text_col).cast("binary"), f"{name}.spans", f"{name}.items"))
+        out = out.withColumn(name, _searcher(shared(context, Block([], k, window)))(F.col(text_col).cast("binary"), f"{name}.spans", f"{name}.items"))
     return out
 
 

@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import decontaminate, exact_dedup, simhash, url_filter
+from tallyloft.llm import decontaminate, exact_dedup, langid, simhash, url_filter
 from tallyloft.llm.common import table
 
 # The rules that the URL query judges by.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = langid.learn(docs.filter(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), langid.guess(model, docs, F.col("text")).alias("guess"))
+    return found.select("doc_id", "held_out", F.col("guess.lang").alias("lang_pred"), "guess.score", "guess.cross_entropy", "guess.rejected")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -36,6 +44,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_decontaminate": op9_decontaminate,
