@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import decontaminate, exact_dedup, langid, simhash, url_filter
+from tallyloft.llm import decontaminate, exact_dedup, langid, mix, simhash, url_filter
 from tallyloft.llm.common import table
 
 # The rules that the URL query judges by.
@@ -20,6 +20,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("guess.lang").alias("lang_pred"), "guess.score", "guess.cross_entropy", "guess.rejected")
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mix.plan(table(spark, sf_dir, "documents"))
+    return mix.taken(planned, mix.draws(planned)).withColumnRenamed("id", "doc_id")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -45,6 +50,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_language_id": op3_language_id,
+    "op4_mix": op4_mix,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_decontaminate": op9_decontaminate,
