@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import decontaminate, exact_dedup, langid, mix, simhash, url_filter
+from tallyloft.llm import decontaminate, exact_dedup, html_text, langid, mix, simhash, url_filter
 from tallyloft.llm.common import table
 
 # The rules that the URL query judges by.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -49,6 +54,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op3_language_id": op3_language_id,
     "op4_mix": op4_mix,
     "op6_simhash": op6_simhash,
