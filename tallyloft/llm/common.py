@@ -55,6 +55,13 @@ def only(docs: DataFrame, kept: DataFrame, keys: dict[str, Column]) -> DataFrame
     return keyed.join(right, on, "left_semi").dropDuplicates(list(names.values())).drop(*names.values())
 
 
+def sampled(rows: DataFrame, code: Column, most: int) -> DataFrame:
+    """The rows with the ``most`` smallest different values of ``code``, one row each: only codes are sorted and compared."""
+    coded = rows.withColumn("__code", code)
+    last = coded.select("__code").distinct().orderBy("__code").limit(most).agg(F.max("__code")).first()[0]
+    return coded.filter(F.col("__code") <= last).dropDuplicates(["__code"]).drop("__code")
+
+
 def shared(context: SparkContext, value: Any) -> Callable[[], Any]:
     """Broadcast a value of bounded size with its class; tasks get it by a call."""
     packed, held = context.broadcast(cloudpickle.dumps(value)), []

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloft.llm.common import shared
+from tallyloft.llm.common import sampled, shared
 from tallyloft.session import stage
 
 ORDER = 4  # characters of the longest n-gram: four UTF-16 units fill 64 bits
@@ -274,8 +274,7 @@ def _calibrate(model: Model, docs: DataFrame, text_col: str, lang_col: str, key_
                 yield pd.DataFrame({"own": batch["lang"], "by": lang, "bits": bits[:, j], "n": n})[n >= 20]
 
     known = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    some = (known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key_col, text_col).alias("h"))
-            .orderBy("h").limit(most).select("lang", "text"))
+    some = sampled(known, F.xxhash64(key_col, text_col), most).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     seen = some.mapInPandas(cost, "own string, by string, bits double, n double").groupBy("own", "by").agg(
         F.avg("bits").alias("bits"), F.avg(F.col("bits") * F.col("bits")).alias("squares"), F.avg("n").alias("n")).toPandas()
     seen["own_bits"] = seen["own"] == seen["by"]

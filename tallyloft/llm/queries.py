@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import decontaminate, exact_dedup, html_text, langid, mix, simhash, url_filter
+from tallyloft.llm import decontaminate, exact_dedup, html_text, langid, mix, quality, simhash, url_filter
 from tallyloft.llm.common import table
 
 # The rules that the URL query judges by.
@@ -40,6 +40,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 toxic, 1 poor, 2 good. ``keep``: more likely not toxic than toxic."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).when(F.col("quality") == 0, 1)
+    grader = quality.learn(docs, labels.select("doc_id", grade.alias("grade")))
+    found = docs.select("doc_id", quality.graded(grader, docs, F.col("text")).alias("g"))
+    return found.select("doc_id", "g.expected_grade", quality.tail(F.col("g"), grader, 2).alias("p_good"),
+                        (quality.tail(F.col("g"), grader, 1) >= 0.5).alias("keep"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), name="found")
     return found.select(
@@ -59,6 +69,7 @@ QUERIES = {
     "op4_mix": op4_mix,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_url_filter": op10_url_filter,
 }
