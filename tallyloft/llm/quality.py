@@ -1,16 +1,19 @@
 """Quality grades by ordinal cumulative-link regression on hashed text.
 
-One weight vector over hashed words and word pairs gives a document one number; ordered thresholds cut the line into grades:
+One weight vector over hashed tokens gives a document one number; ordered thresholds cut the line into grades:
 P(grade <= k) = logistic(threshold_k - weights . features). The grades share the weights, so few labels suffice, and the order of
 the thresholds holds by construction (the first and logarithms of the gaps are what is fitted). The expected grade and the probability of a
 grade or better serve to select.
 
+Tokens are runs of letters and digits and runs of other signs, in lower case; the first four letters of longer words, the share of capitals
+and the length's order of magnitude count as tokens. A feature is whether its token occurs. Most words say nothing about a grade, so the
+fit carries a penalty on absolute weights, which leaves few of them.
+
 The features of at most ``sample`` graded documents, those with the smallest hashes, are gathered on the driver and fitted there by full
-gradients; all documents are scored, whole texts, where they are. Tokens are runs of letters and digits and runs of other signs; capitals and
-the length's order of magnitude count as tokens. A feature's value is the logarithm of one plus its count, each document of unit length.
+gradients; all documents are scored, whole texts, where they are.
 
 Defined results: a NULL or blank text has no features but its length and is graded all the same. Documents without a grade are not
-learned from. With no grades at all, or one, every document gets equal probabilities. Repeated rows are graded each; other columns stay.
+learned from. With no grades at all the expected grade is NULL, with one it is this grade. Repeated rows are graded each; other columns stay.
 """
 
 from __future__ import annotations
@@ -23,14 +26,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloft.llm.common import shared
+from tallyloft.llm.common import sampled, shared
 
-BITS = 18
-SAMPLE = 8192
-ROUNDS = 150
+BITS = 20
+SAMPLE = 16384
+ROUNDS = 200
+LEAST_DOCUMENTS = 5  # a feature of fewer graded documents is left out
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _BLOCK = 1 << 20  # characters tokenised at a time
-FEATURES = "index array<int>, value array<float>"
 
 
 class Hashes(dict):
@@ -39,37 +42,32 @@ class Hashes(dict):
     def __missing__(self, token: str) -> int:
         if len(self) > 1 << 18:
             self.clear()
-        self[token] = code = zlib.crc32(token.encode("utf-8", "surrogatepass"))
+        self[token] = code = zlib.crc32(token.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1)
         return code
 
 
 _KNOWN = Hashes()
 
 
-def features(text: str | None, known: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values of a text's features."""
+def features(text: str | None, known: Hashes) -> list[int]:
+    """The text's features, each once."""
     text = text or ""
-    held = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    last = np.zeros(0, np.uint64)
-    caps = start = 0
+    found: set[int] = set()
+    upper = tokens = start = 0
     while start < len(text):
         end = start + _BLOCK
         while end < len(text) and not text[end].isspace():
             end += 1
-        tokens = TOKEN.findall(text[start:end])
-        caps += sum(map(str.isupper, tokens))
-        codes = np.array([known[t] for t in map(str.lower, tokens)], np.uint64)
-        joined = np.concatenate([last, codes])
-        pairs = joined[:-1] * np.uint64(0x9E3779B1) + joined[1:] * np.uint64(0x85EBCA77)
-        own = np.concatenate([codes, pairs ^ (pairs >> np.uint64(17))]) & np.uint64((1 << BITS) - 1)
-        index, of = np.unique(np.concatenate([held[0], own.astype(np.int64)]), return_inverse=True)
-        held = index, np.bincount(of, np.concatenate([held[1], np.ones(len(own), np.int64)]), len(index)).astype(np.int64)
-        last, start = joined[-1:], end
-    index, counts = held
-    extra = {known[f"length {len(text).bit_length()}"] % (1 << BITS): 1, known["capitals"] % (1 << BITS): caps}
-    index = np.concatenate([index, [i for i, n in extra.items() if n]]).astype(np.int32)
-    values = np.log1p(np.concatenate([counts, [n for n in extra.values() if n]]))
-    return index, (values / np.sqrt((values ** 2).sum())).astype(np.float32)
+        own = TOKEN.findall(text[start:end])
+        tokens += len(own)
+        upper += sum(map(str.isupper, own))
+        words = {w.lower() for w in own}
+        found.update([known[w] for w in words], [known["^" + w[:4]] for w in words if len(w) > 4])
+        start = end
+    found.add(known[f" length {len(text).bit_length()}"])
+    if upper * 4 > tokens:
+        found.add(known[" capitals"])
+    return sorted(found)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -80,65 +78,73 @@ class Grader:
     """Weights and thresholds; ``grades`` are the graded values in order."""
 
     def __init__(self, grades: list[int], weights: np.ndarray, thresholds: np.ndarray):
-        self.grades, self.weights, self.thresholds = grades, weights, thresholds
+        self.grades, self.weights, self.thresholds = grades, weights.astype(np.float32), thresholds
 
-    def probabilities(self, line: np.ndarray) -> np.ndarray:
+    def probabilities(self, texts: list[str | None]) -> np.ndarray:
+        line = np.array([self.weights[features(t, _KNOWN)].sum(dtype=np.float64) for t in texts])
         below = _logistic(self.thresholds[None, :] - line[:, None])
-        edges = np.concatenate([np.zeros((len(line), 1)), below, np.ones((len(line), 1))], axis=1)
-        return np.diff(edges, axis=1)
+        return np.diff(np.concatenate([np.zeros((len(line), 1)), below, np.ones((len(line), 1))], axis=1), axis=1)
+
 
-    def line(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            index, values = features(text, _KNOWN)
-            out[i] = self.weights[index] @ values
-        return out
+def _slopes(line: np.ndarray, level: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the loss, by document: towards its upper threshold and from its lower one."""
+    upper, lower = _logistic(np.append(cuts, 40.0)[level] - line), _logistic(np.append(-40.0, cuts)[level] - line)
+    p = np.maximum(upper - lower, 1e-9)
+    return upper * (1 - upper) / p, lower * (1 - lower) / p
 
 
-def fit(index: list[np.ndarray], values: list[np.ndarray], grade: np.ndarray, rounds: int = ROUNDS, penalty: float = 1e-6) -> Grader:
-    """Maximum likelihood with a quadratic penalty, by full gradients with per-weight steps (Adam)."""
-    grades = sorted(set(grade.tolist()))
-    weights = np.zeros(1 << BITS)
+def fit(found: list, grade: np.ndarray, rounds: int = ROUNDS) -> Grader:
+    """Maximum likelihood with the penalty, by proximal steps of per-weight size."""
+    grades, weights = sorted(set(grade.tolist())), np.zeros(1 << BITS)
     if len(grades) < 2:
         return Grader(grades, weights, np.zeros(0))
-    level = np.searchsorted(grades, grade)
-    sizes = np.array([len(i) for i in index])
-    columns, data = np.concatenate(index).astype(np.int64), np.concatenate(values).astype(np.float64)
-    rows, starts = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
-    share = np.cumsum(np.bincount(level, minlength=len(grades)))[:-1] / len(level)
+    level, n = np.searchsorted(grades, grade), len(grade)
+    penalty = 0.1 / np.sqrt(n)
+    rows, columns = np.repeat(np.arange(n), [len(x) for x in found]), np.concatenate(found).astype(np.int64)
+    share = np.cumsum(np.bincount(level, minlength=len(grades)))[:-1] / n
     cuts = np.log(share / (1 - share))
-    shape = np.concatenate([cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3))])
-    moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (weights, shape)]
-    for t in range(1, rounds + 1):
-        cuts = np.cumsum(np.concatenate([shape[:1], np.exp(shape[1:])]))
-        line = np.add.reduceat(weights[columns] * data, starts)
-        padded = np.concatenate([[-np.inf], cuts, [np.inf]])
-        upper, lower = _logistic(padded[level + 1] - line), _logistic(padded[level] - line)
-        upper, lower = np.where(level == len(grades) - 1, 1.0, upper), np.where(level == 0, 0.0, lower)
-        p = np.maximum(upper - lower, 1e-9)
-        up, low = upper * (1 - upper) / p, lower * (1 - lower) / p
-        slope = np.bincount(columns, data * (up - low)[rows], 1 << BITS) / len(level) + penalty * weights
-        by_cut = np.array([(low[level == k + 1].sum() - up[level == k].sum()) / len(level) for k in range(len(cuts))])
-        by_shape = np.cumsum(by_cut[::-1])[::-1] * np.concatenate([[1.0], np.exp(shape[1:])])
-        for (first, second), value, gradient, step in ((moments[0], weights, slope, 0.3), (moments[1], shape, by_shape, 0.05)):
-            first += 0.1 * (gradient - first)
-            second += 0.01 * (gradient ** 2 - second)
-            value -= step * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-8) * (np.abs(gradient) > 0 if len(value) > 99 else 1)
-    return Grader(grades, weights, np.cumsum(np.concatenate([shape[:1], np.exp(shape[1:])])))
+    shape = np.append(cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3)))
+    # Features whose slope is far below the penalty before any weight is set stay without one.
+    up, low = _slopes(np.zeros(n), level, cuts)
+    kept = (np.bincount(columns, minlength=1 << BITS) >= LEAST_DOCUMENTS) & (
+        np.abs(np.bincount(columns, (up - low)[rows], 1 << BITS)) / n >= penalty / 2)
+    rows, columns = rows[kept[columns]], columns[kept[columns]]
+    # Twice: to find the features, then with a twentieth of the penalty to find the weights of these.
+    for part in (1.0, 0.05):
+        used, columns = np.unique(columns, return_inverse=True)
+        w, squares = np.zeros(len(used)), np.zeros(len(used))
+        first, second = np.zeros(len(shape)), np.zeros(len(shape))
+        for t in range(1, rounds + 1):
+            cuts = np.cumsum(np.append(shape[:1], np.exp(shape[1:])))
+            up, low = _slopes(np.bincount(rows, w[columns], n), level, cuts)
+            slope = np.bincount(columns, (up - low)[rows], len(used)) / n
+            squares += slope ** 2
+            step = 0.5 / np.sqrt(squares + 1e-8)
+            w = w - step * slope
+            w = np.sign(w) * np.maximum(np.abs(w) - step * penalty * part, 0)
+            by_cut = np.array([low[level == k + 1].sum() - up[level == k].sum() for k in range(len(cuts))]) / n
+            by_shape = np.cumsum(by_cut[::-1])[::-1] * np.append(1.0, np.exp(shape[1:]))
+            first += 0.1 * (by_shape - first)
+            second += 0.01 * (by_shape ** 2 - second)
+            shape = shape - 0.05 * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-8)
+        rows, columns = rows[w[columns] != 0], used[columns[w[columns] != 0]]
+    weights[used] = w
+    return Grader(grades, weights, np.cumsum(np.append(shape[:1], np.exp(shape[1:]))))
 
 
 def learn(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade",
           sample: int = SAMPLE) -> Grader:
     """Fit on at most ``sample`` documents of ``docs`` that have a row in ``grades`` (id, grade)."""
-    @F.pandas_udf(FEATURES)
-    def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([tuple(x.tolist() for x in features(t, _KNOWN)) for t in texts], columns=["index", "value"])
+    @F.pandas_udf("array<int>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([features(t, _KNOWN) for t in texts])
 
-    graded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        grades.filter(F.col(grade_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade")), "id")
-    some = graded.withColumn("h", F.xxhash64("id", "text")).orderBy("h", "grade").limit(sample)
-    rows = some.select("grade", of("text").alias("f")).select("grade", "f.index", "f.value").toPandas()
-    return fit([np.asarray(x, np.int32) for x in rows["index"]], [np.asarray(x, np.float32) for x in rows["value"]], rows["grade"].to_numpy())
+    known = grades.filter(F.col(grade_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade"))
+    some = sampled(known, F.xxhash64("id", "grade"), sample)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = texts.join(F.broadcast(some), "id")  # ``some`` has ``sample`` rows at most
+    rows = sampled(rows, F.xxhash64("id", "grade", "text"), sample).orderBy("id", "grade").select("grade", of("text").alias("found")).toPandas()
+    return fit([np.asarray(x, np.int32) for x in rows["found"]], rows["grade"].to_numpy())
 
 
 def graded(grader: Grader, docs: DataFrame, text: Column) -> Column:
@@ -147,20 +153,20 @@ def graded(grader: Grader, docs: DataFrame, text: Column) -> Column:
     grades = grader.grades
     names = ["expected_grade", *(f"p_{g}" for g in grades)]
 
-    @F.pandas_udf(", ".join(f"{n} double" for n in names))
+    @F.pandas_udf(", ".join(f"`{n}` double" for n in names))
     def of(texts: pd.Series) -> pd.DataFrame:
-        p = held().probabilities(held().line(list(texts)))
-        return pd.DataFrame(np.column_stack([p @ np.array(grades, float) if grades else p[:, 0] * np.nan, *(p[:, k] for k in range(len(grades)))]), columns=names)
+        p = held().probabilities(list(texts))[:, :len(grades)]
+        expected = p @ np.array(grades, float) if grades else np.full(len(texts), np.nan)
+        return pd.DataFrame(np.column_stack([expected, p]), columns=names)
 
     return of(text)
 
 
 def tail(grade: Column, grader: Grader, least: int) -> Column:
-    """The probability of ``least`` or a better grade."""
-    out = F.lit(0.0)
-    for g in grader.grades:
-        out = out + (grade[f"p_{g}"] if g >= least else F.lit(0.0))
-    return out
+    """The probability of ``least`` or a better grade; 1 where no grade is known."""
+    if not grader.grades:
+        return F.lit(1.0)
+    return sum((grade[f"p_{g}"] for g in grader.grades if g >= least), F.lit(0.0))
 
 
 def selected(docs: DataFrame, grader: Grader, least: int = 1, probability: float = 0.5, text_col: str = "text") -> DataFrame:
