@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import decontaminate, exact_dedup, html_text, langid, mix, quality, simhash, url_filter
+from tallyloft.llm import chat, decontaminate, exact_dedup, html_text, langid, mix, quality, simhash, url_filter
 from tallyloft.llm.common import table
 
 # The rules that the URL query judges by.
@@ -17,6 +17,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repaired(table(spark, sf_dir, "conversations"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -65,6 +69,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_text": op1_html_text,
+    "op2_chat": op2_chat,
     "op3_language_id": op3_language_id,
     "op4_mix": op4_mix,
     "op6_simhash": op6_simhash,
