@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import chat, decontaminate, exact_dedup, html_text, langid, mix, quality, simhash, url_filter
+from tallyloft.llm import chat, decontaminate, exact_dedup, html_text, langid, mix, pii, quality, simhash, url_filter
 from tallyloft.llm.common import table
 
+# The key of the registered query; real runs pass one that is kept secret.
+PII_KEY = "an example, not a secret"
 # The rules that the URL query judges by.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -34,6 +36,10 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken(planned, mix.draws(planned)).withColumnRenamed("id", "doc_id")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replaced(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_replaced")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -72,6 +78,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op3_language_id": op3_language_id,
     "op4_mix": op4_mix,
+    "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
