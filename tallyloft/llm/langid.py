@@ -159,6 +159,10 @@ class Model:
     def __init__(self, langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]):
         """counts: by language, sorted n-grams and their numbers."""
         self.langs = langs
+        self.limits: np.ndarray | None = None  # by language: cross-entropy beyond which a text is rejected
+        self.room = 0.0  # by the root of the text's length
+        if not langs:
+            return
         masks = [np.uint64((1 << 16 * k) - 1) for k in range(ORDER + 1)]
         tables = []  # by language and order: n-grams, counts, contexts, their sums, their different next characters, discount
         for keys, n in counts:
@@ -171,8 +175,8 @@ class Model:
                 discount = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.05), 0.95)
                 by_order[k] = keys, n.astype(np.float64), contexts, np.add.reduceat(n, at).astype(np.float64), kinds, discount
             tables.append(by_order)
-        every = [np.unique(np.concatenate([t[k][0] for t in tables])) for k in range(1, ORDER + 1)] if langs else []
-        alphabet = len(every[0]) + 1 if langs else 1
+        every = [np.unique(np.concatenate([t[k][0] for t in tables])) for k in range(1, ORDER + 1)]
+        alphabet = len(every[0]) + 1
         self.floor = -np.log2(alphabet)
 
         def at(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -198,8 +202,6 @@ class Model:
                 arrays.append(HashArray(own))
                 logs.append(np.log2(values).astype(np.float32)[arrays[-1].order])
         self.masks = masks
-        self.limits: np.ndarray | None = None  # by language: cross-entropy beyond which a text is rejected
-        self.room = 0.0  # by the root of the text's length
 
     def log_probabilities(self, keys: np.ndarray, k: int = ORDER) -> np.ndarray:
         """Bits (negative) of each n-gram's last character, by language."""
