@@ -115,7 +115,8 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     left = rows["size"].to_numpy()[~takes]
     if len(left) and left.min() - need < need:
         takes[np.flatnonzero(~takes)[left.argmin()]] = True
-    return rows[takes].groupby(["key", "block"], as_index=False).agg(chosen=("code", list))
+    chosen = [(*block, own["code"].tolist()) for block, own in rows[takes].groupby(["key", "block"])]
+    return pd.DataFrame(chosen, columns=["key", "block", "chosen"])
 
 
 def allotted(code: Column, chosen: Column) -> Column:
