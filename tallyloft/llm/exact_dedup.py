@@ -28,16 +28,17 @@ def digest(text: Column) -> Column:
 class DigestIndex:
     """Digests seen so far at ``path``; opening an existing path goes on with what is there.
 
-    ``buckets`` must stay the same for one path. Choose it so that one bucket of the final index fits a task, say 200 MB.
+    ``buckets`` must stay the same for one path. Choose it so that one bucket of the final index fits a task, say 200 MB; the default
+    is the number of shuffle partitions, so that a shuffle by digest writes one file per task.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64, id_type: str = "bigint"):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, id_type: str = "bigint"):
+        self.spark, self.buckets = spark, buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.path = path or scratch_path(spark, "digests")
         self.name = f"digests_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.name} (digest BINARY, keep_id {id_type}, keep_row BIGINT, group_size BIGINT, batch STRING) "
-            f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'")
+            f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
