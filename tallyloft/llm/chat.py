@@ -43,7 +43,7 @@ FAR = 1 << 40
 class Costs:
     merge: int = 2
     insert: int = 3
-    relabel: int = 3
+    relabel: int = 6
     unknown: int = 1  # to give a role to a turn that has none
 
 
