@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tallyloft.llm.common import sampled, shared
 
 BITS = 20
-SAMPLE = 16384
+SAMPLE = 8192
 ROUNDS = 200
 LEAST_DOCUMENTS = 5  # a feature of fewer graded documents is left out
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -93,14 +93,17 @@ def _slopes(line: np.ndarray, level: np.ndarray, cuts: np.ndarray) -> tuple[np.n
     return upper * (1 - upper) / p, lower * (1 - lower) / p
 
 
-def fit(found: list, grade: np.ndarray, rounds: int = ROUNDS) -> Grader:
-    """Maximum likelihood with the penalty, by proximal steps of per-weight size."""
+def fit(sizes: np.ndarray, columns: np.ndarray, grade: np.ndarray, rounds: int = ROUNDS) -> Grader:
+    """Maximum likelihood with the penalty, by proximal steps of per-weight size.
+
+    ``columns`` holds the features of all documents one after the other, ``sizes`` how many each has.
+    """
     grades, weights = sorted(set(grade.tolist())), np.zeros(1 << BITS)
     if len(grades) < 2:
         return Grader(grades, weights, np.zeros(0))
     level, n = np.searchsorted(grades, grade), len(grade)
     penalty = 0.1 / np.sqrt(n)
-    rows, columns = np.repeat(np.arange(n), [len(x) for x in found]), np.concatenate(found).astype(np.int64)
+    rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
     share = np.cumsum(np.bincount(level, minlength=len(grades)))[:-1] / n
     cuts = np.log(share / (1 - share))
     shape = np.append(cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3)))
@@ -143,8 +146,10 @@ def learn(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col:
     some = sampled(known, F.xxhash64("id", "grade"), sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(some), "id")  # ``some`` has ``sample`` rows at most
-    rows = sampled(rows, F.xxhash64("id", "grade", "text"), sample).orderBy("id", "grade").select("grade", of("text").alias("found")).toPandas()
-    return fit([np.asarray(x, np.int32) for x in rows["found"]], rows["grade"].to_numpy())
+    some = sampled(rows, F.xxhash64("id", "grade", "text"), sample).select("id", "grade", of("text").alias("found"))
+    got = some.orderBy("id", "grade", F.xxhash64("found")).drop("id").toArrow().combine_chunks()
+    found = got["found"].combine_chunks()
+    return fit(np.diff(found.offsets.to_numpy()), found.flatten().to_numpy(), got["grade"].to_numpy())
 
 
 def graded(grader: Grader, docs: DataFrame, text: Column) -> Column:
