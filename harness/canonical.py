@@ -12,7 +12,7 @@ from tallyloft import schemas as S
 from tallyloft.functions.scalar import once
 from tallyloft.operators.joins import attach
 from tallyloft.plans import dims, facts, silver
-from tallyloft.session import configure
+from tallyloft.session import configure, scratch_path
 from tallyloft.sources import bronze
 from tallyloft.streaming import decode
 
@@ -23,6 +23,8 @@ BASE_RATES = [("USD", 1000), ("CAD", 1300), ("GBP", 800), ("AUD", 1500), ("EUR",
 
 # Schemas by path, so that only the first query over a table reads a footer to plan.
 _SCHEMAS: dict[str, StructType] = {}
+# Roots of published gold tables by session and folder.
+_PUBLISHED: dict[tuple[str, str], str] = {}
 
 
 def pick(values: list, index: Column) -> Column:
@@ -180,6 +182,21 @@ class Inputs:
         # A pattern, because a stream takes a folder or a pattern and the table may be a single file.
         return bronze.file_stream(self.spark, f"{self.dir}/event[s].parquet", self.load("events").schema)
 
+    def event_feed(self, parts: int = 3) -> DataFrame:
+        """The events as a stream of several files, minutes out of order between them, and a last event a day later.
+
+        That event moves the watermark past all windows of the others; its own window stays open.
+        """
+        path, events = scratch_path(self.spark, "event-feed"), self.load("events")
+        shifted = F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") * 37 % 240
+        first, last = events.agg(F.min(shifted), F.max(shifted)).first()
+        part = F.floor((shifted - first) * parts / (last - first + 1)).cast("int")
+        closing = events.orderBy(F.desc("ts"), "event_id").limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+        for n in range(parts):
+            events.where(part == n).write.parquet(f"{path}/batch={n}")
+        closing.select(*[F.col(f.name).cast(f.dataType) for f in events.schema.fields]).write.parquet(f"{path}/batch={parts}")
+        return bronze.file_stream(self.spark, f"{path}/*", events.schema, max_files=1)
+
     def frames_of(self, events: DataFrame, seed_defects: bool = False) -> DataFrame:
         """Sales events as framed messages; ``seed_defects`` spoils some of them in five ways."""
         sales = self.events_of(events)
@@ -201,15 +218,6 @@ class Inputs:
             )
         return sales.select(F.col("order_serial").alias("key"), once(value, "value"), "arrived_at")
 
-    @cached_property
-    def event_stores(self) -> DataFrame:
-        """Static side of the event joins; store 3 is missing on purpose."""
-        return self.stores.where("storekey <> 3")
-
-    @cached_property
-    def event_products(self) -> DataFrame:
-        return self.products.where("productkey % 50 <> 7")
-
     # ---- silver and gold ----------------------------------------------------------------
 
     @cached_property
@@ -276,6 +284,22 @@ class Inputs:
             self.dim_product, self.dim_stores, self.dim_customer,
             dims.exchange_rates_compat(self.silver_rates, self.rows["rates"]), dims.date_compat(self.known_days))
 
+    @cached_property
+    def published(self) -> dict[str, DataFrame]:
+        """The gold tables as written; one build per folder serves all marts of a session."""
+        place = self.spark.sparkContext.applicationId, self.dir
+        if place not in _PUBLISHED:
+            root = scratch_path(self.spark, "gold")
+            star = self.star
+            for name, df in {
+                "dim_customer": star.customer, "dim_product_info": star.product, "dim_stores": star.store, "dim_date": star.date,
+                "fact_sales": facts.order_fact(star), "fact_product_sales": facts.product_fact(star)}.items():
+                df.write.parquet(f"{root}/{name}")
+            _PUBLISHED[place] = root
+        root = _PUBLISHED[place]
+        return {name: self.spark.read.parquet(f"{root}/{name}") for name in (
+            "dim_customer", "dim_product_info", "dim_stores", "dim_date", "fact_sales", "fact_product_sales")}
+
     @cached_property
     def natural_star(self) -> facts.Star:
         """For marts, which never look at surrogate keys: the dimensions as they are before numbering."""

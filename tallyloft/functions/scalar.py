@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloft.schemas import EVENT_TIME_FORMAT
+from tallyloft.schemas import EVENT_TIME_FORMAT, RATE, TOTAL
+
+# A price or line total as it was sent; times a quantity no digit is lost.
+EXACT = "decimal(26,10)"
 
 
 def money(raw: Column) -> Column:
@@ -25,12 +28,6 @@ def parse_date(raw: Column, fmt: str) -> Column:
     return F.try_to_timestamp(raw, F.lit(fmt)).cast("date")
 
 
-def two_digit_date(raw: Column) -> Column:
-    """``DD-MM-YY`` to a date; years 70 to 99 belong to the last century."""
-    day = parse_date(raw, "dd-MM-yy")
-    return F.when(F.year(day) >= 2070, F.add_months(day, -1200)).otherwise(day)
-
-
 def event_time(raw: Column) -> Column:
     return F.try_to_timestamp(raw, F.lit(EVENT_TIME_FORMAT))
 
@@ -46,13 +43,18 @@ def margin(cost: Column, price: Column) -> Column:
 
 
 def local_amount(usd: Column, rate: Column) -> Column:
-    """USD total times rate, wide enough that no digit is lost."""
-    return usd.cast("decimal(20,2)") * rate.cast("decimal(12,6)")
+    """USD total times rate, as decimal(38,8): no digit is lost."""
+    return usd.cast(TOTAL) * rate.cast(RATE)
 
 
 def line_amount(quantity: Column, unit_price: Column) -> Column:
-    """quantity * price rounded to cents, computed on decimals and handed out as double."""
-    return F.round(quantity * unit_price.cast("decimal(15,2)"), 2).cast("double")
+    """quantity * price, computed on decimals, rounded once to cents and handed out as double."""
+    return F.round(quantity * unit_price.try_cast(EXACT), 2).cast("double")
+
+
+def is_amount(raw: Column) -> Column:
+    """Neither NaN nor infinite nor beyond all bounds."""
+    return raw.try_cast(EXACT).isNotNull()
 
 
 def lag_seconds(seen_at: Column, event_ts: Column) -> Column:

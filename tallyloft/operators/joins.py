@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 << 20
 # For a unique side that grows with the data and is not worth counting.
 UNBOUNDED = 1 << 62
 # A key is hot from this share on, so at most 1 / HOT_SHARE keys can be hot.
@@ -61,14 +62,17 @@ def _codes_agree(big: DataFrame, unique: DataFrame, keys: list[str]) -> bool:
     return all(a == b and not isinstance(a, (T.FloatType, T.DoubleType)) for a, b in kinds)
 
 
-def _salted(big: DataFrame, unique: DataFrame, keys: list[str], how: str, hot: dict[int | None, float]) -> DataFrame:
+def _salted(
+    big: DataFrame, unique: DataFrame, keys: list[str], how: str, hot: dict[int | None, float], row_id: list[str] | None = None
+) -> DataFrame:
     width = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.lit(1)
     for code, share in hot.items():
         is_hot = F.col("_code").isNull() if code is None else F.col("_code") == code
         spread = F.when(is_hot, math.ceil(share * width * PIECES) + 1).otherwise(spread)
-    # The salt depends on the row's content alone, so a recomputed task sends each row the same way.
-    salt = F.pmod(F.xxhash64(*big.columns), spread).cast("int")
+    # The salt depends on the row's content alone, so a recomputed task sends each row the same way. Columns that tell
+    # rows apart do for it; without them it takes all, which keeps them alive and leaves equal rows together.
+    salt = F.pmod(F.xxhash64(*(row_id or big.columns)), spread).cast("int")
     left = big.withColumn("_code", _code(keys)).withColumn("_salt", salt).drop("_code")
     right = (
         unique.withColumn("_code", _code(keys)).where("_code IS NOT NULL")
@@ -77,6 +81,14 @@ def _salted(big: DataFrame, unique: DataFrame, keys: list[str], how: str, hot: d
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def _measured(df: DataFrame) -> tuple[int, int]:
+    """Rows, and the bytes of their texts plus the fixed widths of the other columns."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    sizes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
+    rows, *found = df.agg(F.count(F.lit(1)), *sizes).first()
+    return rows, sum(found) + rows * 16 * len(df.columns)
+
+
 def attach(
     big: DataFrame,
     unique: DataFrame,
@@ -85,21 +97,24 @@ def attach(
     rows: int | None = None,
     max_broadcast: int | None = None,
     hot_from: DataFrame | None = None,
+    row_id: list[str] | None = None,
 ) -> DataFrame:
     """Join ``unique`` (one row per key) to ``big``, ``how`` being inner or left.
 
-    ``rows`` is a known upper bound for the unique side; it is counted when left out.
+    ``rows`` is a known upper bound for the unique side; rows and bytes are counted when it is left out.
+    ``row_id`` names columns that tell the rows of ``big`` apart, to spread hot keys by.
     ``hot_from`` is a cheaper DataFrame with the same key distribution as ``big``.
     """
     max_broadcast = BROADCAST_ROWS if max_broadcast is None else max_broadcast
+    size = 0
     if rows is None:
-        rows = unique.count()
-    if rows <= max_broadcast:
+        rows, size = _measured(unique)
+    if rows <= max_broadcast and size <= BROADCAST_BYTES:
         return big.join(F.broadcast(unique), on, how)
     keys = [on] if isinstance(on, str) else list(on)
     # A stream cannot be searched for hot keys before it runs; foreachBatch hands over plain tables.
     if not big.isStreaming and _codes_agree(big, unique, keys):
         hot = hot_keys(big if hot_from is None else hot_from, keys)
         if hot:
-            return _salted(big, unique, keys, how, hot)
+            return _salted(big, unique, keys, how, hot, row_id)
     return big.join(unique, keys, how)

@@ -79,10 +79,13 @@ def _plain(name: Column) -> Column:
     return F.lower(F.regexp_replace(name, "[^A-Za-z0-9]", ""))
 
 
-def dictionary_coverage(tables: dict[str, DataFrame], dictionary: DataFrame | None = None) -> DataFrame:
-    """Documented fields against real columns, with how many values each column holds.
+def dictionary_coverage(
+    tables: dict[str, DataFrame], dictionary: DataFrame | None = None, with_values: bool = False
+) -> DataFrame:
+    """Documented fields against real columns, from the schemas alone.
 
-    Names are compared without case, blanks and underscores.
+    Names are compared without case, blanks and underscores. ``with_values`` adds how many values each column
+    holds, which reads the tables.
     """
     any_df = next(iter(tables.values()))
     if dictionary is None:
@@ -90,16 +93,20 @@ def dictionary_coverage(tables: dict[str, DataFrame], dictionary: DataFrame | No
         dictionary = any_df.sparkSession.createDataFrame(pairs, "table_name string, field_name string")
     documented = dictionary.select(_plain(F.col("table_name")).alias("t"), _plain(F.col("field_name")).alias("f"),
                                    F.lit(1).alias("documented"))
-    real = reduce(DataFrame.unionByName, [
-        null_counts(df).select(
-            _plain(F.lit(name)).alias("t"), _plain(F.col("column_name")).alias("f"),
-            F.lit(1).alias("present"), (F.col("row_count") - F.col("null_count")).alias("values"))
-        for name, df in tables.items()])
+    if with_values:
+        columns = reduce(DataFrame.unionByName, [null_counts(df).select(
+            F.lit(name).alias("table"), "column_name", (F.col("row_count") - F.col("null_count")).alias("values")) for name, df in tables.items()])
+    else:
+        columns = any_df.sparkSession.createDataFrame(
+            [(name, c) for name, df in tables.items() for c in df.columns], "table string, column_name string")
+    real = columns.select(
+        _plain(F.col("table")).alias("t"), _plain(F.col("column_name")).alias("f"), F.lit(1).alias("present"),
+        *(["values"] if with_values else []))
     return documented.join(real, ["t", "f"], "full_outer").select(
         F.col("t").alias("table_name"), F.col("f").alias("field_name"),
         F.coalesce("documented", F.lit(0)).alias("documented"),
         F.coalesce("present", F.lit(0)).alias("present"),
-        "values")
+        *(["values"] if with_values else []))
 
 
 def finding(model: str, check: str, detail: str, violations: DataFrame) -> DataFrame:

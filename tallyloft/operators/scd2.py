@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VALID_FROM, VALID_TO, CURRENT = "valid_from", "valid_to", "is_current"
@@ -19,25 +19,30 @@ def opening(snapshot: DataFrame, as_of: str) -> DataFrame:
 def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], as_of: str) -> DataFrame:
     """Fold a snapshot taken on ``as_of`` into the history.
 
-    A changed row closes the open version and opens a new one; an unchanged, repeated or late
-    snapshot row changes nothing; a key missing from the snapshot stays as it is.
-    One join; the key is unique on both sides of it, so it cannot be skewed.
+    A change in a tracked column closes the open version and opens a new one; other columns are overwritten in the
+    open version. A repeated or late snapshot row changes nothing; a key missing from the snapshot stays as it is; NULL is a key
+    like others. One join; the key is unique on both sides of it, so it cannot be skewed.
     """
     day = F.lit(as_of).cast("date")
     columns = history.columns
     attributes = [c for c in columns if c not in (VALID_FROM, VALID_TO, CURRENT)]
     closed = history.where(~F.col(CURRENT))
-    current = history.where(F.col(CURRENT)).select(F.col(key), F.struct(*columns).alias("_old"))
-    incoming = snapshot.select(F.col(key), F.struct(*attributes).alias("_in"))
-    both = current.join(incoming, key, "full_outer")
+    current = history.where(F.col(CURRENT)).select(F.col(key).alias("_key"), F.struct(*columns).alias("_old"))
+    incoming = snapshot.select(F.col(key).alias("_in_key"), F.struct(*attributes).alias("_in"))
+    both = current.join(incoming, F.col("_key").eqNullSafe(F.col("_in_key")), "full_outer")
 
     changed = reduce(
         lambda a, b: a | b, [~F.col(f"_old.{c}").eqNullSafe(F.col(f"_in.{c}")) for c in tracked])
     is_new = F.col("_old").isNull()
-    replaces = ~is_new & F.col("_in").isNotNull() & changed & (day > F.col(f"_old.{VALID_FROM}"))
+    seen = ~is_new & F.col("_in").isNotNull()
+    replaces = seen & changed & (day > F.col(f"_old.{VALID_FROM}"))
+    overwrites = seen & ~changed & (day >= F.col(f"_old.{VALID_FROM}"))
+
+    def attribute(c: str) -> Column:
+        return F.col(f"_old.{c}") if c in tracked else F.when(overwrites, F.col(f"_in.{c}")).otherwise(F.col(f"_old.{c}"))
 
     kept = F.struct(
-        *[F.col(f"_old.{c}").alias(c) for c in attributes],
+        *[attribute(c).alias(c) for c in attributes],
         F.col(f"_old.{VALID_FROM}").alias(VALID_FROM),
         F.when(replaces, day).alias(VALID_TO),
         (~replaces).alias(CURRENT))

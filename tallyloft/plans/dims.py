@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloft.functions.scalar import two_digit_date
 from tallyloft.operators.keys import dense_key
 from tallyloft.sources.bronze import date_spine
 
@@ -50,7 +49,7 @@ def rate_columns(silver: DataFrame) -> DataFrame:
     return silver.select(
         F.col("currency").alias("currency_code"),
         F.col("currency").alias("currency_name"),
-        two_digit_date(F.col("rate_date")).alias("date_key"),
+        F.col("rate_day").alias("date_key"),
         F.col("exchange_rate_usd").alias("rate"),
         "rate_date")
 

@@ -15,6 +15,7 @@ from tallyloft.functions.scalar import local_amount, margin
 from tallyloft.operators import joins
 from tallyloft.operators.joins import attach
 from tallyloft.operators.keys import dense_key
+from tallyloft.schemas import TOTAL
 
 ORDER_COLS = ["order_number", "customer_key", "store_key", "currency_code", "order_date"]
 
@@ -53,27 +54,27 @@ def _product_grain(star: Star) -> DataFrame:
 def _with_product(grain: DataFrame, star: Star, *extra: str) -> DataFrame:
     columns = ["product_key", "unit_cost_usd", "unit_price_usd", *extra]
     priced = attach(grain, star.product.select(*columns), "product_key",
-                    rows=star.rows.get("product"), hot_from=star.keys_of("product_key"))
+                    rows=star.rows.get("product"), hot_from=star.keys_of("product_key"), row_id=["order_number"])
     return priced.withColumns({
-        "total_cost_usd": F.col("unit_cost_usd") * F.col("quantity"),
-        "total_price_usd": F.col("unit_price_usd") * F.col("quantity"),
+        "total_cost_usd": (F.col("unit_cost_usd") * F.col("quantity")).cast(TOTAL),
+        "total_price_usd": (F.col("unit_price_usd") * F.col("quantity")).cast(TOTAL),
     })
 
 
 def _with_store(df: DataFrame, star: Star) -> DataFrame:
     return attach(df, star.store.select("store_key", "store_sk"), "store_key",
-                  rows=star.rows.get("store"), hot_from=star.keys_of("store_key"))
+                  rows=star.rows.get("store"), hot_from=star.keys_of("store_key"), row_id=["order_number"])
 
 
 def _with_customer(df: DataFrame, star: Star) -> DataFrame:
     return attach(df, star.customer.select("customer_key", "customer_sk"), "customer_key",
-                  rows=star.rows.get("customer"), hot_from=star.keys_of("customer_key"))
+                  rows=star.rows.get("customer"), hot_from=star.keys_of("customer_key"), row_id=["order_number"])
 
 
 def _with_rate(df: DataFrame, star: Star, how: str = "left") -> DataFrame:
     """The rate and its surrogate key in one join."""
     rates = star.rates.select("currency_code", F.col("date_key").alias("order_date"), "rate", "exchange_sk")
-    return attach(df, rates, ["currency_code", "order_date"], how, rows=star.rows.get("rates"))
+    return attach(df, rates, ["currency_code", "order_date"], how, rows=star.rows.get("rates"), row_id=["order_number"])
 
 
 def _with_line_count(df: DataFrame, per_order: DataFrame, star: Star) -> DataFrame:
@@ -85,8 +86,8 @@ def _with_dates(df: DataFrame, star: Star) -> DataFrame:
     days = star.date.select("date_key", "date_sk")
     ordered = days.select(F.col("date_key").alias("order_date"), F.col("date_sk").alias("order_date_fk"))
     delivered = days.select(F.col("date_key").alias("delivery_date"), F.col("date_sk").alias("delivery_date_fk"))
-    df = attach(df, ordered, "order_date", "inner", rows=star.rows.get("date"))
-    return attach(df, delivered, "delivery_date", "left", rows=star.rows.get("date"))
+    df = attach(df, ordered, "order_date", "inner", rows=star.rows.get("date"), row_id=["order_number"])
+    return attach(df, delivered, "delivery_date", "left", rows=star.rows.get("date"), row_id=["order_number"])
 
 
 def _lines(star: Star) -> DataFrame:
@@ -110,8 +111,8 @@ def order_measures(star: Star) -> DataFrame:
         F.sum("line_count").alias("line_count"),
         F.max("delivery_date").alias("delivery_date"),
         F.sum("quantity").alias("total_quantity"),
-        F.sum("total_cost_usd").alias("total_cost_usd"),
-        F.sum("total_price_usd").alias("total_price_usd"),
+        F.sum("total_cost_usd").cast(TOTAL).alias("total_cost_usd"),
+        F.sum("total_price_usd").cast(TOTAL).alias("total_price_usd"),
     )
     keyed = _with_dates(_with_rate(_with_customer(_with_store(orders, star), star), star), star)
     return keyed.withColumns({
@@ -180,8 +181,8 @@ def order_fact_compat(star: Star) -> DataFrame:
     shipments = lines.groupBy(*ORDER_COLS, "store_sk", "delivery_date").agg(
         F.max("line_item").alias("max_line_item"),
         F.sum("quantity").alias("quantity"),
-        F.sum("total_cost_usd").alias("total_cost_usd"),
-        F.sum("total_price_usd").alias("total_price_usd"),
+        F.sum("total_cost_usd").cast(TOTAL).alias("total_cost_usd"),
+        F.sum("total_price_usd").cast(TOTAL).alias("total_price_usd"),
     )
     keyed = _with_dates(_with_rate(_with_customer(shipments, star), star), star).withColumns({
         "total_cost_local": local_amount(F.col("total_cost_usd"), F.col("rate")),

@@ -18,9 +18,7 @@ def _double(column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _share(column: str, over: list[str] | None = None) -> Column:
-    """Share in the total of an already aggregated table."""
-    total = F.sum(column).over(Window.partitionBy(*(over or [F.lit(1)])))
+def _share(column: str, total: Column) -> Column:
     return F.try_divide(_double(column), total.cast("double"))
 
 
@@ -28,6 +26,52 @@ def _ratio(top: str, bottom: str) -> Column:
     return F.try_divide(_double(top), _double(bottom))
 
 
+def _with_days(fact: DataFrame, date: DataFrame, rows: int | None, row_id: list[str]) -> DataFrame:
+    days = date.select("date_sk", "date_key")
+    ordered = days.select(F.col("date_sk").alias("order_date_fk"), F.col("date_key").alias("order_date"))
+    delivered = days.select(F.col("date_sk").alias("delivery_date_fk"), F.col("date_key").alias("delivery_date"))
+    rows = days.count() if rows is None else rows
+    fact = attach(fact, ordered, "order_date_fk", rows=rows, row_id=row_id)
+    return attach(fact, delivered, "delivery_date_fk", "left", rows=rows, row_id=row_id)
+
+
+def published_orders(fact: DataFrame, date: DataFrame, stores: DataFrame, rows: dict[str, int] | None = None) -> DataFrame:
+    """The order fact with days and natural keys in place of its foreign keys: what the order marts take."""
+    rows = rows or {}
+    dated = _with_days(fact, date, rows.get("date"), ["order_sk"])
+    placed = attach(dated, stores.select(F.col("store_sk").alias("store_fk"), "store_key"), "store_fk", rows=rows.get("store"), row_id=["order_sk"])
+    return placed.withColumnsRenamed({"order_number_bk": "order_number", "customer_fk": "customer_key"})
+
+
+def published_products(
+    fact: DataFrame, date: DataFrame, stores: DataFrame, products: DataFrame, rows: dict[str, int] | None = None
+) -> DataFrame:
+    """The product fact likewise, with the descriptions of its products."""
+    rows = rows or {}
+    dated = _with_days(fact, date, rows.get("date"), ["product_sale_sk"])
+    placed = attach(dated, stores.select(F.col("store_sk").alias("store_fk"), "store_key"), "store_fk",
+                    rows=rows.get("store"), row_id=["product_sale_sk"])
+    described = products.select(F.col("product_sk").alias("product_fk"), "product_key", "product_name", "brand", "category")
+    whole = attach(placed, described, "product_fk", rows=rows.get("product"), row_id=["product_sale_sk"])
+    return whole.withColumnsRenamed({"order_number_bk": "order_number", "customer_fk": "customer_key", "p_quantity": "quantity"})
+
+
+def all_marts(orders: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame, as_of: Column) -> dict[str, DataFrame]:
+    """Every mart over the published gold tables, by name."""
+    return {
+        "mart_shipping": shipping(orders, stores),
+        "mart_revenue_quarter_category": revenue_by_quarter_category(products),
+        "mart_aov_margin": order_value_and_margin(orders),
+        "mart_top_brands": top_brands(products),
+        "mart_demographics": demographics(orders, customers, as_of),
+        "mart_store_performance": store_performance(orders, stores),
+        "mart_channel_geo": channel_geography(orders, stores),
+        "mart_rfm": rfm(orders, as_of),
+        "mart_clv": lifetime_value(orders, as_of),
+        "mart_product_mix": product_mix(products),
+    }
+
+
 def shipping(orders: DataFrame, stores: DataFrame, store_rows: int | None = None) -> DataFrame:
     """Days from order to delivery by store country."""
     waits = (
@@ -46,11 +90,12 @@ def shipping(orders: DataFrame, stores: DataFrame, store_rows: int | None = None
 
 
 def revenue_by_quarter_category(products: DataFrame) -> DataFrame:
-    """Revenue per quarter and category with growth on the quarter before, plus quarter and year totals."""
+    """Revenue per quarter and category with growth on the quarter before (NULL without one), plus quarter and year totals."""
     leaves = products.groupBy(
         F.year("order_date").alias("year"), F.quarter("order_date").alias("quarter"), "category"
     ).agg(F.sum("total_price_usd").alias("revenue"))
-    before = F.lag("revenue").over(Window.partitionBy("category").orderBy("year", "quarter"))
+    number = F.col("year") * 4 + F.col("quarter")
+    before = F.sum("revenue").over(Window.partitionBy("category").orderBy(number).rangeBetween(-1, -1))
     grown = leaves.withColumn("growth", F.try_divide(
         (F.col("revenue") - before).cast("double"), before.cast("double")))
     return grown.rollup("year", "quarter", "category").agg(
@@ -80,8 +125,8 @@ def top_brands(products: DataFrame) -> DataFrame:
     return brands.select(
         "category", "brand", "revenue", "units",
         F.row_number().over(by_revenue).cast("bigint").alias("brand_rank"),
-        _share("revenue", ["category"]).alias("category_share"),
-        _share("revenue").alias("total_share"))
+        _share("revenue", F.sum("revenue").over(Window.partitionBy("category"))).alias("category_share"),
+        _share("revenue", brands.agg(F.sum("revenue")).scalar()).alias("total_share"))
 
 
 def age_band(birthday: Column, as_of: Column) -> Column:
@@ -125,7 +170,7 @@ def channel_geography(orders: DataFrame, stores: DataFrame, store_rows: int | No
     placed = attach(per_store, stores.select("store_key", "country"), "store_key", rows=store_rows)
     grouped = placed.groupBy(sales_channel(F.col("store_key")).alias("sales_channel"), "country").agg(
         F.count(F.lit(1)).alias("stores"), F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"))
-    return grouped.withColumn("revenue_share", _share("revenue"))
+    return grouped.withColumn("revenue_share", _share("revenue", grouped.agg(F.sum("revenue")).scalar()))
 
 
 def customer_activity(orders: DataFrame) -> DataFrame:

@@ -69,11 +69,11 @@ def order_ticker(orders: DataFrame, width: str = "1 day") -> DataFrame:
 def payment_mix(orders: DataFrame) -> DataFrame:
     by_method = orders.where("event_type = 'ORDER'").groupBy("payment_method").agg(
         F.count(F.lit(1)).alias("orders"), _usd("total_order_usd").alias("revenue"))
-    everything = Window.partitionBy(F.lit(1))
+    all_orders, all_revenue = (by_method.agg(F.sum(c)).scalar() for c in ("orders", "revenue"))
     return by_method.select(
         "payment_method", "orders", "revenue",
-        (F.col("orders") / F.sum("orders").over(everything)).alias("order_share"),
-        F.try_divide(F.col("revenue").cast("double"), F.sum("revenue").over(everything).cast("double")).alias("revenue_share"))
+        (F.col("orders") / all_orders).alias("order_share"),
+        F.try_divide(F.col("revenue").cast("double"), all_revenue.cast("double")).alias("revenue_share"))
 
 
 def return_impact(items: DataFrame, width: str = "1 day") -> DataFrame:
@@ -92,7 +92,7 @@ def return_impact(items: DataFrame, width: str = "1 day") -> DataFrame:
 
 def problem_skus(items: DataFrame, k: int = 20) -> DataFrame:
     bad = (F.col("is_cancel") + F.col("is_return")) > 0
-    rated = items.where("product_name IS NOT NULL").groupBy("product_name").agg(
+    rated = items.groupBy(F.coalesce("product_name", F.lit("UNKNOWN")).alias("product_name")).agg(
         F.sum("quantity").alias("units"),
         F.sum(F.when(bad, F.col("quantity")).otherwise(0)).alias("bad_units"),
     ).withColumn("bad_rate", F.try_divide(F.col("bad_units").cast("double"), F.col("units").cast("double")))
@@ -114,20 +114,23 @@ def lag_monitor(items: DataFrame, width: str = "1 day", limit_seconds: int = 5)
 
 
 def cancel_alerts(
-    items: DataFrame, width: str = "6 hours", slide: str = "3 hours", trailing: int = 8, sigmas: float = 2.0
+    items: DataFrame, width: str = "6 hours", slide_hours: int = 3, trailing: int = 8, sigmas: float = 2.0
 ) -> DataFrame:
-    """Cancel and return rate per country in sliding windows, against the trailing mean.
+    """Cancel and return rate per country in sliding windows, against the mean of the ``trailing`` windows before.
+
+    Windows without events have no rate; an alert needs all windows before it.
 
     Rates are whole parts per million, so the moments are exact integers on any partitioning.
     The trailing window runs over the aggregated rows: one per country and time bucket.
     """
     bad = F.when((F.col("is_cancel") + F.col("is_return")) > 0, 1).otherwise(0)
-    rates = items.groupBy(_bucket(width, slide).alias("w"), "store_country").agg(
+    rates = items.groupBy(_bucket(width, f"{slide_hours} hours").alias("w"), "store_country").agg(
         F.count(F.lit(1)).alias("events"), F.sum(bad).alias("bad_events"),
     ).select(
         F.col("w.start").alias("window_start"), "store_country", "events", "bad_events",
         F.expr(f"bad_events * {PPM} div events").alias("rate_ppm"))
-    before = Window.partitionBy("store_country").orderBy("window_start").rowsBetween(-trailing, -1)
+    step = slide_hours * 3600
+    before = Window.partitionBy("store_country").orderBy(F.unix_timestamp("window_start")).rangeBetween(-trailing * step, -step)
     n = F.count("rate_ppm").over(before)
     total = F.sum("rate_ppm").over(before)
     squares = F.sum(F.col("rate_ppm") * F.col("rate_ppm")).over(before)

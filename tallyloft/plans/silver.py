@@ -60,9 +60,11 @@ def stores(bronze: DataFrame) -> DataFrame:
 
 
 def exchange_rates(bronze: DataFrame) -> DataFrame:
-    """The rate stays decimal, so local amounts are exact."""
+    """The rate stays decimal, so local amounts are exact; ``rate_date`` is the old text, ``rate_day`` the date itself."""
+    day = parse_date(F.col("rate_date"), "MM/dd/yyyy")
     return bronze.select(
-        F.date_format(parse_date(F.col("rate_date"), "MM/dd/yyyy"), "dd-MM-yy").alias("rate_date"),
+        F.date_format(day, "dd-MM-yy").alias("rate_date"),
+        day.alias("rate_day"),
         F.upper("currency").alias("currency"),
         F.col("exchange").cast(RATE).alias("exchange_rate_usd"),
     )
@@ -84,6 +86,11 @@ def sales_once(silver_sales: DataFrame) -> DataFrame:
     return first_per_key(ranked, SALES_KEY, order).select(*SALES_KEY, *rest)
 
 
+def cleaned(name: str, model: DataFrame) -> DataFrame:
+    """Trimmed text and blanks as NULL in every model; the agreed defaults where there are some."""
+    return customers_clean(model) if name == "customers" else trim_strings(model)
+
+
 def customers_clean(silver_customers: DataFrame) -> DataFrame:
     """Trimmed text, blanks as NULL, then the agreed defaults."""
     return fill_nulls(trim_strings(silver_customers), CUSTOMER_DEFAULTS)

@@ -10,6 +10,8 @@ LONG, INT, STR, DATE, TS, DBL = (
     T.LongType(), T.IntegerType(), T.StringType(), T.DateType(), T.TimestampType(), T.DoubleType(),
 )
 MONEY = T.DecimalType(15, 2)
+# Totals in USD; times a rate they fill decimal(38,8) exactly.
+TOTAL = T.DecimalType(19, 2)
 RATE = T.DecimalType(18, 6)
 
 
@@ -17,7 +19,7 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-# Bronze: one JSON object per line. The price fields are mixed case in the files
+# Bronze tables, one JSON object per line. The price fields are mixed case in the files
 # and Spark's JSON reader matches names case-sensitively.
 BRONZE = {
     "customers": struct(
@@ -51,6 +53,7 @@ SALES_EVENT = struct(
 NULLABLE_EVENT_FIELDS = {"delivery_date"}
 EVENT_TIME_FORMAT = "dd-MM-yyyy HH:mm:ss"
 
+# The two processed messages and the key of an order group.
 ITEM_MESSAGE = struct(
     order_serial=STR, order_date=STR, event_type=STR, product_name=STR, category=STR, quantity=INT,
     unit_price_usd=DBL, total_sales_usd=DBL, line_total_amount=DBL, storekey=LONG, store_country=STR,

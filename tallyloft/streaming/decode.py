@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloft import schemas as S
-from tallyloft.functions.scalar import event_time, once
+from tallyloft.functions.scalar import event_time, is_amount, once
 from tallyloft.operators.quality import domain_reason
 
 HEADER_BYTES = 5
@@ -62,6 +62,8 @@ def decode(raw: DataFrame, read_body: BodyReader = json_body) -> DataFrame:
         .when(magic_byte(value) != "00", "wrong magic byte")
         .when(unreadable, "unreadable body")
         .when(contract.isNotNull(), contract)
+        .when(~is_amount(F.col("event.unit_price_usd")), "unit_price_usd no amount")
+        .when(~is_amount(F.col("event.line_total_amount")), "line_total_amount no amount")
         .when(event_time(F.col("event.event_timestamp")).isNull(), "event_timestamp unreadable")
     )
     return parsed.select("*", once(reason, "reason"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallyloft import schemas as S
 from tallyloft.functions.scalar import iso_time, once
 
+# The topics.
 ITEM_TOPIC, ORDER_TOPIC = "processed_sales_items", "processed_orders_agg"
 HOT_ITEM_KEY = ["store_country", "event_ts", "order_serial"]
 HOT_ORDER_KEY = list(S.ORDER_KEYS)
@@ -60,25 +61,27 @@ def hot_orders(orders: DataFrame) -> DataFrame:
 
 
 def read_items(messages: DataFrame) -> DataFrame:
-    parsed = _parsed(messages, S.ITEM_MESSAGE)
-    return hot_items(parsed.withColumn("event_ts", iso_time(F.col("event_ts"))))
+    """Typed rows of the readable messages; ``unreadable`` has the others."""
+    parsed = _parsed(messages, S.ITEM_MESSAGE).withColumn("event_ts", iso_time(F.col("event_ts")))
+    return hot_items(parsed.where("event_ts IS NOT NULL"))
 
 
 def read_orders(messages: DataFrame) -> DataFrame:
-    parsed = _parsed(messages, S.ORDER_MESSAGE)
-    return hot_orders(parsed.withColumn("last_update", iso_time(F.col("last_update"))))
+    parsed = _parsed(messages, S.ORDER_MESSAGE).withColumn("last_update", iso_time(F.col("last_update")))
+    return hot_orders(parsed.where("last_update IS NOT NULL"))
 
 
 def unreadable(messages: DataFrame, topic: str) -> DataFrame:
-    """Messages whose time cannot be read: dead letters, never stamped with the current time."""
+    """Messages that cannot be parsed or whose time cannot be read: dead letters, never stamped with the current time."""
     fields, name = (S.ITEM_MESSAGE, "event_ts") if topic == ITEM_TOPIC else (S.ORDER_MESSAGE, "last_update")
     raw = F.from_json(F.col("value").cast("string"), fields)
     return messages.where(iso_time(raw[name]).isNull()).withColumn("reason", F.lit(f"{name} unreadable"))
 
 
-def by_topic(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split one feed of both topics into typed item rows and order rows."""
-    return (
-        read_items(messages.where(F.col("topic") == ITEM_TOPIC)),
-        read_orders(messages.where(F.col("topic") == ORDER_TOPIC)),
-    )
+def by_topic(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Split one feed of both topics into typed item rows, typed order rows and rejected messages; each message goes to one."""
+    items, orders = (messages.where(F.col("topic") == t) for t in (ITEM_TOPIC, ORDER_TOPIC))
+    strange = messages.where(~F.coalesce(F.col("topic").isin(ITEM_TOPIC, ORDER_TOPIC), F.lit(False)))
+    rejected = unreadable(items, ITEM_TOPIC).unionByName(unreadable(orders, ORDER_TOPIC)).unionByName(
+        strange.withColumn("reason", F.lit("topic unknown")))
+    return read_items(items), read_orders(orders), rejected

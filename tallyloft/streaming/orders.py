@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloft.functions.scalar import EXACT
 from tallyloft.schemas import ORDER_KEYS
 
 LATENESS = "10 minutes"
 
 
 def _cents(name: str) -> Column:
-    """Sums run on decimals, so the total does not depend on the order of arrival."""
-    return F.round(F.sum(F.col(name).cast("decimal(18,2)")), 2).cast("double")
+    """Sums run on exact decimals, so the total does not depend on the order of arrival, and are rounded once."""
+    return F.round(F.sum(F.col(name).cast(EXACT)), 2).cast("double")
 
 
 def _measures() -> list[Column]:
@@ -42,13 +43,12 @@ def windowed(events: DataFrame, width: str = "10 minutes", lateness: str = LATEN
 
 
 def once(
-    events: DataFrame, keys: list[str] = ("order_serial", "event_type"), lateness: str = LATENESS, salts: int = 16
+    events: DataFrame, keys: list[str] = ("order_serial", "event_type"), lateness: str = LATENESS, salts: int = 1
 ) -> DataFrame:
     """Drop repeated deliveries; state is kept for the lateness only.
 
-    Copies are first dropped per (key, salt), the salt following the input partition, and then
-    per key: a message delivered over and over spreads over many tasks, and the last step sees
-    at most one copy from each. Any salt gives the same result.
+    With ``salts`` copies are first dropped per (key, salt), the salt following the input partition, and then per key. That
+    doubles the state and is worth it only for messages that are delivered over and over. Any salt gives the same result.
     """
     keys = list(keys)
     late = events.withWatermark("event_ts", lateness)

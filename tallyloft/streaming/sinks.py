@@ -57,17 +57,16 @@ class UpsertTable:
     """
 
     def __init__(
-        self, path: str, keys: list[str], partition: str = "store_country", order: str = "event_ts", writers: int = 4
+        self, path: str, keys: list[str], partition: str = "store_country", order: str = "event_ts"
     ):
-        self.path, self.keys, self.partition, self.order, self.writers = path, keys, partition, order, writers
+        self.path, self.keys, self.partition, self.order = path, keys, partition, order
 
     def write(self, batch: DataFrame, run_id: int, batch_id: int) -> None:
         newest = [c for c in batch.columns if c not in self.keys]
-        # A country goes to a few tasks: few files each, and no single task for a heavy country.
-        piece = F.pmod(F.xxhash64(*self.keys), F.lit(self.writers))
+        # Whole countries per task where they are small, as many tasks as its size asks for where one is heavy.
         (
             latest_per_key(batch, self.keys, [self.order, *[c for c in newest if c != self.order]])
-            .repartition(self.partition, piece)
+            .hint("rebalance", self.partition)
             .sortWithinPartitions(self.partition, F.desc(self.order))
             .write.mode("overwrite")
             .partitionBy(self.partition)
@@ -92,7 +91,7 @@ class UpsertTable:
 
     def compact(self, spark: SparkSession, row_schema: T.StructType, path: str) -> UpsertTable:
         """The current rows as the first batch of a new table; the old one is left to its readers."""
-        fresh = UpsertTable(path, self.keys, self.partition, self.order, self.writers)
+        fresh = UpsertTable(path, self.keys, self.partition, self.order)
         fresh.write(self.latest(spark, row_schema), 0, 0)
         return fresh
 

@@ -79,6 +79,9 @@ def test_large_product_side_gives_the_same_orders(star):
     s.rows["product"] = None
     big = facts.order_measures(s)
     assert small.select(*big.columns).exceptAll(big).count() == 0 and big.count() == 40
+    kinds = {f.name: f.dataType for f in small.schema.fields}
+    assert kinds == {f.name: f.dataType for f in big.schema.fields}
+    assert kinds["total_price_usd"].simpleString() == "decimal(19,2)" and kinds["total_price_local"].simpleString() == "decimal(38,8)"
 
 
 def test_revenue_is_kept(star):
@@ -105,8 +108,8 @@ def test_calendar_holidays(spark):
 
 
 def test_rate_key_order(frame):
-    silver = frame("rate_date string, currency string, e string", ("01-02-15", "EUR", "1"), ("02-01-15", "EUR", "1")).withColumn(
-        "exchange_rate_usd", F.col("e").cast("decimal(18,6)"))
+    silver = frame("rate_date string, currency string, e string", ("01-02-15", "EUR", "1"), ("02-01-15", "EUR", "1")).withColumns({
+        "exchange_rate_usd": F.col("e").cast("decimal(18,6)"), "rate_day": F.to_date("rate_date", "dd-MM-yy")})
     assert [r.date_key for r in dims.exchange_rates(silver, 2).orderBy("exchange_sk").collect()] == [date(2015, 1, 2), date(2015, 2, 1)]
     assert [r.date_key for r in dims.exchange_rates_compat(silver, 2).orderBy("exchange_sk").collect()] == [
         date(2015, 2, 1), date(2015, 1, 2)]
@@ -147,6 +150,23 @@ def test_scd2(frame):
     assert overlaps.count() == 0
 
 
+def test_scd2_null_key_and_columns_that_are_not_tracked(frame):
+    schema = "customer_key long, city string, name string"
+    history = scd2.opening(frame(schema, (None, "A", "n"), (1, "B", "old")), "2020-01-01")
+    for day in ("2020-02-01", "2020-03-01"):
+        history = scd2.apply_snapshot(history, frame(schema, (None, "A", "n"), (1, "B", "new")), "customer_key", ["city"], day)
+    assert sorted(((r.customer_key, r.name, r.is_current) for r in history.collect()), key=str) == [(1, "new", True), (None, "n", True)]
+    late = scd2.apply_snapshot(history, frame(schema, (1, "B", "older")), "customer_key", ["city"], "2019-01-01")
+    assert late.where("customer_key = 1").first().name == "new"
+
+
+def test_growth_needs_the_quarter_before(frame):
+    sold = frame("order_date date, category string, usd int", (date(2020, 1, 5), "a", 10), (date(2020, 4, 5), "a", 15), (date(2020, 12, 5), "a", 30),
+                 (date(2021, 2, 1), "a", 60)).withColumn("total_price_usd", F.col("usd").cast("decimal(19,2)"))
+    rows = gold_marts.revenue_by_quarter_category(sold).where("level = 0").orderBy("year", "quarter").collect()
+    assert [r.growth for r in rows] == [None, 0.5, None, 1.0]
+
+
 def test_rfm_scores_do_not_depend_on_the_way(spark):
     orders = spark.range(3000).select(
         (F.col("id") % 97).alias("customer_key"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("order_date"),

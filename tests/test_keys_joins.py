@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -83,6 +85,36 @@ def test_hot_keys_found_and_spread(spark):
     assert plain >= 10_000 and salted < 0.7 * plain
 
 
+def test_equal_rows_of_a_hot_key_spread_by_row_id_and_keep_the_scan_narrow(spark, tmp_path):
+    spark.range(20_000).selectExpr("id AS row_no", "7L AS k", "'same' AS a", "'wide' AS b").write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    dim = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    hot = joins.hot_keys(big, ["k"])
+    joined = joins._salted(big, dim, ["k"], "inner", hot, ["row_no"])
+    plan = joined.select("v")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReadSchema: struct<row_no:bigint,k:bigint>", plan)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["count"] for r in joins._salted(big, dim, ["k"], "inner", hot, ["row_no"]).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and len(sizes) >= 6 and max(sizes) < 8_000
+
+
+def test_broadcast_is_bounded_in_bytes(spark, monkeypatch):
+    dim = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    assert joins._measured(dim) == (100, 100 * 1000 + 100 * 32)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joins.attach(spark.range(1000).withColumnRenamed("id", "k"), dim, "k")._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in plan
+
+
 def test_hot_keys_of_text_even_and_no_rows(spark):
     names = spark.range(1000).select(F.concat(F.lit("c"), F.col("id") % 2).alias("k"))
     assert sorted(joins.hot_keys(names, ["k"]).values()) == [0.5, 0.5]

@@ -39,8 +39,10 @@ def test_domains(frame):
 def test_dictionary_coverage(frame):
     words = frame("table_name string, field_name string", ("Stores", "Square Meters"), ("Stores", "Manager"))
     real = frame("square_meters int, opened date", (1, None), (None, None))
-    found = {tuple(r) for r in Q.dictionary_coverage({"Stores": real}, words).collect()}
+    found = {tuple(r) for r in Q.dictionary_coverage({"Stores": real}, words, with_values=True).collect()}
     assert found == {("stores", "squaremeters", 1, 1, 1), ("stores", "manager", 1, 0, None), ("stores", "opened", 0, 1, 0)}
+    names = {tuple(r) for r in Q.dictionary_coverage({"Stores": real}, words).collect()}
+    assert names == {t[:4] for t in found}
 
 
 def test_no_division_by_no_rows(frame):

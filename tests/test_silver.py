@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloft.functions import scalar
 from tallyloft.operators import clean
-from tallyloft.plans import silver
+from tallyloft.plans import dims, silver
 
 
 def test_money_strings(frame):
@@ -22,11 +22,23 @@ def test_expensive_flag(frame):
     assert [r.f for r in df.select(scalar.expensive_flag(F.col("p")).alias("f")).collect()] == ["No", "Yes", "No"]
 
 
-def test_epoch_birthday_and_two_digit_years(frame):
-    df = frame("b string, d string", ("946684800000", "31-12-69"), ("-86400000", "01-01-70"), ("x", "xx"))
-    rows = df.select(scalar.epoch_ms_date(F.col("b")).alias("b"), scalar.two_digit_date(F.col("d")).alias("d")).collect()
-    assert [tuple(r) for r in rows] == [
-        (date(2000, 1, 1), date(2069, 12, 31)), (date(1969, 12, 31), date(1970, 1, 1)), (None, None)]
+def test_epoch_birthday(frame):
+    df = frame("b string", ("946684800000",), ("-86400000",), ("x",))
+    assert [r.b for r in df.select(scalar.epoch_ms_date(F.col("b")).alias("b")).collect()] == [date(2000, 1, 1), date(1969, 12, 31), None]
+
+
+def test_rate_days_of_any_century(frame):
+    bronze = frame("rate_date string, currency string, exchange string", ("02/03/2071", "eur", "1"), ("02/03/1969", "eur", "1"))
+    rows = dims.exchange_rates(silver.exchange_rates(bronze), 2).orderBy("exchange_sk").collect()
+    assert [r.date_key for r in rows] == [date(1969, 2, 3), date(2071, 2, 3)]
+
+
+def test_amounts_are_exact(frame):
+    df = frame("q int, p double", (100, 1.005), (3, 0.335), (1, float("nan")), (1, float("inf")), (7, 123456789012.34))
+    assert [r.t for r in df.select(scalar.line_amount(F.col("q"), F.col("p")).alias("t")).collect()] == [100.5, 1.01, None, None, 864197523086.38]
+    row = frame("u string, r string", ("123456789012345.67", "1100000.5")).select(
+        scalar.local_amount(F.col("u").cast("decimal(36,2)"), F.col("r").cast("decimal(18,6)")).alias("x")).first()
+    assert row.x == Decimal("123456789012345.67") * Decimal("1100000.5")
 
 
 def test_iso_time(frame):

@@ -105,8 +105,11 @@ def test_unknown_store_and_bad_time_on_read_back(spark):
     assert len(bad) == 1 and bad[0].reason == "event_ts unreadable"
     mixed = sent.withColumn("topic", F.lit(messages.ITEM_TOPIC)).unionByName(
         spark.createDataFrame([('{"order_group_id":"g","last_update":"2024-01-01T00:00:00.000Z"}', messages.ORDER_TOPIC)], "value string, topic string"))
-    items, order_rows = messages.by_topic(mixed)
-    assert items.count() == 2 and order_rows.first().max_lag_seconds == 0
+    other = spark.createDataFrame([("{broken", messages.ORDER_TOPIC), (None, messages.ITEM_TOPIC), ("{}", "x"), ("{}", None)], "value string, topic string")
+    items, order_rows, rejected = messages.by_topic(mixed.unionByName(other))
+    assert [r.order_serial for r in items.collect()] == ["a"]
+    assert order_rows.count() == 1 and order_rows.first().max_lag_seconds == 0
+    assert sorted(r.reason for r in rejected.collect()) == ["event_ts unreadable"] * 2 + ["last_update unreadable"] + ["topic unknown"] * 2
 
 
 def _table(tmp_path):
@@ -224,11 +227,11 @@ def test_stream_equals_batch_over_shuffled_files(spark, tmp_path):
     parts = str(tmp_path / "parts")
     x.load("events").repartition(6).write.parquet(parts)
     stream = x.frames_of(bronze.file_stream(spark, parts, x.load("events").schema, max_files=1))
-    updates = runner.order_updates(stream, x.event_stores, F.col("arrived_at"))
+    updates = runner.order_updates(stream, x.stores, F.col("arrived_at"))
     table = sinks.UpsertTable(str(tmp_path / "orders"), messages.HOT_ORDER_KEY)
     runner.run_to_end(updates.writeStream.outputMode("update").foreachBatch(table.sink(1, messages.hot_orders))
                       .option("checkpointLocation", str(tmp_path / "cp")))
-    batch = messages.hot_orders(orders.running(runner.order_events(x.frames_of(x.load("events")), x.event_stores, F.col("arrived_at"))))
+    batch = messages.hot_orders(orders.running(runner.order_events(x.frames_of(x.load("events")), x.stores, F.col("arrived_at"))))
     got = table.latest(spark, HOT_ORDER_SCHEMA).select(*batch.columns)
     assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
 
