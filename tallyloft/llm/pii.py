@@ -55,8 +55,6 @@ SYLLABLES = {
     "GREEK": ("βα βε δα δε κα κε κι κο λα λε λι λο μα με μι μο να νε νι νο ρα ρε ρι ρο σα σε σι σο τα τε τι το".split(),
               {"f": ["α", "η"], "m": ["ς", "ος"], "n": ["ν", "ι"]}),
 }
-# What the cheap test below lets through: all texts that can hold a mention.
-MAYBE = r"[0-9@]|(?i:password|passwd|pwd|secret|token|key)|" + "|".join(TITLES)
 
 
 def luhn(digits: str) -> int:
@@ -192,6 +190,15 @@ def written(mention: str, kind: str, replacement: str) -> str:
     return replacement
 
 
+def _may_hold(text: Column) -> Column:
+    """A cheap test that every text with a mention passes: all kinds but keys and names need one of a few signs."""
+    found = text.rlike("[0-9@=:_-]")
+    # A title that contains another one needs no test of its own.
+    for title in sorted(t for t in TITLES if not any(o != t and o in t for o in TITLES)):
+        found = found | text.contains(title)
+    return F.coalesce(found | text.contains("AKIA") | text.contains("ASIA"), F.lit(False))
+
+
 def _detector() -> Callable[[Column], Column]:
     @F.pandas_udf(MENTIONS)
     def of(texts: pd.Series) -> pd.Series:
@@ -227,7 +234,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_replaced") -> DataFrame:
     """``docs`` with surrogates in ``text_col`` and the number of mentions replaced in ``count_col``."""
     code = F.xxhash64(id_col, text_col)
-    may = F.coalesce(F.col(text_col).rlike(MAYBE), F.lit(False))
+    may = _may_hold(F.col(text_col))
     found = docs.filter(may).select(code.alias("__code"), F.explode(_detector()(F.col(text_col))).alias("m")).select("__code", "m.*")
     found = stage(found.dropDuplicates(["__code", "start"]).withColumn("entity", F.xxhash64("kind", "value")), "pii-mentions")
     sizes = stage(found.groupBy("kind", "value", "entity").agg(F.count("*").alias("n")), "pii-sizes")
