@@ -555,5 +555,21 @@ sql("dq_run_summary", _CHECKS + """
 SELECT count(*) AS total, count(*) FILTER (status = 'passed') AS passed, count(*) FILTER (status = 'failed') AS failed,
        string_agg(model || '.' || "check" || '.' || detail, ', ' ORDER BY model || '.' || "check" || '.' || detail)
          FILTER (status = 'failed') AS failed_checks FROM checks""")
+sql("dq_gate", """
+, k AS (
+  SELECT 'silver_sales' AS model, 'referential' AS "check", 'customer_key' AS detail,
+         (SELECT count(DISTINCT customer_key) FROM sales WHERE customer_key NOT IN (SELECT customerkey FROM b_customers)) AS violations
+  UNION ALL SELECT 'silver_sales', 'referential', 'product_key',
+         (SELECT count(DISTINCT product_key) FROM sales WHERE product_key NOT IN (SELECT productkey FROM b_products))
+  UNION ALL SELECT 'silver_sales', 'referential', 'store_key',
+         (SELECT count(DISTINCT store_key) FROM sales WHERE store_key NOT IN (SELECT storekey FROM b_stores))
+  UNION ALL SELECT 'fact_sales', 'completeness', 'order_number',
+         (SELECT count(*) FROM (SELECT order_number, count(*) AS n FROM om GROUP BY 1) o FULL JOIN (SELECT DISTINCT order_number FROM sales) s
+          ON o.order_number = s.order_number WHERE n IS NULL OR n <> 1 OR s.order_number IS NULL)
+  UNION ALL SELECT 'fact_product_sales', 'reconciliation', 'quantity,total_price_usd',
+         (SELECT count(*) FROM (SELECT order_number, sum(total_quantity) AS q, sum(price_usd) AS p FROM om GROUP BY 1) a
+          FULL JOIN (SELECT order_number, sum(quantity) AS q, sum(price_usd) AS p FROM pm GROUP BY 1) b ON a.order_number = b.order_number
+          WHERE a.q IS DISTINCT FROM b.q OR a.p IS DISTINCT FROM b.p))
+SELECT *, CASE WHEN violations = 0 THEN 'passed' ELSE 'failed' END AS status FROM k""")
 sql("dq_latest_per_key", """SELECT user_id, event_id, ts, event_type, value FROM events
        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")

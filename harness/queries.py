@@ -14,7 +14,7 @@ from tallyloft import schemas as S
 from tallyloft.functions.scalar import is_bad_text, local_amount, money, once
 from tallyloft.operators import clean, fx, quality as Q, scd2
 from tallyloft.operators.joins import attach
-from tallyloft.plans import dims, facts, gold_marts as gold, hot_marts as hot, silver
+from tallyloft.plans import batch, dims, facts, gold_marts as gold, hot_marts as hot, silver
 from tallyloft.session import scratch_path, stage
 from tallyloft.sources import bronze
 from tallyloft.streaming import decode, messages, orders, runner, sinks
@@ -674,6 +674,13 @@ def dq_run_summary(x):
     return Q.run_summary(_checks(x))
 
 
+@query
+def dq_gate(x):
+    """The checks that stand between the published facts and their readers."""
+    p, sales = x.published, stage(x.silver_sales, "gated-sales")
+    return Q.results([*batch.key_findings(sales, p), *batch.fact_findings(sales, p["fact_sales"], p["fact_product_sales"])])
+
+
 @query
 def dq_latest_per_key(x):
     """Newest event per customer, all columns."""

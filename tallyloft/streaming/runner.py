@@ -57,6 +57,13 @@ def order_events(
     return derive(with_stores(decode.good(decode.decode(raw, read_body)), stores), seen_at)
 
 
+def dead_letters(
+    raw: DataFrame, path: str, checkpoint: str, read_body: decode.BodyReader = decode.json_body
+) -> DataStreamWriter:
+    """The messages that ``order_events`` leaves out, with their reasons: a query of its own, as aggregates cannot branch."""
+    return sinks.parquet(decode.rejected(decode.decode(raw, read_body)), path, checkpoint)
+
+
 def order_updates(raw: DataFrame, stores: DataFrame, seen_at: Column | None = None, **kwargs) -> DataFrame:
     return running(order_events(raw, stores, seen_at, **kwargs))
 

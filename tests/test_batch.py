@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from harness.canonical import Inputs
 from tallyloft.operators import quality as Q
-from tallyloft.plans import batch, facts
+from tallyloft.plans import batch, facts, gold_marts
 from tallyloft.sources import bronze
 
 SF = "/root/testdata/sf0.001"
@@ -37,7 +37,23 @@ def test_run_publishes_checked_layers(spark, landing, tmp_path):
     assert status == {
         ("referential", "customer_key"): "passed", ("referential", "product_key"): "passed",
         ("referential", "store_key"): "passed", ("referential", "currency_code,order_date"): "failed",
-        ("completeness", "order_number"): "passed"}
+        ("completeness", "order_number"): "passed", ("reconciliation", "quantity,total_price_usd"): "passed"}
+    assert out["mart_top_brands"].count() > 0 and out["mart_rfm"].count() == out["fact_sales"].select("customer_fk").distinct().count()
+    bought = out["mart_revenue_quarter_category"].where("level = 7").first().revenue
+    assert bought == price
+    plan = gold_marts.product_mix(gold_marts.published_products(
+        out["fact_product_sales"], out["dim_date"], out["dim_stores"], out["dim_product_info"]))._jdf.queryExecution().toString()
+    assert "/landing" not in plan and "silver" not in plan
+
+
+def test_unknown_keys_and_differing_facts_are_found(spark, landing, tmp_path):
+    out = batch.run(spark, landing, str(tmp_path), "b1")
+    poor = out | {"dim_product_info": out["dim_product_info"].where("product_key % 2 = 0")}
+    with pytest.raises(Q.GateFailed, match="product_key"):
+        Q.gate(Q.results(batch.key_findings(out["silver_sales"], poor)))
+    short = out["fact_product_sales"].where("product_sale_sk > 1")
+    found = {r.check: r.violations for r in Q.results(batch.fact_findings(out["silver_sales"], out["fact_sales"], short)).collect()}
+    assert found == {"completeness": 0, "reconciliation": 1}
 
 
 def test_failed_gate_keeps_the_live_build(spark, tmp_path):

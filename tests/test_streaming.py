@@ -170,6 +170,32 @@ def test_replay_and_compaction(spark, dims, tmp_path):
     assert re.search(r"PartitionFilters: \[[^]]*store_country", pruned)
 
 
+def test_order_path_keeps_its_dead_letters(spark, feed, dims, tmp_path):
+    feed.add(event("a"), b"\x00\x01", event("b", price=float("nan")))
+    feed.add(event("c", ts="soon"))
+    runner.run_to_end(runner.dead_letters(feed.stream(), str(tmp_path / "dlq"), str(tmp_path / "cp")))
+    assert sorted(r.reason for r in spark.read.parquet(str(tmp_path / "dlq")).collect()) == [
+        "event_timestamp unreadable", "short frame", "unit_price_usd no amount"]
+    assert runner.order_events(spark.read.parquet(f"{feed.path}/*"), dims[0], F.col("arrived_at")).count() == 1
+
+
+def test_heavy_country_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN concat('N', id % 7) ELSE 'Big' END AS store_country", "timestamp_seconds(id) AS event_ts",
+        "concat('O-', id) AS order_serial", "cast(id as int) AS quantity")
+    # A partition is split between the tasks that wrote it, so these must not be merged for being small.
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        _table(tmp_path).write(rows, 1, 0)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    files = list((tmp_path / "items" / "run_id=1" / "batch_id=0" / "store_country=Big").glob("*.parquet"))
+    assert len(files) > 4
+
+
 def test_moving_order_keeps_one_row(spark, feed, dims, tmp_path):
     for ts in ("01-01-2024 00:00:00", "01-01-2024 00:05:00"):
         feed.add(event("x", ts=ts))
