@@ -51,13 +51,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grades: 0 toxic, 1 poor, 2 good. ``keep``: more likely not toxic than toxic."""
+    """Grades: 0 toxic, 1 poor, 2 good. ``keep``: likely enough not toxic."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).when(F.col("quality") == 0, 1)
     grader = quality.learn(docs, labels.select("doc_id", grade.alias("grade")))
     found = docs.select("doc_id", quality.graded(grader, docs, F.col("text")).alias("g"))
     return found.select("doc_id", "g.expected_grade", quality.tail(F.col("g"), grader, 2).alias("p_good"),
-                        (quality.tail(F.col("g"), grader, 1) >= 0.5).alias("keep"))
+                        (quality.tail(F.col("g"), grader, 1) >= quality.KEEP_PROBABILITY).alias("keep"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
