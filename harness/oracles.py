@@ -377,6 +377,20 @@ sql("stream_order_agg_windowed", """
          max(is_return) AS is_return_flag, max(is_cancel) AS is_cancel_flag, max(lag) AS max_lag_seconds, max(event_ts) AS last_update
   FROM items GROUP BY ALL)
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, * EXCLUDE (window_start) FROM w""")
+ORACLES["stream_order_redelivered"] = ORACLES["stream_order_agg_windowed"]
+sql("stream_order_sessions", """
+, g AS (
+  SELECT *, CASE WHEN epoch(event_ts) - epoch(lag(event_ts) OVER o) <= 21600 THEN 0 ELSE 1 END AS opens FROM items
+  WINDOW o AS (PARTITION BY order_group_id, event_type, store_country, store_city, currency_code, order_date, customerkey, payment_method
+               ORDER BY event_ts)),
+s AS (
+  SELECT *, sum(opens) OVER (PARTITION BY order_group_id, event_type, store_country, store_city, currency_code, order_date, customerkey,
+                             payment_method ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS n FROM g)
+SELECT min(event_ts) AS first_event, order_group_id, event_type, store_country, store_city, currency_code, order_date, customerkey, payment_method,
+       CAST(sum(quantity) AS BIGINT) AS total_items_count, CAST(sum(price_total) AS DOUBLE) AS total_order_local,
+       CAST(sum(price_total) AS DOUBLE) AS total_order_usd, max(is_return) AS is_return_flag, max(is_cancel) AS is_cancel_flag,
+       max(lag) AS max_lag_seconds, max(event_ts) AS last_update
+FROM s GROUP BY order_group_id, event_type, store_country, store_city, currency_code, order_date, customerkey, payment_method, n""")
 sql("stream_dedup", "SELECT order_serial, event_type, quantity, event_ts, total_sales_usd FROM items")
 sql("stream_dlq", """
 , f AS (

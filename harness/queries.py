@@ -367,6 +367,21 @@ def stream_order_agg_windowed(x):
     return _run(x, "order-windows", orders.windowed(events))
 
 
+@query
+def stream_order_sessions(x):
+    events = runner.order_events(x.frames_of(x.event_feed()), x.stores, F.col("arrived_at"))
+    return _run(x, "order-sessions", orders.sessions(events, "6 hours"))
+
+
+@query
+def stream_order_redelivered(x):
+    """Every fifth message arrives three times, over several files; each counts once in the totals of its order."""
+    copies = F.when(F.expr("event_id % 5 = 0"), 3).otherwise(1)
+    repeated = x.event_feed().withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    events = orders.once(runner.order_events(x.frames_of(repeated), x.stores, F.col("arrived_at")))
+    return _run(x, "order-redelivered", orders.windowed(events, lateness=None))
+
+
 @query
 def stream_order_json(x):
     """Order messages as written by the update-mode query, read back into rows."""

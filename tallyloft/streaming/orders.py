@@ -28,20 +28,32 @@ def _measures() -> list[Column]:
     ]
 
 
-def running(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
+def _late(events: DataFrame, lateness: str | None) -> DataFrame:
+    """No ``lateness``: the events, as ``once`` leaves them, have their watermark."""
+    return events.withWatermark("event_ts", lateness) if events.isStreaming and lateness else events
+
+
+def running(events: DataFrame, lateness: str | None = LATENESS) -> DataFrame:
     """Totals that keep growing, for update mode. The keys hold no time, so state is never given up."""
-    source = events.withWatermark("event_ts", lateness) if events.isStreaming else events
+    source = _late(events, lateness)
     return source.groupBy(*ORDER_KEYS).agg(*_measures())
 
 
-def windowed(events: DataFrame, width: str = "10 minutes", lateness: str = LATENESS) -> DataFrame:
+def windowed(events: DataFrame, width: str = "10 minutes", lateness: str | None = LATENESS) -> DataFrame:
     """Totals per time window: final once the watermark has passed, and then dropped from the state."""
-    source = events.withWatermark("event_ts", lateness) if events.isStreaming else events
+    source = _late(events, lateness)
     totals = source.groupBy(F.window("event_ts", width).alias("w"), *ORDER_KEYS).agg(*_measures())
     return totals.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                          *[c for c in totals.columns if c != "w"])
 
 
+def sessions(events: DataFrame, gap: str = "1 hour", lateness: str | None = LATENESS) -> DataFrame:
+    """Totals per order while its events follow within ``gap``: final, one row an order, and dropped from the state after that."""
+    source = _late(events, lateness)
+    totals = source.groupBy(F.session_window("event_ts", gap).alias("w"), *ORDER_KEYS).agg(*_measures())
+    return totals.select(F.col("w.start").alias("first_event"), *[c for c in totals.columns if c != "w"])
+
+
 def once(
     events: DataFrame, keys: list[str] = ("order_serial", "event_type"), lateness: str = LATENESS, salts: int = 1
 ) -> DataFrame:

@@ -227,6 +227,17 @@ def test_windowed_state_is_given_up(spark, feed, dims, tmp_path):
     assert sorted(r.order_group_id for r in spark.read.parquet(out).collect()) == ["g0", "g1", "g2"]
 
 
+def test_an_order_is_one_session_and_repeats_count_once(spark, feed, dims, tmp_path):
+    for ts in ("01-01-2024 00:00:00", "01-01-2024 00:08:00", "01-01-2024 00:08:00", "02-01-2024 00:00:00", "02-01-2024 00:00:01"):
+        feed.add(event(f"s{ts}", ts=ts), event(f"s{ts}", ts=ts))
+    events = orders.once(runner.order_events(feed.stream(), dims[0], F.col("arrived_at")))
+    out = str(tmp_path / "out")
+    query = runner.run_to_end(sinks.parquet(orders.sessions(events, "30 minutes", lateness=None), out, str(tmp_path / "cp")))
+    rows = spark.read.parquet(out).collect()
+    assert [(r.total_items_count, r.total_order_usd) for r in rows] == [(4, 40.0)]
+    assert _progress(query)[0] >= 1
+
+
 def test_running_state_is_kept(spark, feed, dims, tmp_path):
     for i, ts in enumerate(LATE):
         feed.add(event(f"s{i}", ts=ts, group=f"g{i}"))
