@@ -42,13 +42,21 @@ _OUTSIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
     "alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar rail widget widgets related "
     "recommended recommendations share sharing social newsletter subscribe subscription signup login comment comments commentlist respond disqus "
-    "replies pagination pager skip hidden".split())
+    "replies discussion disclaimer announcement toolbar pagination pager skip hidden".split())
+# Layouts tell by these that they have, or lack, such a part.
+_ABOUT = frozenset("has have with no without".split())
 # End tags that HTML lets authors leave out: a new one of the group closes the old.
 _CLOSED_BY = {"p": frozenset("p div ul ol dl table section article aside header footer nav form h1 h2 h3 h4 h5 h6 pre blockquote main figure hr".split()),
               "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
               "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"]), "head": frozenset(["body"])}
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_NAME = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def _names(value: str) -> set[str]:
+    """The words of a class or id, singly and in pairs: side-bar, sideBar and sidebar are one."""
+    words = [w.lower() for w in _NAME.findall(value)]
+    return {*words, *(a + b for a, b in zip(words, words[1:]))} if _ABOUT.isdisjoint(words) else set()
 
 
 def _outside(tag: str, attributes: str) -> bool:
@@ -58,13 +66,13 @@ def _outside(tag: str, attributes: str) -> bool:
     if not attributes or tag in ("html", "body") or tag in _ARTICLE:
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
-        value = value.strip("\"'").lower()
+        value = value.strip("\"'")
         name = name.lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name == "role" and value in _OUTSIDE_ROLES:
+        if name == "role" and value.lower() in _OUTSIDE_ROLES:
             return True
-        if name in ("class", "id") and not _OUTSIDE_WORDS.isdisjoint(_NAME.findall(value)):
+        if name in ("class", "id") and any(not _OUTSIDE_WORDS.isdisjoint(_names(v)) for v in value.split()):
             return True
     return False
 

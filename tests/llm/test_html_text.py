@@ -21,6 +21,8 @@ CASES = [
     ("<ARTICLE><P>A</P></ARTICLE>", "A"), ("<article>a<script>open", "a"), ("<article>a<!-- open", "a"),
     ("<article><p>&eacute;&#233;&#xe9; &bogus; &amp;amp;</p></article>", "ééé &bogus; &amp;"),
     ("<article><p><a href=x>only a link</a></p></article>", "only a link"),
+    ("<div class='page has-sidebar'><article>a<div id=cookieNotice>n</div><div class='x side-bar'>s</div></article></div>", "a"),
+    ("<article>a<div class='reader-comments'><p>c</p></div><div class=READER-COMMENT>d</div>b</article>", "a\n\nb"),
     ("<article><p>repeated</p><p>repeated</p></article>", "repeated\n\nrepeated"),
 ]
 
