@@ -6,7 +6,9 @@ one canonical value. A keyed hash of type, value and attempt draws the surrogate
 digits made right, addresses in range, and names from syllables of the same script and gender.
 
 Distinctness is checked over the whole corpus: of entities that draw the same surrogate one keeps it and the others draw again, and so
-does an entity whose surrogate is itself a value in the corpus, until none is left. Surrogates are joined back to the mentions by value
+does an entity whose surrogate is itself a value in the corpus, until none is left. Once its first draws have failed, an entity's surrogates
+grow by a character, syllable or initial an attempt, and signs become letters and digits, so that values of any number find free ones; an
+IPv4 address becomes an IPv6 address then. Surrogates are joined back to the mentions by value
 (values that hold a notable share of the mentions by broadcast, the others by a shuffle) and written in the mention's own format.
 
 Defined results: a NULL text stays NULL; texts without personal data stay as they are. Of overlapping mentions the first, then the longer one,
@@ -57,6 +59,11 @@ SYLLABLES = {
 }
 
 
+# Draws in the format of the value, before surrogates grow. Kinds of a fixed format have more of them.
+DRAWS, FIXED_DRAWS = 4, 32
+FIXED = frozenset(["ip", "ssn", "card", "iban", "phone"])
+
+
 def luhn(digits: str) -> int:
     total = 0
     for i, d in enumerate(map(int, reversed(digits))):
@@ -137,9 +144,13 @@ def _hex_like(text: str, draw: random.Random) -> str:
     return "".join(draw.choice("0123456789abcdef") if c in "0123456789abcdef" else c for c in text)
 
 
-def _word(like: str, gender: str, script: str, draw: random.Random, last: bool) -> str:
+def _any(n: int, draw: random.Random, signs: str = string.ascii_letters + string.digits) -> str:
+    return "".join(draw.choice(signs) for _ in range(n))
+
+
+def _word(like: str, gender: str, script: str, draw: random.Random, last: bool, more: int = 0) -> str:
     syllables, endings = SYLLABLES[script]
-    word = "".join(draw.choice(syllables) for _ in range(max(2, round(len(like) / 2.5))))
+    word = "".join(draw.choice(syllables) for _ in range(max(2, round(len(like) / 2.5)) + more))
     return word if last else word + draw.choice(endings[gender])
 
 
@@ -147,42 +158,55 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
     """The ``attempt``-th surrogate of a canonical value."""
     seed = hashlib.blake2b(f"{kind}\0{value}\0{attempt}".encode("utf-8", "surrogatepass"), key=key.encode()[:64], digest_size=16).digest()
     draw = random.Random(seed)
+    more = max(0, attempt + 1 - (FIXED_DRAWS if kind in FIXED else DRAWS))
     if kind == "email":
         local, _, domain = value.rpartition("@")
         host, _, top = domain.rpartition(".")
-        return f"{_like(local, draw)}@{_like(host, draw)}.{top}"
+        return f"{_like(local, draw)}{_any(more, draw, string.ascii_lowercase)}@{_like(host, draw)}.{top}"
     if kind == "ip":
+        if more:
+            return "2001:db8:" + ":".join(f"{draw.getrandbits(16):x}" for _ in range(6))
         return ".".join(str(draw.randint(1, 254)) for _ in range(4))
     if kind == "card":
-        head = value[0] + _like(value[1:-1], draw)
+        head = value[0] + _like(value[1:-1], draw) + _any(more, draw, string.digits)
         return head + str(-luhn(head + "0") % 10)
     if kind == "phone":
         code = 2 if value[0] == "+" else 0  # the first digit of the country's code stays
-        return value[:code] + _like(value[code:], draw)
+        return value[:code] + _like(value[code:], draw) + _any(more, draw, string.digits)
     if kind == "iban":
-        rest = _like(value[4:], draw)
+        rest = _like(value[4:], draw) + _any(more, draw, string.digits)
         return f"{value[:2]}{98 - iban_rest(value[:2] + '00' + rest):02d}{rest}"
     if kind == "key":
         head = re.match(r"AKIA|ASIA|ghp_|gho_|glpat-|sk_live_|sk-|xox[bp]-", value)[0]
-        return head + _like(value[len(head):], draw)
+        tail = value[len(head):]
+        if head in ("AKIA", "ASIA"):
+            return head + _like(tail, draw) + _any(more, draw, string.ascii_uppercase + string.digits)
+        return head + (_any(len(tail) + more, draw) if more or not any(map(str.isalnum, tail)) else _like(tail, draw))
     if kind == "secret":
-        return (_hex_like if re.fullmatch("[0-9a-f]+", value) else _like)(value, draw)
+        if re.fullmatch("[0-9a-f]+", value):
+            return _hex_like(value, draw) + _any(more, draw, "0123456789abcdef")
+        return _any(len(value) + more, draw) if more or not any(map(str.isalnum, value)) else _like(value, draw)
     if kind.startswith("name-"):
         words = value.split(" ")
         script = script_of(value)
-        return " ".join(draw.choice(SYLLABLES[script][0])[0] + "." if w.endswith(".") and len(w) == 2 else
-                        _word(w, kind[-1], script, draw, i == len(words) - 1) for i, w in enumerate(words))
-    return _like(value, draw)
+        initial = lambda: draw.choice(SYLLABLES[script][0])[0] + "."
+        drawn = [initial() if w.endswith(".") and len(w) == 2 else
+                 _word(w, kind[-1], script, draw, i == len(words) - 1, more) for i, w in enumerate(words)]
+        if more and all(w.endswith(".") and len(w) == 2 for w in words):
+            drawn += [initial() for _ in range(more)]
+        return " ".join(drawn)
+    return _like(value, draw) + _any(more, draw, string.digits)
 
 
 def written(mention: str, kind: str, replacement: str) -> str:
     """The surrogate in the format of a mention."""
     if kind in ("phone", "card", "ssn", "iban"):
         signs = iter(replacement.lstrip("+"))
-        return "".join(next(signs) if c.isalnum() else c for c in mention)
+        return "".join(next(signs) if c.isalnum() else c for c in mention) + "".join(signs)
     if kind.startswith("name-"):
-        words = mention.split()
-        return " ".join(r.upper() if w.isupper() and len(w) > 2 else r.capitalize() for w, r in zip(words, replacement.split(" ")))
+        words, drawn = mention.split(), replacement.split(" ")
+        words += words[-1:] * (len(drawn) - len(words))
+        return " ".join(r.upper() if w.isupper() and len(w) > 2 else r.capitalize() for w, r in zip(words, drawn))
     if kind == "email":
         if mention.isupper():
             return replacement.upper()
