@@ -2,13 +2,13 @@
 
 Texts are lower-cased; everything but letters and marks becomes one space. Spark counts the n-grams of all learning documents: tasks sum
 up their own texts, a shuffle sums up tasks. From the counts of the longest n-grams every lower order follows (Kneser-Ney counts the
-different characters before a shorter n-gram), so only these are counted. The model keeps at most ``max_cells`` probabilities: where the corpus
-has more n-grams, the rarest go. The n-grams of all languages stand in sorted arrays of 64-bit hashes, one array per order, beside the
-log-probabilities of each language; an n-gram that no language has falls back to the next shorter one with the weights of its context.
+different characters before a shorter n-gram), so only these are counted. The n-grams of all languages stand in sorted arrays of 64-bit hashes,
+one array per order, beside the log-probabilities of each language; an n-gram that no language has falls back to the next shorter one with
+the weights of its context. No n-gram is left out: a model of at most ``max_cells`` probabilities is built on the driver and broadcast, a larger one by
+Spark, which writes the arrays in files by hash range to the shared folder; tasks map the files they need into memory.
 
 The language with the lowest cross-entropy per character wins. A document is rejected if that cross-entropy is nearer to what texts of
-other languages cost than to what the language's own texts cost, as measured on at most ``calibration`` learning documents; short
-texts get more room.
+other languages cost than to what the language's own texts cost, as measured on all learning documents; short texts get more room.
 
 Defined results: NULL texts and texts without a letter are ``und``, score 0, rejected; so is every text if nothing could be
 learned. NULL languages and texts are not learned from. Ties go to the first language by code point. Repeated rows count each.
@@ -17,8 +17,10 @@ Other columns are neither read nor changed.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +28,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloft.llm.common import sampled, shared
-from tallyloft.session import stage
+from tallyloft.llm.common import shared
+from tallyloft.session import scratch_path, stage
 
 ORDER = 4  # characters of the longest n-gram: four UTF-16 units fill 64 bits
 START = 0xFFFF
 CHUNK = 1 << 20
+SCORED_CELLS = 1 << 22  # probabilities that a task looks up at a time
+RANGE_CELLS = 1 << 19  # probabilities in a file of a written model, about
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 UNKNOWN = "und"
 GUESS = "lang string, score double, cross_entropy double, rejected boolean"
@@ -221,10 +225,12 @@ class Model:
         sums, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
         for a, b in chunks(texts):
             for keys, of in windows(texts[a:b]):
-                if len(of):
-                    edges = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                    sums[a + of[edges]] -= np.add.reduceat(self.log_probabilities(keys), edges, axis=0, dtype=np.float64)
-                    n[a + of[edges]] += np.diff(np.append(edges, len(of)))
+                step = max(1, SCORED_CELLS // len(self.langs))
+                for i in range(0, len(of), step):
+                    own = of[i:i + step]
+                    edges = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                    sums[a + own[edges]] -= np.add.reduceat(self.log_probabilities(keys[i:i + step]), edges, axis=0, dtype=np.float64)
+                    n[a + own[edges]] += np.diff(np.append(edges, len(own)))
         return sums / np.maximum(n, 1)[:, None], n
 
     def guess(self, texts: list[str | None]) -> pd.DataFrame:
@@ -244,41 +250,162 @@ class Model:
         return out
 
 
-def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id",
-          max_cells: int = 8_000_000, calibration: int = 2048) -> Model:
-    """Count all documents that have a language, build the models on the driver, calibrate on ``calibration`` of the documents."""
+class RangeFiles:
+    """Sorted hashes and the rows beside them in files by hash range; looked up like a HashArray and its rows."""
+
+    def __init__(self, bits: int, width: int, files: list[tuple[int, int, str]]):
+        """files: range, rows and path of each."""
+        self.bits, self.width = bits, width
+        files = sorted(files)
+        self.paths = [path for _, _, path in files]
+        self.starts = np.cumsum([0, *(n for _, n, _ in files)])
+        self.file_of = {r: i for i, (r, _, _) in enumerate(files)}
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        hashes, of = np.unique(_mixed(keys), return_inverse=True)
+        out = np.full(len(hashes), -1, np.int64)
+        parts = _ranges(hashes, self.bits)
+        edges = np.flatnonzero(np.diff(parts, prepend=-1, append=-1))
+        for a, b in zip(edges[:-1], edges[1:]):
+            i = self.file_of.get(int(parts[a]))
+            if i is not None:
+                held = np.load(f"{self.paths[i]}-hashes.npy", mmap_mode="r")
+                at = np.minimum(np.searchsorted(held, hashes[a:b]), len(held) - 1)
+                out[a:b] = np.where(held[at] == hashes[a:b], self.starts[i] + at, -1)
+        return out[of]
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        """The rows at these places; zeros for -1."""
+        places, of = np.unique(at, return_inverse=True)
+        out = np.zeros((len(places), self.width), np.float32)
+        files = np.searchsorted(self.starts, places, "right") - 1
+        for i in np.unique(files[places >= 0]):
+            own = files == i
+            out[own] = np.load(f"{self.paths[i]}-rows.npy", mmap_mode="r")[places[own] - self.starts[i]]
+        return out[of]
+
+
+def _ranges(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+class WrittenModel(Model):
+    """The same model in files of the shared folder, built by Spark."""
+
+    def __init__(self, langs: list[str], counts: DataFrame):
+        """counts: ``lang``, ``gram``, ``n`` of all n-grams."""
+        super().__init__([], [])
+        self.langs = langs
+        self.masks = [np.uint64((1 << 16 * k) - 1) for k in range(ORDER + 1)]
+        number = (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int")
+        cells = {ORDER: counts.select(number.alias("no"), "gram", F.col("n").cast("double").alias("n"))}
+        for k in range(ORDER - 1, 0, -1):
+            shorter = cells[k + 1].select("no", F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1)).alias("gram"))
+            cells[k] = stage(shorter.groupBy("no", "gram").agg(F.count("*").cast("double").alias("n")), "language-cells")
+        alphabet = cells[1].select("gram").distinct().count() + 1
+        self.floor = -np.log2(alphabet)
+
+        index = F.lit(list(range(len(langs))))
+
+        def wide(rows: DataFrame, key: str, *names: str) -> DataFrame:
+            """A row per key, with an array by language of each column; 0 where the language has none."""
+            def filled(n: str) -> Column:
+                return F.transform(index, lambda i: F.coalesce(F.try_element_at(F.col(n), i), F.lit(0.0))).alias(n)
+
+            held = rows.groupBy(key).agg(*(F.map_from_entries(F.collect_list(F.struct("no", n))).alias(n) for n in names))
+            return held.select(key, *map(filled, names))
+
+        written, lower = [], None  # table, key, values
+        for k in range(1, ORDER + 1):
+            sums = {r[0]: (r[1], r[2]) for r in cells[k].groupBy("no").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).collect()}
+            discounts = F.lit([float(min(max(a / (a + 2 * b) if a else 0.5, 0.05), 0.95)) for a, b in (sums[j] for j in range(len(langs)))])
+            head = F.shiftrightunsigned("gram", 16).alias("head")
+            heads = cells[k].groupBy("no", head).agg(F.sum("n").alias("total"), F.count("*").cast("double").alias("kinds"))
+            heads = stage(wide(heads, "head", "total", "kinds"), "language-contexts")
+            rows = wide(cells[k], "gram", "n").withColumn("head", F.shiftrightunsigned("gram", 16))
+            rows = rows.join(F.broadcast(heads) if k == 1 else heads, "head")  # the shortest n-grams have one context
+            if k == 1:
+                rows = rows.withColumn("before", F.lit([1 / alphabet] * len(langs)))
+            else:
+                rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1))).join(lower, "suffix")
+            fallen = lambda i: F.get(discounts, i) * F.get("kinds", i) / F.get("total", i)
+            p = F.transform(index, lambda i: F.when(
+                F.get("total", i) > 0,
+                F.greatest(F.get("n", i) - F.get(discounts, i), F.lit(0.0)) / F.get("total", i) + fallen(i) * F.get("before", i)).otherwise(F.get("before", i)))
+            rows = stage(rows.select("gram", p.alias("p")), "language-probabilities")
+            lower = rows.select(F.col("gram").alias("suffix"), F.col("p").alias("before"))
+            falls = F.transform(index, lambda i: F.when(F.get("total", i) > 0, fallen(i)).otherwise(1.0))
+            written.append(rows.select(F.lit(2 * k).alias("no"), F.col("gram").alias("key"), F.col("p").alias("value")))
+            written.append(stage(heads.select(F.lit(2 * k + 1).alias("no"), F.col("head").alias("key"), falls.alias("value")), "language-falls"))
+        tables = _written(written, len(langs), scratch_path(counts.sparkSession, "language-model"))
+        self.arrays = self.logs = [None, *(tables[2 * k] for k in range(1, ORDER + 1))]
+        self.context_arrays = self.falls = [None, *(tables[2 * k + 1] for k in range(1, ORDER + 1))]
+
+
+def _written(tables: list[DataFrame], width: int, folder: str) -> dict[int, RangeFiles]:
+    """Files of about RANGE_CELLS logarithms of the rows (no, key, value) of each table, by number."""
+    scheme = re.match(r"([a-z][a-z0-9+.-]*):/*(?=/)", folder)
+    if scheme and scheme[1] != "file":
+        raise RuntimeError("a language model of this size needs a spark.checkpoint.dir that all executors have as a path")
+    folder = folder[scheme.end():] if scheme else folder
+    bits = {2 + i: max(0, t.count() * width // RANGE_CELLS).bit_length() for i, t in enumerate(tables)}
+
+    @F.pandas_udf("bigint")
+    def ranges(keys: pd.Series, of: pd.Series) -> pd.Series:
+        hashes = _mixed(keys.to_numpy(np.int64).view(np.uint64))
+        return pd.Series((hashes >> np.uint64(1)).astype(np.int64) >> (63 - of.to_numpy(np.int64)))
+
+    def write(own: pd.DataFrame) -> pd.DataFrame:
+        os.makedirs(folder, exist_ok=True)
+        path = f"{folder}/{uuid.uuid4().hex}"  # an attempt's own; only those of finished tasks are named in the model
+        hashes = _mixed(own["key"].to_numpy(np.int64).view(np.uint64))
+        order = np.argsort(hashes)
+        np.save(f"{path}-hashes.npy", hashes[order])
+        np.save(f"{path}-rows.npy", np.log2(np.stack(own["value"].to_numpy())[order]).astype(np.float32))
+        return pd.DataFrame({"no": own["no"].iloc[:1], "range": own["range"].iloc[:1], "n": len(own), "path": path})
+
+    found: dict[int, list] = {no: [] for no in bits}
+    for no, table in zip(bits, tables):
+        dealt = table.withColumn("range", ranges("key", F.lit(bits[no])))
+        for r in dealt.groupBy("no", "range").applyInPandas(write, "no int, range long, n long, path string").collect():
+            found[no].append((r["range"], r["n"], r["path"]))
+    return {no: RangeFiles(bits[no], width, files) for no, files in found.items()}
+
+
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_cells: int = 8_000_000) -> Model:
+    """Count all documents that have a language, build the models of all their n-grams, calibrate on the same documents.
+
+    ``max_cells`` bounds what the driver builds and broadcasts; larger models are built and written by Spark.
+    """
     counts = stage(count(docs, text_col, lang_col), "language-grams")
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
-    sizes = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*")).collect()
-    least, held = 1, 0
-    for power, n in sorted(map(tuple, sizes), reverse=True):
-        held += n
-        if held * len(langs) > max_cells:
-            least = 1 << (power + 1)
-            break
-    rows = counts.filter(F.col("n") >= least).toPandas()
-    rows = rows.assign(gram=rows["gram"].to_numpy().view(np.uint64)).sort_values("gram")
-    langs = [x for x in langs if (rows["lang"] == x).any()]
-    own = [rows[rows["lang"] == x] for x in langs]
-    model = Model(langs, [(r["gram"].to_numpy(), r["n"].to_numpy()) for r in own])
+    if counts.count() * len(langs) > max_cells:
+        model = WrittenModel(langs, counts)
+    else:
+        rows = counts.toPandas()
+        rows = rows.assign(gram=rows["gram"].to_numpy().view(np.uint64)).sort_values("gram")
+        own = [rows[rows["lang"] == x] for x in langs]
+        model = Model(langs, [(r["gram"].to_numpy(), r["n"].to_numpy()) for r in own])
     if langs:
-        _calibrate(model, docs, text_col, lang_col, key_col, calibration)
+        _calibrate(model, docs, text_col, lang_col)
     return model
 
 
-def _calibrate(model: Model, docs: DataFrame, text_col: str, lang_col: str, key_col: str, most: int) -> None:
+def _calibrate(model: Model, docs: DataFrame, text_col: str, lang_col: str) -> None:
     held = shared(docs.sparkSession.sparkContext, model)
 
     def cost(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        langs = held().langs
         for batch in batches:
             bits, n = held().costs(list(batch["text"]))
-            for j, lang in enumerate(held().langs):
-                yield pd.DataFrame({"own": batch["lang"], "by": lang, "bits": bits[:, j], "n": n})[n >= 20]
+            for own, rows in batch.assign(at=range(len(batch)))[n >= 20].groupby("lang"):
+                yield pd.DataFrame({"own": own, "by": langs, "bits": bits[rows["at"].to_numpy()].sum(axis=0), "n": len(rows)})
 
     known = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    some = sampled(known, F.xxhash64(key_col, text_col), most).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    seen = some.mapInPandas(cost, "own string, by string, bits double, n double").groupBy("own", "by").agg(
-        F.avg("bits").alias("bits"), F.avg(F.col("bits") * F.col("bits")).alias("squares"), F.avg("n").alias("n")).toPandas()
+    seen = (known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+            .mapInPandas(cost, "own string, by string, bits double, n long").groupBy("own", "by")
+            .agg((F.sum("bits") / F.sum("n")).alias("bits")).toPandas())
     seen["own_bits"] = seen["own"] == seen["by"]
     limits = []
     for lang in model.langs:

@@ -127,3 +127,23 @@ def test_one_language_and_small_model(spark):
     model = langid.learn(docs, max_cells=5)
     assert model.langs in ([], ["en"])
     assert langid.learn(docs).guess(["the cat and the dog"]).lang[0] == "en"
+
+
+def test_models_beyond_the_bound_keep_every_n_gram(spark, monkeypatch):
+    """A written model gives what the broadcast one gives, a rare language included."""
+    monkeypatch.setattr(langid, "RANGE_CELLS", 64)
+    rows = [(i, "the cat and the dog and the end of the tale " * (i % 3 + 1) + "x" * (i % 7), "en") for i in range(60)]
+    rows += [(100 + i, "der hund und die katze und das ende " * (i % 2 + 1) + "ü" * i, "de") for i in range(9)] + [(200, "Ћирилица је писмо, а ово текст на њему 𝒳", "sr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, written = langid.learn(docs), langid.learn(docs, max_cells=100)
+    assert isinstance(written, langid.WrittenModel) and not isinstance(whole, langid.WrittenModel)
+    assert written.langs == whole.langs == ["de", "en", "sr"] and written.floor == whole.floor
+    probe = [t for _, t, _ in rows] + ["the katze zq and the endx qq", "ово је hund", "q", None, ""]
+    for t in probe[:-2]:
+        assert np.allclose(written.log_probabilities(packed(t)), whole.log_probabilities(packed(t)), atol=1e-4)
+    assert np.allclose(written.limits, whole.limits, atol=1e-4)
+    one, two = whole.guess(probe), written.guess(probe)
+    assert (one["lang"] == two["lang"]).all() and (one["rejected"] == two["rejected"]).all() and one["lang"][69] == "sr" and not one["rejected"][69]
+    found = docs.select("doc_id", langid.guess(written, docs, docs["text"]).alias("g")).collect()
+    assert {r.doc_id: r.g.lang for r in found} == {i: x for i, _, x in rows}
+    assert not any(r.g.rejected for r in found)
