@@ -1,14 +1,14 @@
 """Mixing sources to target weights through a multivariate-hypergeometric splitting tree.
 
 Every source is cut into blocks by a keyed hash of its documents. A source's target is drawn as whole rounds over all its blocks
-plus a part: whole blocks in an order permuted per source, and of the blocks in which the target is reached those documents that, in
-order of their hashes, still fit. So the number of block draws of each source, its quota, is exact. A tree over the output shards splits
+plus a part: whole blocks in an order permuted per source, then, in rounds over the blocks that follow, the documents that still fit
+into what is needed, until none of the source does, and the shortest one left if that comes nearer. So the number of block draws of each source, its quota, is exact. A tree over the output shards splits
 all quotas: each node passes a hypergeometric draw of its blocks to its left half, the rest to its right, until each shard has its own number of
 blocks of each source; these numbers add up to the quotas. Shards then take disjoint runs of the source's permuted draws and
 shuffle them locally by hash.
 
 Every decision is a function of the source, the hash and the seed, so runs agree, whatever the partitions. A source's rows are never
-brought together: sums go by (source, block), at most 2**16 blocks a source, and only hashes and sizes of its last blocks, BLOCK_WORDS or
+brought together: sums go by (source, block), at most 2**16 blocks a source, and only hashes and sizes of a round's last blocks, BLOCK_WORDS or
 two of its 2**16 parts, meet in one task. A level of the tree handles a node's sources together: one number per source.
 
 Weights are 1, 2, 3, repeating over the sources by code point, NULL last. Targets share the total of all sizes by weight, stop
@@ -94,29 +94,56 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     used = F.coalesce(F.max(F.when(F.col("whole"), F.col("sum"))).over(Window.partitionBy("key")), F.lit(0))
     cut = stage(cut.withColumn("need", F.col("rest") - used), "mix-blocks")
 
-    # Where the target is reached: this block, and the next ones up to ``block_words``.
-    last = cut.filter(~F.col("whole") & (F.col("need") > 0) & (F.col("sum") - F.col("words") <= F.col("rest") + block_words))
-    held = (sized.withColumn("block", out.block(F.col("code"))).join(last.select("key", "block", "sum", "need"), ["key", "block"])
-            .groupBy("key", "block", "sum", "need", "code").agg(F.sum("size").alias("size")))
-    chosen = held.groupBy("key").applyInPandas(_fit, "key string, block long, chosen array<long>")
-    blocks = cut.join(chosen, ["key", "block"], "left")
-    out.blocks = stage(blocks.select("key", "block", "words", "source_size", "target", "rounds", "whole", "chosen"), "mix-plan")
+    chosen = _rest(out, cut, block_words).groupBy("key", "block").agg(F.sum("size").alias("got"), F.sort_array(F.collect_list("code")).alias("codes"))
+    blocks = cut.join(chosen, ["key", "block"], "left").withColumn("full", F.coalesce(F.col("got") == F.col("words"), F.lit(False)))
+    out.blocks = stage(blocks.select("key", "block", "words", "source_size", "target", "rounds", (F.col("whole") | F.col("full")).alias("whole"),
+                                     F.when(~F.col("full"), F.col("codes")).alias("chosen")), "mix-plan")
     return out
 
 
+def _rest(planned: Plan, cut: DataFrame, block_words: int) -> DataFrame:
+    """``key``, ``block``, ``code``, ``size`` of what fits after the whole blocks. A round settles a block of each open source at least."""
+    on = ["key", "block"]
+    state = cut.filter(~F.col("whole") & (F.col("need") > 0)).select(*on, "need")
+    # Longer documents neither fit nor come nearer.
+    left = (planned.sized.filter("size > 0").withColumn("block", planned.block(F.col("code"))).groupBy(*on, "code").agg(F.sum("size").alias("size"))
+            .join(state, on).filter("size < 2 * need").withColumnRenamed("need", "first_need"))
+    left = stage(left, "mix-left")
+    permuted = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(planned.seed), *on), "block")
+    taken = left.select(*on, "code", "size").limit(0)
+    while True:
+        fitting = left.drop("first_need").join(state, on).filter("size <= need")
+        steps = (fitting.groupBy(*on, "need").agg(F.sum("size").alias("fit")).withColumn("sum", F.sum("fit").over(permuted))
+                 .withColumn("all", F.col("sum") <= F.col("need"))
+                 .withColumn("near", ~F.col("all") & (F.col("sum") - F.col("fit") <= F.col("need") + block_words))
+                 .withColumn("used", F.coalesce(F.max(F.when(F.col("all"), F.col("sum"))).over(Window.partitionBy("key")), F.lit(0))))
+        steps = stage(steps, "mix-fits")
+        if not steps.take(1):
+            break
+        held = fitting.drop("need").join(steps.filter(F.col("all") | F.col("near")), on)
+        picked = held.filter("near").withColumn("need", F.col("need") - F.col("used")).select(*on, "code", "size", "sum", "need").groupBy("key").applyInPandas(
+            _fit, "key string, block long, code long, size long")
+        got = stage(held.filter("all").select(*on, "code", "size").unionByName(picked), "mix-fitted")
+        taken = taken.unionByName(got)
+        spent = got.groupBy("key").agg(F.sum("size").alias("spent"))
+        state = stage(steps.filter(~F.col("all") & ~F.col("near")).join(spent, "key", "left").select(
+            *on, (F.col("need") - F.coalesce("spent", F.lit(0))).alias("need")).filter("need > 0"), "mix-open")
+    spent = taken.groupBy("key").agg(F.sum("size").alias("spent"))
+    shortest = (left.join(taken, [*on, "code"], "left_anti").groupBy("key")
+                .agg(F.min(F.struct("size", "block", "code")).alias("d"), F.first("first_need").alias("need")).join(spent, "key", "left")
+                .withColumn("need", F.col("need") - F.coalesce("spent", F.lit(0))).filter("d.size - need < need")
+                .select("key", "d.block", "d.code", "d.size"))
+    return stage(taken.unionByName(shortest), "mix-rest")
+
+
 def _fit(rows: pd.DataFrame) -> pd.DataFrame:
-    """The documents that fit into what the source still needs, in permuted order, and one more if that comes nearer."""
-    rows = rows[rows["size"] > 0].sort_values(["sum", "code"])
-    need, takes = float(rows["need"].iloc[0]) if len(rows) else 0.0, []
+    """The documents that fit into what the source still needs, in permuted order."""
+    rows = rows.sort_values(["sum", "code"])
+    need, takes = float(rows["need"].iloc[0]), []
     for size in rows["size"]:
         takes.append(size <= need)
         need -= size if takes[-1] else 0
-    takes = np.array(takes, bool)
-    left = rows["size"].to_numpy()[~takes]
-    if len(left) and left.min() - need < need:
-        takes[np.flatnonzero(~takes)[left.argmin()]] = True
-    chosen = [(*block, own["code"].tolist()) for block, own in rows[takes].groupby(["key", "block"])]
-    return pd.DataFrame(chosen, columns=["key", "block", "chosen"])
+    return rows[takes][["key", "block", "code", "size"]]
 
 
 def allotted(code: Column, chosen: Column) -> Column:

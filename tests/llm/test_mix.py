@@ -124,3 +124,13 @@ def test_empty_table_and_empty_texts(spark):
         found = mix.taken(planned, drawn).collect()
         assert len(found) == len(rows) and all(r.taken == 0 and r.target == 0 for r in found)
         mix.mixed(docs, planned, drawn).collect()
+
+
+def test_a_giant_document_does_not_end_its_source(spark):
+    """Source a gets a twelfth of all words, 875, and has 1,000 in small documents beside the giant."""
+    rows = [(i, "w " * 10, "a") for i in range(100)] + [(100, "w " * 5000, "a")] + [(200 + i, "w " * 10, "bcdef"[i % 5]) for i in range(450)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (0, 1):
+        planned = mix.plan(docs, block_words=50, seed=seed)
+        found = [r for r in mix.taken(planned, mix.draws(planned, shards=2)).collect() if r.id <= 100]
+        assert {r.target for r in found} == {875.0} and abs(sum(r.taken for r in found) - 875) <= 5
