@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloft.llm import chat, decontaminate, exact_dedup, html_text, langid, mix, pii, quality, simhash, url_filter
+from tallyloft.llm import (
+    chat, decontaminate, embeddings, exact_dedup, html_text, langid, mix, pii, prefix_trie, quality, simhash, token_alignment, url_filter,
+)
 from tallyloft.llm.common import table
 
+# The folder of the tokenizers' files on the driver, which hands them to the tasks.
+TOKENIZERS = "/opt/tokenizers"
 # The key of the registered query; real runs pass one that is kept secret.
 PII_KEY = "an example, not a secret"
 # The rules that the URL query judges by.
@@ -73,6 +79,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, ["page_id"])
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), group=100, most=6)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    a, b = Path(tokenizers, "byte_bpe_50k.json").read_text(encoding="utf-8"), Path(tokenizers, "piece_bpe_32k.model").read_bytes()
+    return token_alignment.aligned(table(spark, sf_dir, "documents"), a, b).withColumnRenamed("id", "doc_id")
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least_cosine=0.98).withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_chat": op2_chat,
@@ -84,6 +103,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_url_filter": op10_url_filter,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 ORACLES = {
@@ -116,4 +138,42 @@ ORACLES = {
           SELECT r, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v FROM cut JOIN rules
           ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM cut LEFT JOIN fits USING (r)""",
+    "op11_prefix_trie": r"""
+        WITH bits AS (SELECT list(crc ORDER BY i) AS t FROM (
+            SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc FROM range(256) AS b(i))),
+        own AS (
+          SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST,
+            sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        hashed AS (
+          SELECT c, turns, (xor(list_reduce([4294967295] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+            lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 6)::BIGINT AS h FROM own, bits),
+        rebuilt AS (
+          SELECT x.c, coalesce(b.turns[1:x.h], []) || x.turns[x.h + 1:] AS turns FROM hashed x LEFT JOIN own b ON b.c = x.c - x.c % 100),
+        starts AS (SELECT c, d, turns[1:d] AS k, d = len(turns) AS ends FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+        nodes AS (
+          SELECT k, d, min(c) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS e
+          FROM starts GROUP BY k, d),
+        kids AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+        weighed AS (
+          SELECT k, d, conv_id, nodes.n, e, coalesce(kids.n, 0) AS n_children, CASE WHEN d > 0 THEN (nodes.n - 1) * length(k[d].t) ELSE 0 END AS saved
+          FROM nodes LEFT JOIN kids USING (k)),
+        sums AS (
+          SELECT k[1:a] AS k, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+          FROM (SELECT k, saved, n_children, unnest(range(0, d + 1)) AS a FROM weighed) GROUP BY 1)
+        SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n AS n_convs, w.n_children, n_leaves, saved_tokens, w.e AS ends_sha256
+        FROM weighed w JOIN sums ON sums.k = w.k LEFT JOIN nodes p ON w.d > 0 AND p.d = w.d - 1 AND p.k = w.k[1:w.d - 1]""",
+    "op13_embedding_dedup": r"""
+        WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+        sound AS (
+          SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS MATERIALIZED (
+          SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT reach.a AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1),
+        n AS (SELECT a AS r, count(*) AS n FROM links GROUP BY 1)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+        FROM v JOIN least USING (r) LEFT JOIN n USING (r)""",
 }
