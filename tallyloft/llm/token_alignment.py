@@ -21,6 +21,7 @@ tokens: zeros and an empty ``groups``. Every row is a document, repeated rows an
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -35,9 +36,9 @@ from tallyloft.llm.common import shared
 from tallyloft.session import stage
 
 PIECE = 1 << 14  # ends in a piece
-STRETCH = 1 << 20  # characters worked on at a time
+STRETCH = 1 << 18  # characters worked on at a time
 HOT_PAIRS = 1 << 16
-_KEPT_WORDS, _KEPT_IDS = 1 << 18, 1 << 22
+_KEPT_WORDS, _KEPT_IDS = 1 << 17, 1 << 20
 _WIDE_GROUP = 1 << 12
 _WORD_GAP = re.compile(r"(?<=\S) (?=\S)")
 _BITS = 24
@@ -111,6 +112,7 @@ class Vocabulary:
 
 class Aligner:
     def __init__(self, a_json: str, b_model: bytes, work: int = PIECE):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
