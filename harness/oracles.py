@@ -274,6 +274,15 @@ SELECT row_number() OVER (ORDER BY s.order_number, s.product_sk) AS product_sale
 FROM grouped s JOIN b_customers c ON s.customer_key = c.customerkey JOIN d_date_compat od ON s.order_date = od.date_key
 LEFT JOIN d_date_compat dd ON s.delivery_date = dd.date_key
 GROUP BY s.order_number, s.total_line_items, s.store_sk, s.customer_key, s.product_sk, s.exchange_sk""")
+# Two loads: orders that came late are numbered on from the first load, and only months with a difference were written.
+_AGE = "date_diff('day', o.order_date, (SELECT e FROM span))"
+_LATE = f"(o.order_number % 7 = 0 AND {_AGE} <= 40)"
+_CORRECTED = f"(o.order_number % 11 = 0 AND {_AGE} BETWEEN 80 AND 90)"
+for _name, _order, _key in (("fact_sales", "o.order_number", "order_sk"), ("fact_product_sales", "o.order_number, o.product_sk", "product_sale_sk")):
+    ORACLES[f"{_name}_incremental"] = ORACLES[_name].replace(f"row_number() OVER (ORDER BY {_order}) AS {_key}", f"""
+       CASE WHEN {_LATE} THEN count(*) FILTER (NOT {_LATE}) OVER () ELSE 0 END + row_number() OVER (PARTITION BY {_LATE} ORDER BY {_order}) AS {_key},
+       CASE WHEN {_LATE} THEN 'new' ELSE 'kept' END AS key_state,
+       CAST(bool_or({_LATE} OR {_CORRECTED}) OVER (PARTITION BY year(o.order_date), month(o.order_date)) AS INTEGER) AS written""")
 sql("fx_asof_sales", """
 SELECT l.order_number, l.line_item, l.product_key, l.quantity, l.currency_code, l.order_date, f.date_key AS rate_date_used,
        CAST(f.rate AS DOUBLE) AS rate, CAST(l.price_usd AS DOUBLE) AS price_usd,

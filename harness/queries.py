@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tallyloft import schemas as S
 from tallyloft.functions.scalar import is_bad_text, local_amount, money, once
 from tallyloft.operators import clean, fx, quality as Q, scd2
 from tallyloft.operators.joins import attach
-from tallyloft.plans import batch, dims, facts, gold_marts as gold, hot_marts as hot, silver
+from tallyloft.plans import batch, dims, facts, gold_marts as gold, hot_marts as hot, incremental, silver
 from tallyloft.session import scratch_path, stage
 from tallyloft.sources import bronze
 from tallyloft.streaming import decode, messages, orders, runner, sinks
@@ -223,6 +224,33 @@ def fact_product_sales_compat(x):
     return facts.product_fact_compat(x.star_compat)
 
 
+def _second_load(x: Inputs, name: str) -> DataFrame:
+    """A first load without some late orders and with some wrong quantities, then one of the true sales: keys, and months written."""
+    root, end = scratch_path(x.spark, "monthly"), F.lit(x.bounds[1])
+    number, age = F.col("order_number"), F.datediff(end, "order_date")
+    sales = stage(x.silver_sales, "monthly-sales")
+    early = sales.where(~((number % 7 == 0) & (age <= 40))).withColumn(
+        "quantity", F.when((number % 11 == 0) & age.between(80, 90), F.col("quantity") + 1).otherwise(F.col("quantity")))
+    star = replace(x.star, hot_from={})
+    key, identity, _ = batch.FACTS[name]
+    before, _ = batch.load_facts(x.spark, root, replace(star, sales=early), (name,))[name]
+    before = stage(before.select(*identity, F.col(key).alias("first_key")), "monthly-before")
+    after, written = batch.load_facts(x.spark, root, replace(star, sales=sales), (name,))[name]
+    both = after.alias("a").join(before.alias("b"), incremental.same_row(identity, "a", "b"), "left")
+    return both.select("a.*", F.when(F.col("first_key").isNull(), "new").when(F.col("first_key") == F.col(key), "kept").otherwise("lost").alias("key_state"),
+                       incremental.in_months(written).alias("written")).drop(*incremental.MONTH)
+
+
+@query
+def fact_sales_incremental(x):
+    return _second_load(x, "fact_sales")
+
+
+@query
+def fact_product_sales_incremental(x):
+    return _second_load(x, "fact_product_sales")
+
+
 @query
 def fx_asof_sales(x):
     last = F.lit("2001-12-31").cast("date")

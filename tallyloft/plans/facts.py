@@ -16,8 +16,11 @@ from tallyloft.operators import joins
 from tallyloft.operators.joins import attach
 from tallyloft.operators.keys import dense_key
 from tallyloft.schemas import TOTAL
+from tallyloft.session import stage
 
 ORDER_COLS = ["order_number", "customer_key", "store_key", "currency_code", "order_date"]
+ORDER_IDENTITY = ["order_number_bk", "order_date_fk", "store_fk", "customer_fk", "currency_code"]
+PRODUCT_IDENTITY = ["order_number_bk", "product_fk", "order_date_fk", "store_fk", "customer_fk", "local_currency"]
 
 
 @dataclass
@@ -122,22 +125,26 @@ def order_measures(star: Star) -> DataFrame:
     }).withColumn("total_profit_local", F.col("total_price_local") - F.col("total_cost_local"))
 
 
-def order_fact(star: Star) -> DataFrame:
-    fact = order_measures(star).select(
+def order_rows(star: Star, *extra: str) -> DataFrame:
+    """The order fact without its key; ``extra`` carries columns of ``order_measures`` along."""
+    return order_measures(star).select(
         F.col("order_number").alias("order_number_bk"), "number_of_items", "line_count",
         "order_date_fk", "delivery_date_fk",
         F.col("store_sk").alias("store_fk"),
         F.col("customer_key").alias("customer_fk"), "customer_sk",
         F.col("exchange_sk").alias("exchange_rate_fk"),
         "total_quantity", "total_cost_usd", "total_price_usd", "total_profit_usd",
-        "total_cost_local", "total_price_local", "total_profit_local", "currency_code",
+        "total_cost_local", "total_price_local", "total_profit_local", "currency_code", *extra,
     )
-    return dense_key(fact, ["order_number_bk", "order_date_fk", "store_fk", "customer_fk", "currency_code"], "order_sk")
 
 
-def product_measures(star: Star, *product_cols: str) -> DataFrame:
+def order_fact(star: Star) -> DataFrame:
+    return dense_key(order_rows(star), ORDER_IDENTITY, "order_sk")
+
+
+def product_measures(star: Star, *product_cols: str, grain: DataFrame | None = None) -> DataFrame:
     """One row per (order, product); ``product_cols`` carries product attributes along for the marts."""
-    lines = _with_product(_product_grain(star), star, *product_cols)
+    lines = _with_product(_product_grain(star) if grain is None else grain, star, *product_cols)
     keyed = _with_dates(_with_rate(_with_customer(_with_store(lines, star), star), star), star)
     return keyed.withColumns({
         "total_profit_usd": F.col("total_price_usd") - F.col("total_cost_usd"),
@@ -147,11 +154,11 @@ def product_measures(star: Star, *product_cols: str) -> DataFrame:
     }).withColumn("total_profit_local", F.col("total_price_local") - F.col("total_cost_local"))
 
 
-def product_fact(star: Star) -> DataFrame:
-    # Counting lines per order by aggregate and join: an order with very many lines collapses
-    # before the shuffle, which a window over the order would not do.
-    per_order = star.sales.groupBy("order_number").agg(F.count(F.lit(1)).alias("total_line_items"))
-    fact = _with_line_count(product_measures(star, "product_sk"), per_order, star).select(
+def product_rows(star: Star, *extra: str) -> DataFrame:
+    """The product fact without its key. The grain is written once: it is both measured and summed to lines per order."""
+    grain = stage(_product_grain(star), "product-grain")
+    per_order = grain.groupBy("order_number").agg(F.sum("line_count").alias("total_line_items"))
+    return _with_line_count(product_measures(star, "product_sk", grain=grain), per_order, star).select(
         F.col("order_number").alias("order_number_bk"), "total_line_items",
         "order_date_fk", "delivery_date_fk",
         F.col("store_sk").alias("store_fk"),
@@ -161,11 +168,20 @@ def product_fact(star: Star) -> DataFrame:
         F.col("quantity").alias("p_quantity"),
         "total_cost_usd", "total_price_usd", "total_profit_usd",
         "total_cost_local", "total_price_local", "total_profit_local",
-        "profit_margin", F.col("currency_code").alias("local_currency"),
+        "profit_margin", F.col("currency_code").alias("local_currency"), *extra,
     )
-    return dense_key(
-        fact, ["order_number_bk", "product_fk", "order_date_fk", "store_fk", "customer_fk", "local_currency"],
-        "product_sale_sk")
+
+
+def product_fact(star: Star) -> DataFrame:
+    return dense_key(product_rows(star), PRODUCT_IDENTITY, "product_sale_sk")
+
+
+def priced_inputs(star: Star) -> DataFrame:
+    """Lines with all that the facts take from the dimensions, to tell which months must be loaded again."""
+    lines = _with_rate(_with_product(star.sales, star, "product_sk"), star)
+    keyed = _with_dates(_with_customer(_with_store(lines, star), star), star)
+    return keyed.select(*star.sales.columns, "unit_cost_usd", "unit_price_usd", "product_sk", "rate", "exchange_sk",
+                        "store_sk", "customer_sk", "order_date_fk", "delivery_date_fk")
 
 
 def _compat_dates(star: Star) -> Star:

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from harness.canonical import Inputs
 from tallyloft.operators import quality as Q
-from tallyloft.plans import batch, facts, gold_marts
+from tallyloft.plans import batch, facts, gold_marts, incremental
 from tallyloft.sources import bronze
 
 SF = "/root/testdata/sf0.001"
@@ -68,3 +70,69 @@ def test_failed_gate_keeps_the_live_build(spark, tmp_path):
 def test_orders_are_shuffled_once(spark):
     plan = facts.order_measures(Inputs(spark, SF).natural_star)._jdf.queryExecution().toString()
     assert plan.count("hashpartitioning(order_number") == 1 and "SortMergeJoin" not in plan
+
+
+def test_second_load_writes_changed_months_only(spark, tmp_path):
+    x = Inputs(spark, SF)
+    day = x.silver_sales.agg(F.min("order_date")).first()[0]
+    first_month = [(day.year, day.month)]
+    in_first = incremental.in_months(first_month, F.year("order_date"), F.month("order_date"))
+
+    def load(sales):
+        star = replace(x.star, sales=sales, hot_from={})
+        return batch.load_facts(spark, str(tmp_path), star, ("fact_sales",))["fact_sales"]
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "gold/fact_sales_monthly/months").rglob("*.parquet")}
+
+    without = x.silver_sales.where(~in_first)
+    fact, written = load(without)
+    assert len(written) > 12 and not set(first_month) & set(written)
+    old, keys = files(), {r.order_number_bk: r.order_sk for r in fact.collect()}
+    assert sorted(keys.values()) == list(range(1, len(keys) + 1))
+    assert load(without)[1] == [] and files() == old
+
+    fact, written = load(x.silver_sales)
+    assert written == first_month
+    assert {p: t for p, t in files().items() if p in old} == old
+    rows = {r.order_number_bk: r.order_sk for r in fact.collect()}
+    assert {n: k for n, k in rows.items() if n in keys} == keys
+    assert sorted(k for n, k in rows.items() if n not in keys) == list(range(len(keys) + 1, len(rows) + 1))
+    whole = facts.order_fact(replace(x.star, hot_from={})).drop("order_sk")
+    assert fact.select(*whole.columns).exceptAll(whole).count() == 0 and fact.count() == whole.count()
+
+    # A month that loses its orders disappears, and its orders get their keys back when they return.
+    fact, written = load(without)
+    assert written == [] and fact.count() == len(keys)
+    assert {r.order_number_bk: r.order_sk for r in fact.collect()} == keys
+
+
+def test_a_failed_check_leaves_the_fact_as_it_was(spark, tmp_path):
+    fact = incremental.MonthlyFact(spark, str(tmp_path / "f"), "sk", ["n"])
+    rows = spark.sql("SELECT n, DATE'2020-01-01' + CAST(n * 20 AS INT) AS order_date FROM VALUES (1), (2), (3) AS t(n)")
+    make = lambda df: lambda months: incremental.with_month(df).where(incremental.in_months(months)).drop("order_date")
+    assert fact.load(rows, make(rows)) == [(2020, 1), (2020, 2), (2020, 3)]
+
+    def refuse(df):
+        raise Q.GateFailed("no")
+
+    more = rows.union(spark.sql("SELECT 4, DATE'2020-01-02'"))
+    with pytest.raises(Q.GateFailed):
+        fact.load(more, make(more), refuse)
+    assert sorted((r.n, r.sk) for r in fact.read().collect()) == [(1, 1), (2, 2), (3, 3)]
+    assert fact.load(more, make(more)) == [(2020, 1)]
+    assert sorted((r.n, r.sk) for r in fact.read().collect()) == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_nightly_run_by_month_keeps_all_keys(spark, landing, tmp_path):
+    first = batch.run(spark, landing, str(tmp_path), "b1", monthly=True)
+    sales, stores = ({(r[0], r[1]) for r in first[n].select(*c).collect()} for n, c in (
+        ("fact_sales", ["order_number_bk", "order_sk"]), ("dim_stores", ["store_key", "store_sk"])))
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "gold/fact_sales_monthly/months").rglob("*.parquet")}
+    again = batch.run(spark, landing, str(tmp_path), "b2", monthly=True)
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "gold/fact_sales_monthly/months").rglob("*.parquet")} == files
+    assert {(r[0], r[1]) for r in again["fact_sales"].select("order_number_bk", "order_sk").collect()} == sales
+    assert {(r[0], r[1]) for r in again["dim_stores"].select("store_key", "store_sk").collect()} == stores
+    grown = spark.createDataFrame([(k, None) for k in (-5, *[k for k, _ in stores])], "store_key bigint, store_sk bigint")
+    kept = batch.same_keys(batch.Warehouse(spark, str(tmp_path), "b3"), "dim_stores", grown)
+    assert {(r.store_key, r.store_sk) for r in kept.collect()} == stores | {(-5, len(stores) + 1)} and grown.columns == kept.columns
