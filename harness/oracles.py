@@ -207,6 +207,26 @@ UNION ALL
 SELECT customer_key, name, 'NEW_' || city, state, country, DATE '2001-07-01', CAST(NULL AS DATE), 1
 FROM c WHERE customer_key % 10 = 3""")
 
+_HISTORY = f"""
+, c AS (SELECT customer_key, name, city, state, country FROM ({_S_CUSTOMER})),
+moved AS (SELECT * REPLACE (CASE WHEN customer_key % 10 = 3 THEN 'NEW_' || city ELSE city END AS city) FROM c),
+taken AS (
+  SELECT *, DATE '2001-01-01' AS day FROM c WHERE customer_key % 20 <> 5
+  UNION ALL SELECT *, DATE '2001-04-01' FROM moved
+  UNION ALL SELECT * REPLACE (CASE WHEN customer_key % 7 = 0 THEN 'LATE' ELSE city END AS city), DATE '2001-06-01' FROM moved
+  UNION ALL SELECT *, DATE '2001-09-01' FROM c WHERE customer_key % 6 <> 1
+  UNION ALL SELECT *, DATE '2001-11-01' FROM c),
+starts AS (
+  SELECT *, lag(city) OVER (PARTITION BY customer_key ORDER BY day) IS DISTINCT FROM city AS opens FROM taken),
+history AS (
+  SELECT customer_key, name, city, state, country, day AS valid_from,
+         lead(day) OVER (PARTITION BY customer_key ORDER BY day) AS valid_to FROM starts WHERE opens)"""
+sql("scd2_late_snapshots", _HISTORY + " SELECT *, CAST(valid_to IS NULL AS INTEGER) AS is_current FROM history")
+sql("fact_customer_as_of", _HISTORY + """
+SELECT s.order_number, s.line_item, s.customer_key, s.day, h.valid_from, h.city, h.country
+FROM (SELECT order_number, line_item, customer_key, DATE '2001-01-01' + CAST(order_number % 365 AS INTEGER) AS day FROM sales) s
+LEFT JOIN history h ON h.customer_key = s.customer_key AND h.valid_from <= s.day AND (h.valid_to IS NULL OR s.day < h.valid_to)""")
+
 sql("fact_sales", """
 SELECT row_number() OVER (ORDER BY o.order_number) AS order_sk, o.order_number AS order_number_bk, number_of_items, line_count,
        od.date_sk AS order_date_fk, dd.date_sk AS delivery_date_fk, o.store_sk AS store_fk, o.customer_key AS customer_fk,
@@ -504,6 +524,11 @@ z AS (
 SELECT window_start, store_country, events, bad_events, rate_ppm, mean AS trailing_mean_ppm, std AS trailing_std_ppm,
        CASE WHEN rate_ppm > mean + 2.0 * std THEN 1 ELSE 0 END AS alert FROM z""")
 
+for _name in ("order_ticker", "cancel_alerts"):
+    ORACLES[f"stream_{_name}"] = ORACLES[f"mart_{_name}"]
+sql("stream_revenue_over_time", """SELECT time_bucket(INTERVAL '1 hour', event_ts) AS bucket, CAST(sum(price_total) AS DOUBLE) AS revenue
+       FROM hot_items WHERE is_cancel = 0 AND is_return = 0 GROUP BY 1""")
+
 sql("dq_unique", """SELECT order_number, line_item, count(*) AS row_count FROM sales GROUP BY 1, 2 HAVING count(*) > 1""")
 _SALES_COLUMNS = ["order_number", "line_item", "order_date", "delivery_date", "customer_key", "store_key", "product_key",
                   "quantity", "currency_code"]

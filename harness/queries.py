@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tallyloft.operators.joins import attach
 from tallyloft.plans import batch, dims, facts, gold_marts as gold, hot_marts as hot, incremental, silver
 from tallyloft.session import scratch_path, stage
 from tallyloft.sources import bronze
-from tallyloft.streaming import decode, messages, orders, runner, sinks
+from tallyloft.streaming import decode, marts as stream_marts, messages, orders, runner, sinks
 from tallyloft.streaming.enrich import derive, enrich
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,6 +202,46 @@ def scd2_customer(x):
     return history.select("customer_key", "name", "city", "state", "country", "valid_from", "valid_to", "is_current")
 
 
+def _snapshots(x: Inputs) -> DataFrame:
+    """Five snapshots in no order: customers move in the second and back in the fourth, some are missing; the third arrives last, twice."""
+    key, base = F.col("customer_key"), silver.customers(x.customers)
+    moved = base.withColumn("city", F.when(key % 10 == 3, F.concat(F.lit("NEW_"), F.col("city"))).otherwise(F.col("city")))
+    late = moved.withColumn("city", F.when(key % 7 == 0, "LATE").otherwise(F.col("city")))
+    taken = [(4, base.where(key % 6 != 1), "2001-09-01"), (1, base.where(key % 20 != 5), "2001-01-01"), (5, base, "2001-11-01"),
+             (2, moved, "2001-04-01"), (3, late, "2001-06-01")]
+    parts = [df.withColumns({"taken": F.lit(day).cast("date"), "number": F.lit(n)}) for n, df, day in taken]
+    return reduce(DataFrame.unionByName, parts).select("customer_key", "name", "city", "state", "country", "taken", "number")
+
+
+_TRACKED = ["city", "state", "country", "name"]
+
+
+def _history(x: Inputs) -> DataFrame:
+    """Three snapshots at once, then the others, of which the last one to come lies before the latest seen, and comes again."""
+    taken = stage(_snapshots(x), "snapshots")
+
+    def of(*numbers: int) -> DataFrame:
+        return taken.where(F.col("number").isin(*numbers)).drop("number")
+
+    history = scd2.merged(of(4, 1, 5), "customer_key", _TRACKED, "taken")
+    for numbers in ((2,), (3,), (3, 1)):
+        history = stage(scd2.merged(of(*numbers), "customer_key", _TRACKED, "taken", history), "history")
+    return history
+
+
+@query
+def scd2_late_snapshots(x):
+    return _history(x).select("customer_key", "name", "city", "state", "country", "valid_from", "valid_to", "is_current")
+
+
+@query
+def fact_customer_as_of(x):
+    """Order lines with the customer's city on the order date, dates moved into the year of the snapshots."""
+    day = F.date_add(F.lit("2001-01-01").cast("date"), (F.col("order_number") % 365).cast("int"))
+    sales = x.silver_sales.select("order_number", "line_item", "customer_key", day.alias("day"))
+    return scd2.valid_on(sales, _history(x), "customer_key", "day", ["city", "country"], rows=x.rows["customer"], row_id=["order_number"])
+
+
 # ---- facts ---------------------------------------------------------------------------------
 
 
@@ -401,6 +442,26 @@ def stream_order_sessions(x):
     return _run(x, "order-sessions", orders.sessions(events, "6 hours"))
 
 
+@query
+def stream_revenue_over_time(x):
+    """The revenue mart as a stream over files out of order: ten-minute windows, then hours over them."""
+    items = messages.hot_items(_enriched(x, x.frames_of(x.event_feed())))
+    return _run(x, "revenue-stream", stream_marts.revenue_over_time(items))
+
+
+@query
+def stream_order_ticker(x):
+    events = runner.order_events(x.frames_of(x.event_feed()), x.stores, F.col("arrived_at"))
+    return _run(x, "ticker-stream", stream_marts.order_ticker(events))
+
+
+@query
+def stream_cancel_alerts(x):
+    """The alert mart as one stream of three aggregates over files out of order."""
+    items = messages.hot_items(_enriched(x, x.frames_of(x.event_feed())))
+    return _run(x, "alert-stream", stream_marts.cancel_alerts(items))
+
+
 @query
 def stream_order_redelivered(x):
     """Every fifth message arrives three times, over several files; each counts once in the totals of its order."""
