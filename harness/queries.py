@@ -548,6 +548,21 @@ def hot_items_latest(x):
     return _item_table(x).latest(x.spark, HOT_ITEM_SCHEMA)
 
 
+@query
+def hot_items_folded(x):
+    """Eight batches, folded into the base after every third; then one folded batch is delivered once more, with older rows."""
+    table = sinks.UpsertTable(scratch_path(x.spark, "hot-items"), messages.HOT_ITEM_KEY, fold_every=3)
+    rows = stage(_hot_items(x), "hot-rows")
+    serial = F.split_part("order_serial", F.lit("-"), F.lit(2)).cast("bigint")
+    table.write(rows.withColumn("quantity", F.col("quantity") - 5), 1, 0)
+    table.write(rows.where(serial % 2 == 0), 1, 1)
+    for n in range(2, 7):
+        table.write(rows.where((serial % 2 == 1) & (serial % 5 == n - 2)), 1, n)
+    table.write(rows.where(serial % 4 == 0).withColumn("quantity", F.col("quantity") + 1), 2, 0)
+    table.write(rows.withColumn("quantity", F.col("quantity") - 5), 1, 0)
+    return table.latest(x.spark, HOT_ITEM_SCHEMA)
+
+
 @query
 def hot_items_by_country(x):
     return _item_table(x).latest(x.spark, HOT_ITEM_SCHEMA, COUNTRIES)

@@ -55,7 +55,7 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, tracked: l
     return both.select(F.inline(versions)).select(*columns).unionByName(closed)
 
 
-# Dates on which a version was seen; a late snapshot needs them to know what it splits.
+# Days on which a version was seen, with what else was seen then: a late snapshot needs them to know what it splits.
 SEEN = "seen_on"
 
 
@@ -68,14 +68,15 @@ def merged(snapshots: DataFrame, key: str, tracked: list[str], day: str, history
     of a key and day the greatest counts. Rows without a day are left out; a key missing from a snapshot stays as it is; NULL is a key like others.
     """
     plain = [c for c in snapshots.columns if c != day]
+    others = [c for c in plain if c != key]
+    untracked = [c for c in others if c not in tracked]
     rows = snapshots.select(*plain, F.col(day).cast("date").alias("_day")).where("_day IS NOT NULL")
     if history is not None:
         # Keys that no new snapshot names keep their versions as they are.
         touched = rows.select(F.col(key).alias("_key")).distinct()
         met = F.col(key).eqNullSafe(F.col("_key"))
-        seen = history.join(touched, met, "left_semi").select(*plain, F.explode(SEEN).alias("_day"))
+        seen = history.join(touched, met, "left_semi").select(key, *tracked, F.inline(SEEN))
         rows = rows.unionByName(seen)
-    others = [c for c in plain if c != key]
     # An aggregate first: a key and day that comes many times, NULL among them, collapses before the shuffle.
     once = rows.groupBy(key, "_day").agg(F.max(F.struct(*others)).alias("_row"))
     in_order = Window.partitionBy(key).orderBy("_day")
@@ -84,7 +85,8 @@ def merged(snapshots: DataFrame, key: str, tracked: list[str], day: str, history
     first = F.row_number().over(in_order) == 1
     islands = once.withColumn("_opens", F.when(first | opens, 1).otherwise(0)).withColumn("_island", F.sum("_opens").over(in_order))
     versions = islands.groupBy(key, "_island").agg(
-        F.min("_day").alias(VALID_FROM), F.max_by("_row", "_day").alias("_row"), F.array_sort(F.collect_set("_day")).alias(SEEN))
+        F.min("_day").alias(VALID_FROM), F.max_by("_row", "_day").alias("_row"),
+        F.array_sort(F.collect_list(F.struct("_day", *[F.col(f"_row.{c}").alias(c) for c in untracked]))).alias(SEEN))
     following = F.lead(VALID_FROM).over(Window.partitionBy(key).orderBy(VALID_FROM))
     done = versions.withColumn(VALID_TO, following).select(
         *[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in plain], VALID_FROM, VALID_TO, F.col(VALID_TO).isNull().alias(CURRENT), SEEN)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import date as _date
+
 from datetime import date
 from decimal import Decimal
 
@@ -7,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloft.operators import fx, scd2
+from tallyloft.session import stage
 from tallyloft.plans import dims, facts, gold_marts
 
 SALES = ("order_number long, line_item int, order_date date, delivery_date date, customer_key long, store_key long, "
@@ -182,3 +185,40 @@ def test_age_bands(frame):
     df = frame("b date", (date(1977, 1, 2),), (date(1977, 1, 1),), (date(1930, 1, 1),), (None,))
     bands = [r[0] for r in df.select(gold_marts.age_band(F.col("b"), F.lit("2002-01-01").cast("date"))).collect()]
     assert bands == ["under 25", "25-34", "65 and over", "unknown"]
+
+
+def test_history_from_snapshots_in_any_order(spark, frame):
+    """Every order of arrival, one by one or together, gives the history of the sorted snapshots."""
+    schema = "k int, city string, note string, day string"
+    days = {1: [(1, "A", "a"), (None, "X", "x")], 2: [(1, "A", "b"), (2, "P", "p")], 3: [(1, "B", "c"), (None, "Y", "y")],
+            4: [(1, "A", "d")], 5: [(1, "A", "e"), (2, "P", "q"), (None, "Y", "z")]}
+
+    def snapshots(*numbers):
+        return frame(schema, *[(*row, f"2020-01-0{n}") for n in numbers for row in days[n]])
+
+    def rows(df):
+        return sorted(map(str, df.select("k", "city", "note", "valid_from", "valid_to", "is_current").collect()))
+
+    want = rows(scd2.merged(snapshots(1, 2, 3, 4, 5), "k", ["city"], "day"))
+    assert len(want) == 3 + 1 + 2
+    for groups in ([(5,), (3, 1), (4, 2)], [(1, 2), (5, 4), (3,), (3, 1)], [(4,), (5,), (1,), (2,), (3,)]):
+        history = None
+        for numbers in groups:
+            history = stage(scd2.merged(snapshots(*numbers), "k", ["city"], "day", history), "history")
+        assert rows(history) == want
+    late = scd2.merged(frame(schema, (2, "R", "r", "2020-01-03")), "k", ["city"], "day", history)
+    assert sorted((r.city, str(r.valid_from), str(r.valid_to)) for r in late.where("k = 2").collect()) == [
+        ("P", "2020-01-02", "2020-01-03"), ("P", "2020-01-05", "None"), ("R", "2020-01-03", "2020-01-05")]
+    assert late.where("k = 1").count() == 3
+
+    facts_ = frame("n int, k int, d date", *[(i, k, _date(2020, 1, d)) for i, (k, d) in enumerate([(1, 1), (1, 3), (1, 9), (2, 1), (2, 4), (3, 4)])])
+    got = scd2.valid_on(facts_, late, "k", "d", ["city"])
+    assert [r.city for r in got.orderBy("n").collect()] == ["A", "B", "A", None, "R", None]
+    assert "CartesianProduct" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
+
+
+def test_a_snapshot_row_that_comes_many_times_and_rows_without_a_day(spark, frame):
+    many = spark.range(3000).selectExpr("1 AS k", "'A' AS city", "CAST(id % 3 AS STRING) AS note", "'2020-01-01' AS day")
+    none = frame("k int, city string, note string, day string", (1, "Z", "z", None))
+    assert [(r.city, r.note) for r in scd2.merged(many.unionByName(none), "k", ["city"], "day").collect()] == [("A", "2")]
+    assert scd2.merged(none, "k", ["city"], "day").count() == 0

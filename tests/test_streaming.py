@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +11,9 @@ from harness.canonical import Inputs
 from harness.queries import HOT_ITEM_SCHEMA, HOT_ORDER_SCHEMA
 from tallyloft import schemas as S
 from tallyloft.operators import fx
+from tallyloft.plans import hot_marts
 from tallyloft.sources import bronze
-from tallyloft.streaming import decode, messages, orders, runner, sinks
+from tallyloft.streaming import decode, marts as stream_marts, messages, orders, runner, sinks
 from tallyloft.streaming.enrich import enrich
 
 SF = "/root/testdata/sf0.001"
@@ -170,6 +171,72 @@ def test_replay_and_compaction(spark, dims, tmp_path):
     assert re.search(r"PartitionFilters: \[[^]]*store_country", pruned)
 
 
+def _serials(table, spark):
+    return sorted((r.order_serial, r.quantity) for r in table.latest(spark, HOT_ITEM_SCHEMA).collect())
+
+
+def _hot_row(serial, quantity, country="Spain"):
+    return (country, "C", None, None, datetime(2024, 1, 1), serial, quantity, 1.0, 1.0, 0, 0, 0, 1, "CASH", "Online")
+
+
+def test_folded_table_keeps_its_base_in_place(spark, tmp_path):
+    """The base is read bucket by bucket without a shuffle, and no batch that it holds is listed."""
+    table = sinks.UpsertTable(str(tmp_path / "items"), messages.HOT_ITEM_KEY, fold_every=3, buckets=8)
+    want = {}
+    for n in range(7):
+        rows = [_hot_row(f"s{i}", n * 100 + i, ["Spain", "Peru"][i % 2]) for i in range(n, 40, n + 1)] + [_hot_row(None, n)]
+        want |= {r[5]: r[6] for r in rows}
+        table.write(spark.createDataFrame(rows, HOT_ITEM_SCHEMA), 1, n)
+    current = {r.order_serial: r.quantity for r in table.latest(spark, HOT_ITEM_SCHEMA).collect()}
+    assert current == want
+    assert table._base(spark).asDict() == {"number": 2, "run_id": 1, "batch_id": 5, "buckets": 8}
+    table.write(spark.createDataFrame([_hot_row("s1", -1)], HOT_ITEM_SCHEMA), 1, 5)  # replayed: the base has it
+    assert {r.order_serial: r.quantity for r in table.latest(spark, HOT_ITEM_SCHEMA).collect()} == want
+
+    files = "".join(table.latest(spark, HOT_ITEM_SCHEMA).inputFiles())
+    assert "since=2/run_id=1/batch_id=6" in files and "since=1" not in files and "base=1" not in files
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = table.latest(spark, HOT_ITEM_SCHEMA)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("SortMergeJoin"):]
+    base_side = join[:join.index("Scan parquet")]
+    assert "Exchange" not in base_side and "Bucketed: true" in join[len(base_side):].splitlines()[0]
+
+    # A session that does not know the table finds base and buckets again.
+    spark.sql(f"DROP TABLE {table._table_name(2)}")
+    again = sinks.UpsertTable(str(tmp_path / "items"), messages.HOT_ITEM_KEY, fold_every=3, buckets=8)
+    assert {r.order_serial: r.quantity for r in again.latest(spark, HOT_ITEM_SCHEMA).collect()} == want
+    peru = again.latest(spark, HOT_ITEM_SCHEMA, ["Peru"])
+    assert {r.store_country for r in peru.collect()} == {"Peru"} and "PartitionFilters: [isnotnull(store_country" in peru._jdf.queryExecution().toString()
+
+
+def test_a_fold_that_broke_off_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    table = sinks.UpsertTable(str(tmp_path / "items"), messages.HOT_ITEM_KEY, fold_every=2, buckets=2)
+    table.write(spark.createDataFrame([_hot_row("a", 1)], HOT_ITEM_SCHEMA), 1, 0)
+    monkeypatch.setattr(spark, "createDataFrame", lambda *_: 1 / 0)
+    batch = spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(_hot_row("a", 2), HOT_ITEM_SCHEMA.fields)])
+    with pytest.raises(ZeroDivisionError):
+        table.write(batch, 1, 1)
+    monkeypatch.undo()
+    assert _serials(table, spark) == [("a", 2)] and table._base(spark).number == 0
+    table.write(batch, 1, 1)
+    assert _serials(table, spark) == [("a", 2)] and table._base(spark).number == 1
+
+
+def test_stream_marts_equal_batch_marts(spark):
+    """The chained windows over a plain table give what the single windows give."""
+    rows = [_hot_row(f"s{i}", 1, ["Spain", "Peru"][i % 3 == 0])[:4] + (datetime(2024, 1, 1) + timedelta(minutes=i * 7919 % 6000), f"s{i}", 1, float(i % 9), 1.0,
+            int(i % 11 == 0), int(i % 7 == 0 or i % 5 < i // 200), 0, 1, "CASH", "Online") for i in range(900)]
+    items = spark.createDataFrame(rows, HOT_ITEM_SCHEMA)
+    once, chained = hot_marts.cancel_alerts(items), stream_marts.cancel_alerts(items)
+    assert once.count() > 40 and once.where("alert = 1").count() > 0
+    assert once.exceptAll(chained).count() == 0 and chained.exceptAll(once).count() == 0
+    single = hot_marts.net(items).groupBy(F.window("event_ts", "1 hour").alias("w")).agg(F.sum(F.col("total_sales_usd").cast("decimal(18,2)")).alias("r"))
+    assert {(r[0], r[1]) for r in stream_marts.revenue_over_time(items).collect()} == {(r.w.start, r.r) for r in single.collect()}
+
+
 def test_order_path_keeps_its_dead_letters(spark, feed, dims, tmp_path):
     feed.add(event("a"), b"\x00\x01", event("b", price=float("nan")))
     feed.add(event("c", ts="soon"))
