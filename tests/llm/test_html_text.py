@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from tallyloft.llm import html_text
 from tallyloft.llm.html_text import extract, lines_of, main_text
 
 CASES = [
@@ -59,3 +60,36 @@ def test_nulls_and_lines(spark):
     assert sorted(r.text for r in pages.select(extract(pages["html"]).alias("text")).collect()) == ["", "", "x"]
     assert pages.limit(0).select(extract(pages["html"])).count() == 0
     assert lines_of("<p>a<p>b")[0] == [("a", 1), ("b", 1)]
+
+
+LONG = "A sentence of the article that is long enough to count. " * 3
+
+
+@pytest.mark.parametrize("page, text", [
+    # An unmarked page keeps its title, byline and date.
+    (f"<nav><a href=1>Home</a></nav><h1>Title</h1><p>By A. Writer</p><p>1 May</p><p>{LONG}</p><p>{LONG}</p>", ["Title", "By A. Writer", "1 May", LONG, LONG]),
+    # A short end behind an advert of several lines.
+    (f"<div><p>{LONG}</p><div class=ad><p>Buy</p><p>this</p><p>now</p><p>!</p></div><p>The end.</p></div>", [LONG, "The end."]),
+    (f"<article><p>{LONG}</p><div class=ad><p>Buy</p><p>this</p><p>now</p><p>!</p></div><p>The end.</p></article>", [LONG, "The end."]),
+    # Custom elements, and elements left open.
+    (f"<article><title-card>Card</title-card><p>{LONG}</p><svg-icon></svg-icon><p>b</p></article>", ["Card", LONG, "b"]),
+    (f"<article><p>{LONG}</p><select><option>x<p>b</p></article>", [LONG, "x", "b"]),
+    (f"<article><p>a <math><mi>x</mi></math> b</p><svg><title>no</title></svg><p>{LONG}</p></article>", ["a x b", LONG]),
+    # Words of a slug are no names of parts; headings and the article's own header stay.
+    (f"<article><p class=market-share>m</p><section id=discussion>d</section><h2 id=related-work>r</h2><p>{LONG}</p></article>", ["m", "d", "r", LONG]),
+    (f"<article><header><h1>Head</h1><nav>n</nav></header><p>{LONG}</p><footer>f</footer></article>", ["Head", LONG]),
+    (f"<div class=market-share><p>{LONG}</p></div><div class=site-footer-legal>c</div><div id=related-posts>r</div>", [LONG]),
+    # Several articles, long and short.
+    (f"<article><p>{LONG}</p></article><div>between</div><article>short</article>", [LONG, "short"]),
+    # The sums decide: a marked teaser loses to a text that is far longer.
+    (f"<article>Read more</article><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>", [LONG] * 3),
+])
+def test_probed_pages(page, text):
+    assert main_text(page) == "\n\n".join(t.strip() for t in text)
+
+
+def test_without_sums_the_result_is_another(monkeypatch):
+    page = f"<article>Read more</article><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    with_sums = main_text(page)
+    monkeypatch.setattr(html_text, "region", lambda lines, marked: [i for i, x in enumerate(lines) if x.length and x.inside == marked])
+    assert main_text(page) == "Read more" != with_sums
