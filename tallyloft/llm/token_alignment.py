@@ -21,6 +21,7 @@ tokens: zeros and an empty ``groups``. Every row is a document, repeated rows an
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -38,10 +39,12 @@ from tallyloft.session import stage
 PIECE = 1 << 14  # ends in a piece
 STRETCH = 1 << 18  # characters worked on at a time
 HOT_PAIRS = 1 << 16
-_KEPT_WORDS, _KEPT_IDS = 1 << 17, 1 << 20
+_KEPT_WORDS, _KEPT_IDS = 1 << 18, 1 << 21
 _WIDE_GROUP = 1 << 12
 _WORD_GAP = re.compile(r"(?<=\S) (?=\S)")
 _BITS = 24
+# Fixed value: how a byte-level tokenizer of this kind splits a text before it merges.
+_BYTE_LEVEL_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def merge_cuts(a: np.ndarray, b: np.ndarray, work: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,8 +129,23 @@ class Aligner:
         self.words_apart = not any("▁" in p.lstrip("▁") for p in b_names)
         self.vocabulary = (Vocabulary([bytes(octet[c] for c in t) if all(c in octet for c in t) else t.encode() for t in a_names], ",", "|"),
                            Vocabulary(b_bytes, ",", ";"))
+        self.encode_a = self._byte_pairs(json.loads(a_json)["model"], octet) or (
+            lambda words: [e.ids for e in self.a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)])
         self.forget()
 
+    @staticmethod
+    def _byte_pairs(model: dict, octet: dict[str, int]) -> Callable[[list[str]], list[list[int]]] | None:
+        """A's encoder by ranks, several times faster, where the ids follow the order of the merges: then merging the least id is merging the first."""
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        single = [t for t in model["vocab"] if len(t) == 1]
+        if [model["vocab"].get(t) for t in merged] != list(range(len(single), len(single) + len(merged))):
+            return None
+        import tiktoken
+
+        ranks = {bytes(octet[c] for c in t): model["vocab"][t] for t in [*single, *merged]}
+        encoding = tiktoken.Encoding("a", pat_str=_BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        return lambda words: [encoding.encode_ordinary(f" {w}") for w in words]
+
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.sound = np.empty(0, bool)
@@ -144,7 +162,7 @@ class Aligner:
             self.forget()
         new = list(dict.fromkeys(w for w in words if w not in self.number))
         if new:
-            found = ([e.ids for e in self.a.encode_batch_fast([f" {w}" for w in new], add_special_tokens=False)], self.b.encode(new, num_threads=1))
+            found = self.encode_a(new), self.b.encode(new, num_threads=1)
             self.sound = np.append(self.sound, self._sound(new, found[0], 0) & self._sound(new, found[1], 1))
             for side, listed in enumerate(found):
                 lengths = np.fromiter(map(len, listed), np.int64, len(new))
@@ -158,6 +176,11 @@ class Aligner:
         """Which words are what their tokens' bytes make."""
         of_id = self.vocabulary[side].of_id
         raw = [f" {w}".encode() for w in words]
+        widths = self.vocabulary[side].widths[np.fromiter(chain.from_iterable(listed), np.int64)]
+        ends = np.cumsum(np.fromiter(map(len, listed), np.int64, len(words)))
+        ends_right = np.array_equal(np.append(0, np.cumsum(widths))[ends], np.cumsum(np.fromiter(map(len, raw), np.int64, len(words))))
+        if ends_right and b"".join(map(of_id.__getitem__, chain.from_iterable(listed))) == b"".join(raw):
+            return np.ones(len(words), bool)
         made = [b"".join(map(of_id.__getitem__, ids)) for ids in listed]
         return np.fromiter(map(bytes.__eq__, made, raw), bool, len(words))
 
