@@ -182,8 +182,8 @@ class Inputs:
         # A pattern, because a stream takes a folder or a pattern and the table may be a single file.
         return bronze.file_stream(self.spark, f"{self.dir}/event[s].parquet", self.load("events").schema)
 
-    def event_feed(self, parts: int = 3) -> DataFrame:
-        """The events as a stream of several files, minutes out of order between them, and a last event a day later.
+    def event_feed(self, parts: int = 3, days: int = 1) -> DataFrame:
+        """The events as a stream of several files, minutes out of order between them, and a last event ``days`` later.
 
         That event moves the watermark past all windows of the others; its own window stays open.
         """
@@ -191,7 +191,7 @@ class Inputs:
         shifted = F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") * 37 % 240
         first, last = events.agg(F.min(shifted), F.max(shifted)).first()
         part = F.floor((shifted - first) * parts / (last - first + 1)).cast("int")
-        closing = events.orderBy(F.desc("ts"), "event_id").limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+        closing = events.orderBy(F.desc("ts"), "event_id").limit(1).withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {days} DAY"))
         for n in range(parts):
             events.where(part == n).write.parquet(f"{path}/batch={n}")
         closing.select(*[F.col(f.name).cast(f.dataType) for f in events.schema.fields]).write.parquet(f"{path}/batch={parts}")

@@ -154,6 +154,14 @@ sql("bronze_csv_stores", _B_STORE)
 sql("bronze_ndjson_exchange_rates", """
 SELECT CAST(date_diff('day', DATE '1970-01-01', date_key) * 100 + base // 100 AS BIGINT) AS id,
        strftime(date_key, '%m/%d/%Y') AS rate_date, lower(currency_code) AS currency, CAST(rate AS DOUBLE) AS exchange FROM fx""")
+_DRIFTING = """, l AS (SELECT *, order_number * 10 + line_item AS n FROM sales)"""
+sql("bronze_variant_sales", _DRIFTING + """
+SELECT order_number, line_item, order_date, delivery_date, customer_key AS customerkey, store_key AS storekey, product_key AS productkey,
+       CASE WHEN n % 17 = 0 OR n % 19 <> 0 THEN quantity END AS quantity, currency_code FROM l WHERE n % 97 <> 0""")
+sql("bronze_variant_rejected", _DRIFTING + " SELECT CAST(30 AS INTEGER) AS length, count(*) AS lines FROM l WHERE n % 97 = 0")
+sql("bronze_drift", _DRIFTING + """
+SELECT 'coupon' AS field, 'unknown' AS finding, count(*) AS lines FROM l WHERE n % 97 <> 0 AND n % 17 = 0
+UNION ALL SELECT 'quantity', 'not int', count(*) FROM l WHERE n % 97 <> 0 AND n % 17 <> 0 AND n % 19 = 0""")
 sql("date_spine", "SELECT date_sk, date_key FROM d_date")
 
 sql("silver_customers", _S_CUSTOMER)
@@ -525,6 +533,10 @@ z AS (
 SELECT window_start, store_country, events, bad_events, rate_ppm, mean AS trailing_mean_ppm, std AS trailing_std_ppm,
        CASE WHEN rate_ppm > mean + 2.0 * std THEN 1 ELSE 0 END AS alert FROM z""")
 
+sql("stream_fresh_stores", """
+SELECT order_serial, event_type, event_ts, store_city, total_sales_usd,
+       CASE WHEN storekey % 3 = 1 AND event_ts >= TIMESTAMP '2024-01-12 09:30:00' THEN 'NEW_' || store_country ELSE store_country END AS store_country
+FROM items""")
 for _name in ("order_ticker", "cancel_alerts"):
     ORACLES[f"stream_{_name}"] = ORACLES[f"mart_{_name}"]
 sql("stream_revenue_over_time", """SELECT time_bucket(INTERVAL '1 hour', event_ts) AS bucket, CAST(sum(price_total) AS DOUBLE) AS revenue

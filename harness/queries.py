@@ -25,6 +25,7 @@ from tallyloft.streaming.enrich import derive, enrich
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 RANGE = (datetime(2024, 1, 5), datetime(2024, 1, 20))
+RENAMED = "2024-01-12 09:30:00"
 COUNTRIES = [f"NATION_{n}" for n in range(0, 25, 2)] + ["Online"]
 
 
@@ -89,6 +90,31 @@ def bronze_ndjson_exchange_rates(x):
     return _landed(x, "exchange_rates", x.exchange_rates)
 
 
+def _drifting(x: Inputs) -> DataFrame:
+    """Sales lines of which some are cut off, some carry a field nobody declared and some a quantity in words, as landed and parsed."""
+    root, number = scratch_path(x.spark, "drift"), F.col("order_number") * 10 + F.col("line_item")
+    line = F.to_json(F.struct(*x.sales.columns))
+    line = F.when(number % 17 == 0, F.regexp_replace(line, "}$", ',"coupon":"C1"}')).when(
+        number % 19 == 0, F.regexp_replace(line, '"quantity":[0-9]+', '"quantity":"many"')).otherwise(line)
+    x.sales.select(F.when(number % 97 == 0, F.substring(line, 1, 30)).otherwise(line)).write.text(bronze.location(root, "sales"))
+    return stage(bronze.variants(x.spark, bronze.location(root, "sales")), "variants")
+
+
+@query
+def bronze_variant_sales(x):
+    return bronze.from_variants(_drifting(x), "sales")
+
+
+@query
+def bronze_variant_rejected(x):
+    return bronze.rejected_variants(_drifting(x)).groupBy(F.length("line").alias("length")).agg(F.count("*").alias("lines"))
+
+
+@query
+def bronze_drift(x):
+    return bronze.drift(_drifting(x), "sales")
+
+
 @query
 def bronze_csv_stores(x):
     path = scratch_path(x.spark, "csv-stores")
@@ -462,6 +488,30 @@ def stream_cancel_alerts(x):
     return _run(x, "alert-stream", stream_marts.cancel_alerts(items))
 
 
+def _store_changes(x: Inputs, files: int = 3) -> DataFrame:
+    """All stores once a day as a stream of several files, and a third of them renamed in the middle of a month."""
+    path, ts, renamed = scratch_path(x.spark, "store-changes"), F.col("ts").cast("timestamp"), F.lit(RENAMED).cast("timestamp")
+    span = x.load("events").agg(F.date_trunc("day", F.min(ts)).alias("a"), (F.date_trunc("day", F.max(ts)) + F.expr("INTERVAL 3 DAYS")).alias("b"))
+    daily = span.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("changed_at"))
+    sent = x.stores.join(F.broadcast(daily.unionByName(x.spark.range(1).select(renamed.alias("changed_at")))))
+    sent = sent.where((F.col("changed_at") != renamed) | (F.col("storekey") % 3 == 1)).withColumn(
+        "country", F.when((F.col("storekey") % 3 == 1) & (F.col("changed_at") >= renamed), F.concat(F.lit("NEW_"), F.col("country"))).otherwise(F.col("country")))
+    sent.write.parquet(f"{path}/all")
+    stored = x.spark.read.parquet(f"{path}/all")
+    first, last = stored.agg(F.unix_seconds(F.min("changed_at")), F.unix_seconds(F.max("changed_at"))).first()
+    part = F.floor((F.unix_seconds("changed_at") - first) * files / (last - first + 1)).cast("int")
+    for n in range(files):
+        stored.where(part == n).coalesce(1).write.parquet(f"{path}/feed/batch={n}")
+    return bronze.file_stream(x.spark, f"{path}/feed/*", stored.schema, max_files=1)
+
+
+@query
+def stream_fresh_stores(x):
+    """A third of the stores is renamed half-way: the new name shows in later events only."""
+    events = runner.fresh_order_events(x.frames_of(x.event_feed(days=3)), _store_changes(x), "arrived_at")
+    return _run(x, "fresh-stores", events.select("order_serial", "event_type", "event_ts", "store_country", "store_city", "total_sales_usd"))
+
+
 @query
 def stream_order_redelivered(x):
     """Every fifth message arrives three times, over several files; each counts once in the totals of its order."""

@@ -44,6 +44,43 @@ def typed(raw: DataFrame, table: str) -> DataFrame:
     return raw.drop(CORRUPT)
 
 
+def variants(spark: SparkSession, path: str) -> DataFrame:
+    """Landed lines, parsed once: ``line`` is kept where it is no JSON object, ``v`` holds the others as VARIANT."""
+    parsed = spark.read.text(path).select(F.col("value").alias("line"), F.try_parse_json("value").alias("v"))
+    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    return parsed.where(F.trim("line") != "").select(F.when(~is_object, F.col("line")).alias("line"), F.when(is_object, F.col("v")).alias("v"))
+
+
+def from_variants(lines: DataFrame, table: str) -> DataFrame:
+    """The declared columns by path, NULL where a value is missing or does not fit its type."""
+    fields = S.BRONZE[table].fields
+    return typed(lines.where("v IS NOT NULL").select(*[
+        F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields]), table)
+
+
+def rejected_variants(lines: DataFrame) -> DataFrame:
+    return lines.where("line IS NOT NULL").select("line")
+
+
+def drift(lines: DataFrame, table: str) -> DataFrame:
+    """Fields that nobody declared, and declared ones whose value is there but does not fit: field, finding, lines."""
+    fields = S.BRONZE[table].fields
+    objects = lines.where("v IS NOT NULL")
+    names = objects.select(F.explode(F.map_keys(F.col("v").cast("map<string,variant>"))).alias("field"))
+    unknown = names.where(~F.col("field").isin([f.name for f in fields])).groupBy("field").agg(F.count(F.lit(1)).alias("lines"))
+
+    def misfit(f: T.StructField) -> Column:
+        kind, path = f.dataType.simpleString(), f"$.{f.name}"
+        there = F.try_variant_get("v", path, "variant")
+        return there.isNotNull() & ~F.is_variant_null(there) & F.try_variant_get("v", path, kind).isNull()
+
+    # One pass for all fields: a row of counts, turned on its side.
+    counts = objects.agg(*[F.count_if(misfit(f)).alias(f.name) for f in fields])
+    turned = counts.select(F.inline(F.array(*[F.struct(
+        F.lit(f.name).alias("field"), F.lit(f"not {f.dataType.simpleString()}").alias("finding"), F.col(f.name).alias("lines")) for f in fields])))
+    return unknown.select("field", F.lit("unknown").alias("finding"), "lines").unionByName(turned.where("lines > 0"))
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return typed(ndjson(spark, location(root, name), name), name)
 

@@ -14,6 +14,31 @@ def with_stores(events: DataFrame, stores: DataFrame, **size) -> DataFrame:
     return attach(events, columns, "storekey", "left", **size)
 
 
+STORE_COLUMNS = ["country", "state", "square_meters", "open_date"]
+
+
+def with_fresh_stores(
+    events: DataFrame, changes: DataFrame, max_age: str = "1 day", lateness: str = "10 minutes", salts: int = 8
+) -> DataFrame:
+    """Each event with its store as of the event's time, from a stream of store rows that hold from ``changed_at`` on.
+
+    A stream-stream left join under watermarks, then per event the newest change that is not after it. Every store is to be sent again
+    at least once per ``max_age``, changed or not: the join looks no further back, so its state is one ``max_age`` of changes. Events
+    need ``event_ts`` and ``order_serial``; a repeated event comes out once, an event without a store with NULLs. The few changes are
+    sent to every salt, so that a store with a third of all events does not end in one task.
+    """
+    columns = events.columns
+    spread = F.pmod(F.xxhash64("order_serial", "event_type"), F.lit(salts))
+    left = events.withWatermark("event_ts", lateness).withColumn("_salt", spread)
+    right = changes.select(
+        F.col("storekey").alias("_store"), F.col("changed_at").alias("_at"), F.struct(*STORE_COLUMNS).alias("_row")).withWatermark(
+        "_at", lateness).withColumn("_for", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    met = left.join(right, (F.col("storekey") == F.col("_store")) & (F.col("_salt") == F.col("_for"))
+                    & (F.col("_at") <= F.col("event_ts")) & (F.col("_at") > F.col("event_ts") - F.expr(f"INTERVAL {max_age}")), "leftOuter")
+    newest = met.groupBy(*columns).agg(F.max_by("_row", "_at").alias("_row"))
+    return newest.select(*columns, *[F.col(f"_row.{c}").alias(c) for c in STORE_COLUMNS])
+
+
 def with_products(events: DataFrame, products: DataFrame, **size) -> DataFrame:
     """Only the descriptive columns: the product's price must not shadow the event's price."""
     return attach(events, products.select("productkey", "product_name", "category"), "productkey", "left", **size)

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
+from tallyloft.functions.scalar import event_time
 from tallyloft.streaming import decode, sinks
-from tallyloft.streaming.enrich import derive, enrich, with_stores
+from tallyloft.streaming.enrich import derive, enrich, with_fresh_stores, with_stores
 from tallyloft.streaming.messages import hot_items
-from tallyloft.streaming.orders import running
+from tallyloft.streaming.orders import once, running
 
 Dims = Callable[[], tuple[DataFrame, DataFrame]]
 
@@ -64,8 +66,20 @@ def dead_letters(
     return sinks.parquet(decode.rejected(decode.decode(raw, read_body)), path, checkpoint)
 
 
+def fresh_order_events(
+    raw: DataFrame, store_changes: DataFrame, seen_at: str | None = None, read_body: decode.BodyReader = decode.json_body, **join
+) -> DataFrame:
+    """``order_events`` with stores from a stream of changes: a renamed store shows in the orders after the change, without a restart.
+
+    ``seen_at`` names a column of the messages.
+    """
+    events = decode.good(decode.decode(raw, read_body)).withColumn("event_ts", event_time(F.col("event_timestamp")))
+    return derive(with_fresh_stores(events, store_changes, **join), F.col(seen_at) if seen_at else None)
+
+
 def order_updates(raw: DataFrame, stores: DataFrame, seen_at: Column | None = None, **kwargs) -> DataFrame:
-    return running(order_events(raw, stores, seen_at, **kwargs))
+    """Running totals per order; a message that is delivered again within the lateness counts once."""
+    return running(once(order_events(raw, stores, seen_at, **kwargs)), lateness=None)
 
 
 class Progress(StreamingQueryListener):

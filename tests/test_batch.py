@@ -136,3 +136,17 @@ def test_nightly_run_by_month_keeps_all_keys(spark, landing, tmp_path):
     grown = spark.createDataFrame([(k, None) for k in (-5, *[k for k, _ in stores])], "store_key bigint, store_sk bigint")
     kept = batch.same_keys(batch.Warehouse(spark, str(tmp_path), "b3"), "dim_stores", grown)
     assert {(r.store_key, r.store_sk) for r in kept.collect()} == stores | {(-5, len(stores) + 1)} and grown.columns == kept.columns
+
+
+def test_a_broken_line_and_a_new_field_do_not_stop_the_night(spark, landing, tmp_path):
+    root = str(tmp_path / "landing")
+    for name in ("customers", "products", "stores", "exchange_rates", "sales"):
+        spark.read.text(bronze.location(landing, name)).write.text(bronze.location(root, name))
+    spark.createDataFrame([('{"storekey": 1, "coun',), ("[1]",), ("",)], "value string").write.mode("append").text(bronze.location(root, "stores"))
+    line = '{"storekey": 990, "country": "X", "state": "Y", "square_meters": "wide", "open_date": "2005-01-01", "floor": 2}'
+    spark.createDataFrame([(line,)], "value string").write.mode("append").text(bronze.location(root, "stores"))
+    out = batch.run(spark, root, str(tmp_path / "wh"), "b1")
+    assert sorted(r.line for r in out["rejected_stores"].collect()) == ["[1]", '{"storekey": 1, "coun']
+    assert {(r.field, r.finding, r.lines) for r in out["drift_stores"].collect()} == {("floor", "unknown", 1), ("square_meters", "not decimal(18,2)", 1)}
+    assert out["rejected_sales"].count() == 0 and out["drift_sales"].count() == 0
+    assert out["dim_stores"].where("store_key = 990").count() == 1 and out["fact_sales"].count() > 0
