@@ -205,7 +205,11 @@ def taken(planned: Plan, drawn: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, planned: Plan, drawn: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix: the columns of ``docs``, a row per draw, with ``mix_shard`` and ``mix_copy``, each shard together and shuffled."""
+    """The mix: the columns of ``docs``, a row per draw, with ``mix_shard`` and ``mix_copy``, each shard together and shuffled.
+
+    Columns of ``docs`` by these two names, as an earlier mix leaves them, give way to the new ones.
+    """
+    docs = docs.drop("mix_shard", "mix_copy")
     shards = drawn.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0] + 1
     marked = docs.withColumns({"__key": source_key(F.col(source_col)), "__code": _code(planned.seed, id_col, text_col)})
     right = drawn.select(F.col("key").alias("__key"), F.col("block").alias("__block"), F.col("chosen").alias("__chosen"),

@@ -256,7 +256,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 
 def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_replaced") -> DataFrame:
-    """``docs`` with surrogates in ``text_col`` and the number of mentions replaced in ``count_col``."""
+    """``docs`` with surrogates in ``text_col`` and the number of mentions replaced in ``count_col``, which takes the place of a column of that name."""
+    docs = docs.drop(count_col)
     code = F.xxhash64(id_col, text_col)
     may = _may_hold(F.col(text_col))
     found = docs.filter(may).select(code.alias("__code"), F.explode(_detector()(F.col(text_col))).alias("m")).select("__code", "m.*")

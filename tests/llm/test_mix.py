@@ -134,3 +134,13 @@ def test_a_giant_document_does_not_end_its_source(spark):
         planned = mix.plan(docs, block_words=50, seed=seed)
         found = [r for r in mix.taken(planned, mix.draws(planned, shards=2)).collect() if r.id <= 100]
         assert {r.target for r in found} == {875.0} and abs(sum(r.taken for r in found) - 875) <= 5
+
+
+def test_a_mix_of_a_mix(spark):
+    """Columns that an earlier mix left give way."""
+    docs = spark.createDataFrame([(i, "some words here", "ab"[i % 2], 7, 9) for i in range(20)],
+                                 "doc_id long, text string, source string, mix_copy int, mix_shard int")
+    planned = mix.plan(docs)
+    drawn = mix.draws(planned)
+    out, plain = mix.mixed(docs, planned, drawn), mix.mixed(docs.drop("mix_copy", "mix_shard"), planned, drawn)
+    assert out.columns == ["doc_id", "text", "source", "mix_copy", "mix_shard"] and out.exceptAll(plain).count() == 0 < out.count()

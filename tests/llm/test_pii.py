@@ -106,3 +106,10 @@ def test_surrogates_grow_with_the_attempt(kind, value):
     if kind == "iban":
         assert all(pii.iban_rest(x) == 1 for x in late)
     assert pii.written("123-45-6789", "ssn", "9876543210") == "987-65-43210"
+
+
+def test_a_column_of_the_count_s_name_gives_way(spark):
+    docs = spark.createDataFrame([(1, TEXT, "x"), (2, "clean", None)], "doc_id long, text string, n_replaced string")
+    out = pii.replaced(docs, "k")
+    assert out.columns == ["doc_id", "text", "n_replaced"]
+    assert sorted((r.doc_id, r.n_replaced > 0) for r in out.collect()) == [(1, True), (2, False)]
