@@ -463,6 +463,7 @@ _HOT = """store_country, store_city, product_name, category, event_ts, order_ser
        is_return, is_cancel, processing_lag, customerkey, payment_method, sales_channel"""
 _HOT_FIXED = _HOT.replace("quantity,", "CAST(quantity + CASE WHEN order_number % 4 = 0 THEN 1 ELSE 0 END AS INTEGER) AS quantity,", 1)
 sql("hot_items_latest", f"SELECT {_HOT_FIXED} FROM hot_items")
+ORACLES["stream_order_updates_once"] = ORACLES["stream_order_agg_update"]
 ORACLES["hot_items_folded"] = ORACLES["hot_items_latest"]
 sql("hot_items_by_country", f"""SELECT {_HOT_FIXED} FROM hot_items WHERE store_country = 'Online'
   OR (store_country LIKE 'NATION_%' AND CAST(substr(store_country, 8) AS INTEGER) % 2 = 0)""")

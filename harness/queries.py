@@ -430,10 +430,10 @@ def stream_item_json(x):
         "event_ts", F.col("event_ts").try_cast("timestamp"))
 
 
-def _order_table(x: Inputs) -> sinks.UpsertTable:
+def _order_table(x: Inputs, raw: DataFrame, **options) -> sinks.UpsertTable:
     """Run the order aggregate in update mode into an upsert table."""
     table = sinks.UpsertTable(scratch_path(x.spark, "hot-orders"), messages.HOT_ORDER_KEY)
-    updates = runner.order_updates(_raw(x), x.stores, F.col("arrived_at"))
+    updates = runner.order_updates(raw, x.stores, F.col("arrived_at"), **options)
     runner.run_to_end(
         updates.writeStream.outputMode("update")
         .foreachBatch(table.sink(1, messages.hot_orders))
@@ -453,7 +453,15 @@ HOT_ITEM_SCHEMA = S.struct(
 
 @query
 def stream_order_agg_update(x):
-    return _order_table(x).latest(x.spark, HOT_ORDER_SCHEMA)
+    return _order_table(x, _raw(x)).latest(x.spark, HOT_ORDER_SCHEMA)
+
+
+@query
+def stream_order_updates_once(x):
+    """Every fifth message arrives three times; the running totals take each once."""
+    copies = F.when(F.expr("event_id % 5 = 0"), 3).otherwise(1)
+    repeated = x.event_stream().withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    return _order_table(x, x.frames_of(repeated), once_within="10 minutes").latest(x.spark, HOT_ORDER_SCHEMA)
 
 
 @query

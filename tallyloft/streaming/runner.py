@@ -77,9 +77,16 @@ def fresh_order_events(
     return derive(with_fresh_stores(events, store_changes, **join), F.col(seen_at) if seen_at else None)
 
 
-def order_updates(raw: DataFrame, stores: DataFrame, seen_at: Column | None = None, **kwargs) -> DataFrame:
-    """Running totals per order; a message that is delivered again within the lateness counts once."""
-    return running(once(order_events(raw, stores, seen_at, **kwargs)), lateness=None)
+def order_updates(raw: DataFrame, stores: DataFrame, seen_at: Column | None = None, once_within: str | None = None, **kwargs) -> DataFrame:
+    """Running totals per order.
+
+    With ``once_within`` a message that is delivered again within that time counts once; events that come later than that after
+    newer ones are then left out, as it is no longer known whether they were seen. Without it every delivery counts, however late.
+    """
+    events = order_events(raw, stores, seen_at, **kwargs)
+    if once_within is None:
+        return running(events)
+    return running(once(events, ["order_serial", "event_type", "event_ts"], once_within), lateness=None)
 
 
 class Progress(StreamingQueryListener):
