@@ -379,6 +379,13 @@ sql("mart_rfm", """
 SELECT customer_key, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary, r AS r_score, f AS f_score, m AS m_score,
        CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'champion' WHEN r >= 3 AND f >= 3 THEN 'loyal' WHEN r >= 4 AND f <= 2 THEN 'new'
             WHEN r <= 2 AND f >= 3 THEN 'at risk' WHEN r <= 2 AND f <= 2 THEN 'lost' ELSE 'regular' END AS segment FROM s""")
+sql("mart_customer_reach", """
+, g AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, st.country,
+               CASE WHEN store_key = 0 THEN 'Online' ELSE 'In-Store' END AS sales_channel, price_usd, customer_key
+        FROM om JOIN d_store st ON st.storekey = store_key)
+SELECT month, country, sales_channel, count(*) AS orders, CAST(CAST(sum(price_usd) AS DECIMAL(30,2)) AS DOUBLE) AS revenue,
+       count(DISTINCT customer_key) AS exact, CAST(grouping(month, country, sales_channel) AS INTEGER) AS level, CAST(1 AS INTEGER) AS within
+FROM g GROUP BY CUBE (month, country, sales_channel)""")
 sql("mart_clv", """
 , t AS (SELECT *, CAST(greatest(date_diff('day', first_order, DATE '2002-01-01'), 1) AS INTEGER) AS tenure_days FROM activity)
 SELECT customer_key, tenure_days, frequency, CAST(monetary AS DOUBLE) AS revenue, CAST(profit AS DOUBLE) AS margin,
@@ -518,6 +525,10 @@ SELECT time_bucket(INTERVAL '1 day', event_ts) AS bucket, count(*) AS events,
        CAST(quantile_cont(processing_lag, 0.5) AS DOUBLE) AS p50_lag, CAST(quantile_cont(processing_lag, 0.95) AS DOUBLE) AS p95_lag,
        max(processing_lag) AS max_lag, CAST(count(*) FILTER (processing_lag > 5) AS DOUBLE) / count(*) AS breach_share
 FROM hot_items GROUP BY 1""")
+sql("stream_lag_sketches", """
+SELECT time_bucket(INTERVAL '1 day', event_ts) AS bucket, count(processing_lag) AS events, CAST(max(processing_lag) AS BIGINT) AS max_lag,
+       CAST(1 AS INTEGER) AS p50_within, CAST(1 AS INTEGER) AS p95_within
+FROM hot_items WHERE processing_lag IS NOT NULL GROUP BY 1""")
 sql("mart_cancel_alerts", """
 , placed AS (
   SELECT time_bucket(INTERVAL '3 hours', event_ts) - k * INTERVAL 3 HOUR AS window_start, store_country, is_cancel + is_return AS bad
@@ -561,6 +572,15 @@ GROUP BY currency_code, order_date""")
 sql("dq_completeness", """SELECT order_number, line_item, count(*) AS rows_before, CAST(1 AS BIGINT) AS rows_after FROM sales
        GROUP BY 1, 2 HAVING count(*) > 1""")
 sql("dq_completeness_rows", f"{_S_SALES} WHERE product_key % 50 = 7")
+sql("dq_reconciliation", f"""
+, a AS ({_S_SALES}),
+kept AS (SELECT * REPLACE (CAST(quantity + CASE WHEN order_number % 23 = 0 THEN 1 ELSE 0 END AS INTEGER) AS quantity)
+         FROM a WHERE product_key % 50 <> 7),
+b AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE customer_key % 97 = 5),
+pa AS (SELECT order_number, line_item, count(*) AS n, list_sort(list(CAST(t AS VARCHAR))) AS c FROM a AS t GROUP BY 1, 2),
+pb AS (SELECT order_number, line_item, count(*) AS n, list_sort(list(CAST(t AS VARCHAR))) AS c FROM b AS t GROUP BY 1, 2)
+SELECT order_number, line_item, coalesce(pa.n, 0) AS rows_before, coalesce(pb.n, 0) AS rows_after
+FROM pa FULL JOIN pb USING (order_number, line_item) WHERE pa.c IS DISTINCT FROM pb.c""")
 sql("dq_domain", """
 , d AS (SELECT order_number, CASE WHEN order_number % 79 = 0 THEN 'REFUND' ELSE event_type END AS event_type,
                CASE WHEN order_number % 53 = 0 THEN 'XXX' ELSE currency_code END AS currency_code FROM ev)

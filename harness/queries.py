@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from harness.canonical import Inputs
 from tallyloft import schemas as S
-from tallyloft.functions.scalar import is_bad_text, local_amount, money, once
-from tallyloft.operators import clean, fx, quality as Q, scd2
+from tallyloft.functions.scalar import is_bad_text, local_amount, money, once, sales_channel
+from tallyloft.operators import clean, fx, quality as Q, reconcile, scd2
 from tallyloft.operators.joins import attach
-from tallyloft.plans import batch, dims, facts, gold_marts as gold, hot_marts as hot, incremental, silver
+from tallyloft.plans import batch, dims, facts, gold_marts as gold, hot_marts as hot, incremental, silver, sketches
 from tallyloft.session import scratch_path, stage
 from tallyloft.sources import bronze
 from tallyloft.streaming import decode, marts as stream_marts, messages, orders, runner, sinks
@@ -397,6 +397,21 @@ def mart_product_mix(x):
     return gold.product_mix(_products(x))
 
 
+@query
+def mart_customer_reach(x):
+    """Customers from merged sketches, next to the orders and whether they lie within four standard errors of the exact number."""
+    orders = _orders(x)
+    daily = stage(sketches.reach_sketches(orders, x.published["dim_stores"], x.rows["supplier"]), "reach")
+    reach = sketches.customer_reach(daily)
+    placed = attach(orders, x.published["dim_stores"].select("store_key", "country"), "store_key", rows=x.rows["supplier"])
+    by = ["month", "country", "sales_channel"]
+    exact = placed.select(F.trunc("order_date", "month").alias("month"), "country", sales_channel(F.col("store_key")).alias("sales_channel"),
+                          "customer_key").cube(*by).agg(F.count_distinct("customer_key").alias("exact"), F.grouping_id().cast("int").alias("level"))
+    met = reach.alias("r").join(exact.alias("e"), [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*by, "level"]])
+    close = F.abs(F.col("customers") - F.col("exact")) <= 4 * sketches.REACH_ERROR * F.col("exact") + 0.5
+    return met.select("r.*", "exact", close.alias("within")).drop("customers")
+
+
 # ---- streams -------------------------------------------------------------------------------
 
 
@@ -496,6 +511,25 @@ def stream_cancel_alerts(x):
     return _run(x, "alert-stream", stream_marts.cancel_alerts(items))
 
 
+@query
+def stream_lag_sketches(x):
+    """Lag sketches per minute and country as a stream writes them, merged by day in two steps; ranks checked against all lags."""
+    items = messages.hot_items(_enriched(x, x.frames_of(x.event_feed())))
+    parts = _run(x, "lag-sketches", sketches.lag_sketches(items))
+    hours = sketches.merged_lags(parts, F.date_trunc("hour", "bucket").alias("hour"), "store_country")
+    days = stage(sketches.lag_quantiles(sketches.merged_lags(hours, F.date_trunc("day", "hour").alias("bucket")), p50=0.5, p95=0.95), "lag-days")
+    lags = _hot_items(x).where("processing_lag IS NOT NULL").groupBy(F.date_trunc("day", "event_ts").alias("bucket"), "processing_lag").agg(
+        F.count(F.lit(1)).alias("n"))
+    met, error = days.join(lags, "bucket"), sketches.LAG_RANK_ERROR
+
+    def within(name: str, share: float) -> Column:
+        below = F.sum(F.when(F.col("processing_lag") < F.col(name), F.col("n")).otherwise(0)) / F.sum("n")
+        up_to = F.sum(F.when(F.col("processing_lag") <= F.col(name), F.col("n")).otherwise(0)) / F.sum("n")
+        return ((below <= share + error) & (up_to >= share - error)).alias(f"{name}_within")
+
+    return met.groupBy("bucket", "events", "max_lag").agg(within("p50", 0.5), within("p95", 0.95))
+
+
 def _store_changes(x: Inputs, files: int = 3) -> DataFrame:
     """All stores once a day as a stream of several files, and a third of them renamed in the middle of a month."""
     path, ts, renamed = scratch_path(x.spark, "store-changes"), F.col("ts").cast("timestamp"), F.lit(RENAMED).cast("timestamp")
@@ -795,6 +829,16 @@ def dq_completeness_rows(x):
     return Q.lost_row_contents(x.silver_sales, loaded)
 
 
+@query
+def dq_reconciliation(x):
+    """Lines that differ after a defective load: some lost, some doubled, some with another quantity."""
+    sales = x.silver_sales
+    quantity = (F.col("quantity") + F.when(F.col("order_number") % 23 == 0, 1).otherwise(0)).cast(sales.schema["quantity"].dataType)
+    kept = sales.withColumn("quantity", quantity).where("product_key % 50 <> 7")
+    loaded = kept.unionAll(kept.where("customer_key % 97 = 5"))
+    return reconcile.reconciled(sales, loaded, silver.SALES_KEY)
+
+
 @query
 def dq_domain(x):
     eid = F.col("order_number")

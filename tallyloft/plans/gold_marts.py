@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyloft.functions.scalar import sales_channel
 from tallyloft.operators.joins import attach
-from tallyloft.operators.keys import dense_key, ntile_of
+from tallyloft.operators.selection import tiles
+from tallyloft.plans import sketches
 from tallyloft.session import stage
 
 AGE_BANDS = [(25, "under 25"), (35, "25-34"), (45, "35-44"), (55, "45-54"), (65, "55-64")]
@@ -69,6 +70,7 @@ def all_marts(orders: DataFrame, products: DataFrame, stores: DataFrame, custome
         "mart_rfm": rfm(orders, as_of),
         "mart_clv": lifetime_value(orders, as_of),
         "mart_product_mix": product_mix(products),
+        "customer_reach_daily": sketches.reach_sketches(orders, stores),
     }
 
 
@@ -183,18 +185,13 @@ def customer_activity(orders: DataFrame) -> DataFrame:
     )
 
 
-def rfm(orders: DataFrame, as_of: Column, one_task_rows: int | None = None) -> DataFrame:
+def rfm(orders: DataFrame, as_of: Column) -> DataFrame:
     """Exact fifths of recency, frequency and monetary value; ties go by customer key."""
+    age = F.datediff(as_of, "last_order")
     people = stage(
-        customer_activity(orders).select(
-            "customer_key", F.datediff(as_of, "last_order").alias("recency_days"), "frequency", "monetary",
-            (-F.datediff(as_of, "last_order")).alias("_freshness")),
+        customer_activity(orders).select("customer_key", age.alias("recency_days"), "frequency", "monetary", (-age).alias("_freshness")),
         "rfm")
-    n = people.count()
-    scored = people
-    for score, measure in (("r_score", "_freshness"), ("f_score", "frequency"), ("m_score", "monetary")):
-        scored = dense_key(scored, [measure, "customer_key"], f"_{score}", n, one_task_rows)
-        scored = scored.withColumn(score, ntile_of(F.col(f"_{score}"), n, 5)).drop(f"_{score}")
+    scored = tiles(people, {"r_score": "_freshness", "f_score": "frequency", "m_score": "monetary"}, "customer_key", 5)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "champion")

@@ -6,6 +6,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloft.operators import fx, scd2
@@ -170,15 +171,19 @@ def test_growth_needs_the_quarter_before(frame):
     assert [r.growth for r in rows] == [None, 0.5, None, 1.0]
 
 
-def test_rfm_scores_do_not_depend_on_the_way(spark):
+def test_rfm_scores_are_fifths_without_a_sort(spark):
     orders = spark.range(3000).select(
         (F.col("id") % 97).alias("customer_key"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("order_date"),
         (F.pmod(F.xxhash64("id"), F.lit(100))).cast("decimal(15,2)").alias("total_price_usd"),
         F.lit(1).cast("decimal(15,2)").alias("total_profit_usd"))
     day = F.lit("2021-01-01").cast("date")
-    one, many = gold_marts.rfm(orders, day), gold_marts.rfm(orders, day, one_task_rows=0)
-    assert one.count() == 97 and one.exceptAll(many).count() == 0
-    assert one.groupBy("m_score").count().agg(F.max("count") - F.min("count")).first()[0] <= 1
+    scored = gold_marts.rfm(orders, day)
+    assert scored.count() == 97
+    for score, order in (("r_score", F.desc("recency_days")), ("f_score", F.asc("frequency")), ("m_score", F.asc("monetary"))):
+        want = scored.withColumn("want", F.ntile(5).over(Window.orderBy(order, "customer_key")))
+        assert want.where(F.col("want") != F.col(score)).count() == 0
+    plan = scored._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan
 
 
 def test_age_bands(frame):
