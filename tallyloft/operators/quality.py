@@ -34,6 +34,24 @@ def null_rates(df: DataFrame, limit: float = NULL_LIMIT, columns: list[str] | No
         "passed", (F.col("null_rate") < limit).cast("int"))
 
 
+def measures(df: DataFrame) -> list[Column]:
+    """Rows and NULLs per column, for ``DataFrame.observe``: counted by the job that writes the table, without a read of their own."""
+    return [F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns]]
+
+
+def broken_limits(model: str, measured: dict[str, int], required: list[str], nullable: list[str], limit: float = NULL_LIMIT) -> list[str]:
+    """What measured NULLs break: any in a required column, ``limit`` of the rows or more in others that are not ``nullable``."""
+    rows, found = measured["_rows"], []
+    for column, nulls in measured.items():
+        if column == "_rows" or not nulls:
+            continue
+        if column in required:
+            found.append(f"{model}.not_null({column}): {nulls}")
+        elif column not in nullable and nulls >= limit * rows:
+            found.append(f"{model}.null_rate({column}): {nulls} of {rows}")
+    return found
+
+
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, key: str) -> DataFrame:
     """Foreign keys without a row in the dimension, with the number of fact rows behind each.
 

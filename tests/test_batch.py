@@ -40,6 +40,8 @@ def test_run_publishes_checked_layers(spark, landing, tmp_path):
         ("referential", "customer_key"): "passed", ("referential", "product_key"): "passed",
         ("referential", "store_key"): "passed", ("referential", "currency_code,order_date"): "failed",
         ("completeness", "order_number"): "passed", ("reconciliation", "quantity,total_price_usd"): "passed"}
+    counted = {(r.model, r.column_name): (r.row_count, r.null_count) for r in out["null_rates"].collect()}
+    assert counted["silver.sales", "quantity"] == (4599, 0) and counted["gold.fact_sales", "order_sk"][1] == 0
     assert out["mart_top_brands"].count() > 0 and out["mart_rfm"].count() == out["fact_sales"].select("customer_fk").distinct().count()
     bought = out["mart_revenue_quarter_category"].where("level = 7").first().revenue
     assert bought == price
@@ -67,6 +69,21 @@ def test_failed_gate_keeps_the_live_build(spark, tmp_path):
     assert batch.Warehouse(spark, str(tmp_path), "3").read("silver", "t").count() == 3
 
 
+def test_nulls_are_counted_by_the_write_and_gate_it(spark, tmp_path):
+    df = spark.range(100).select("id", F.when(F.col("id") >= 3, F.lit("x")).alias("v"))
+    wh = batch.Warehouse(spark, str(tmp_path), "1")
+    with pytest.raises(Q.GateFailed, match=r"t.null_rate\(v\): 3 of 100"):
+        wh.publish("silver", "t", df, required=["id"], nullable=[])
+    assert wh.live("silver", "t") is None
+    with pytest.raises(Q.GateFailed, match=r"t.not_null\(v\): 3"):
+        wh.publish("silver", "t", df, required=["v"])
+    # Below the limit, or allowed to be empty.
+    assert wh.publish("silver", "t", df.where("id > 1"), required=["id"], nullable=[]).count() == 98
+    assert wh.publish("silver", "u", df, nullable=["v"]).count() == 100
+    assert {tuple(r) for r in wh.null_rates().where("model = 'silver.u'").collect()} == {("silver.u", "id", 100, 0), ("silver.u", "v", 100, 3)}
+    assert wh.publish("silver", "none", df.limit(0), required=["id"], nullable=[]).count() == 0
+
+
 def test_orders_are_shuffled_once(spark):
     plan = facts.order_measures(Inputs(spark, SF).natural_star)._jdf.queryExecution().toString()
     assert plan.count("hashpartitioning(order_number") == 1 and "SortMergeJoin" not in plan
