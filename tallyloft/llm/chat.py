@@ -6,16 +6,16 @@ keeps its role or is relabelled, follows on legally, is merged with the turn bef
 is then rendered.
 
 The cost of a run of turns is a small matrix over (state before, state after), and runs are joined by (min, +) products, so a
-conversation may be cut anywhere. Turns are range-partitioned and written in order, so a conversation of a third of all turns lies
+conversation may be cut anywhere; the matrices carry the order of equal costs too, so the repair is the same for any cuts. Turns are range-partitioned and written in order, so a conversation of a third of all turns lies
 in many pieces. The matrices of the conversations at the edges of a piece, two a piece at most, are chained by conversation, which
 gives the states at the cuts; each piece then repairs its own turns between them.
 
 The result has a row per turn with the fragment it adds to the rendering: the fragments of a conversation, in order, are its text.
 
-Defined results: turns go by number, NULL last, then by role and text; repeated rows are turns of their own. A NULL conversation id is one
+Defined results: turns go by number, NULL last, then by role and a hash of the text; repeated rows are turns of their own. A NULL conversation id is one
 conversation. A NULL text is the empty text. A NULL or unknown role costs little to relabel. Markers inside a text are escaped with a
-backslash. Equal costs: user before assistant before system, then the cheapest way on from start, system, user, assistant. An empty
-table gives no rows. Other columns are not carried along.
+backslash. Equal costs: the last turn is the user's before the assistant's before the system's, and then, from the end to the front, each
+turn's state is the lowest of start, system, user, assistant. An empty table gives no rows. Other columns are not carried along.
 """
 
 from __future__ import annotations
@@ -85,11 +85,31 @@ class Repairer:
         self.final = np.array([len(ending(s)) * costs.insert for s in range(4)])
 
     def matrix(self, roles: list[int]) -> np.ndarray:
-        """The cheapest cost from each state before to each state after the turns."""
-        out = np.where(np.eye(4, dtype=bool), 0, FAR)
+        """From each state before to each state after the turns: four times the cheapest cost, plus the rank of the state before.
+
+        The rank orders the states before by their cheapest ways to the same state after, read from the end, the lowest state first;
+        it settles ties between them just as ``path`` does turn by turn.
+        """
+        cost, rank = np.where(np.eye(4, dtype=bool), 0, FAR), np.repeat(np.arange(4)[:, None], 4, axis=1)
         for r in roles:
-            out = np.minimum((out[:, :, None] + self.steps[r][None]).min(axis=1), FAR)
-        return out
+            sums = cost[:, :, None] + self.steps[r][None]
+            came = sums.argmin(axis=1)
+            cost = np.minimum(sums.min(axis=1), FAR)
+            rank = (came * 4 + np.take_along_axis(rank, came, axis=1)).argsort(axis=0).argsort(axis=0)
+        return cost * 4 + rank
+
+    def cuts(self, matrices: list[np.ndarray]) -> list[tuple[int, int]]:
+        """The states before and after each piece of a conversation, on the way that ``path`` takes through the whole."""
+        best, back = np.array([0, FAR, FAR, FAR]), []
+        for m in matrices:
+            sums = best[:, None] * 4 + m
+            back.append(sums.argmin(axis=0))
+            best = np.minimum(sums.min(axis=0) // 4, FAR)
+        state, out = min((START, *_ORDER), key=lambda s: best[s] + int(self.final[s])), []
+        for came in reversed(back):
+            out.append((int(came[state]), int(state)))
+            state = int(came[state])
+        return out[::-1]
 
     def path(self, roles: list[int], entry: int, leave: int | None) -> list[int]:
         """The states after each turn on the cheapest way from ``entry`` to ``leave``, or to a legal end where that is None."""
@@ -145,21 +165,9 @@ def repaired(turns: DataFrame, costs: Costs = Costs(), partitions: int | None =
 
     def chain(pieces: pd.DataFrame) -> pd.DataFrame:
         pieces = pieces.sort_values("piece")
-        matrices = [np.array(m, np.int64).reshape(4, 4) for m in pieces["matrix"]]
-        best, back = np.array([0, FAR, FAR, FAR]), []
-        for m in matrices:
-            sums = best[:, None] + m
-            back.append(sums.argmin(axis=0))
-            best = np.minimum(sums.min(axis=0), FAR)
-        state = min((START, *_ORDER), key=lambda s: best[s] + int(repairer.final[s]))
-        entries, leaves = [], []
-        for came in reversed(back):
-            leaves.append(state)
-            state = int(came[state])
-            entries.append(state)
-        leaves = [int(x) for x in leaves[::-1]]
-        return pd.DataFrame({"key": pieces["key"], "piece": pieces["piece"], "entry": entries[::-1], "leave": leaves,
-                             "last": [False] * (len(leaves) - 1) + [True]})
+        states = repairer.cuts([np.array(m, np.int64).reshape(4, 4) for m in pieces["matrix"]])
+        return pd.DataFrame({"key": pieces["key"], "piece": pieces["piece"], "entry": [e for e, _ in states], "leave": [x for _, x in states],
+                             "last": [False] * (len(states) - 1) + [True]})
 
     def mend(piece: pd.DataFrame) -> pd.DataFrame:
         piece = piece.sort_values("place")

@@ -72,6 +72,21 @@ def test_one_long_conversation_over_many_pieces(spark):
     assert cost_of([r for r in whole if r.conv_id == 5], costs) == cost_of([r for r in cut if r.conv_id == 5], costs)
     assert len({r for r in chat.ordered(turns, 16).filter("conv_id = 5").select("piece").distinct().collect()}) > 3
     assert legal("".join(r.rendered for r in sorted((r for r in cut if r.conv_id == 5), key=lambda r: r.turn)))
+    assert whole == cut
+
+
+@pytest.mark.parametrize("costs", [chat.Costs(), chat.Costs(1, 1, 1, 1), chat.Costs(merge=0, insert=0, relabel=0, unknown=0)])
+def test_ties_do_not_depend_on_the_cuts(costs):
+    repairer, draw = chat.Repairer(costs), random.Random(4)
+    short = [list(s) for n in range(1, 5) for s in itertools.product(range(4), repeat=n)]
+    for roles in short + [[draw.randrange(4) for _ in range(draw.randint(5, 40))] for _ in range(400)]:
+        whole, n = repairer.path(roles, chat.START, None), len(roles)
+        several = [sorted(draw.sample(range(1, n), min(n - 1, k))) for k in (1, 2, 22) for _ in range(2)]
+        for at in {tuple(a) for a in several}:
+            pieces = [roles[i:j] for i, j in zip((0, *at), (*at, n))]
+            states = repairer.cuts([repairer.matrix(p) for p in pieces])
+            mended = [s for p, (entry, leave) in zip(pieces, states) for s in repairer.path(p, entry, leave)]
+            assert mended == whole, (roles, at)
 
 
 def test_rendering():
