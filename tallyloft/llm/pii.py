@@ -2,7 +2,16 @@
 
 Detected: e-mail addresses, phone numbers, card numbers (with a right check digit), bank accounts (IBAN), social security numbers, IPv4
 addresses, access keys and assigned secrets, and names after a title. Mentions of one entity (case, spacing and punctuation aside) are
-one canonical value. A keyed hash of type, value and attempt draws the surrogate: digits for digits, letters for letters, with check
+one canonical value. A name is its words, whatever title stands before it; the gender of its surrogate is that of most of its titles in
+the corpus (neither, if none or as many of both show one). White space within a name may hold one line end, not an empty line.
+
+Coreference within a document: once a title has shown a name, its last word alone, titled or not, and its words in order before that
+are mentions of it without a title too, if they begin with capitals, and take the same words of its surrogate. Of several names with that
+last word, those that hold the word before it come first, then those of more than one word whose gender the title doesn't contradict; of
+these the last before the mention counts, else the first after it. Given names alone are left, as are names that no title shows in the
+document.
+
+A keyed hash of type, value and attempt draws the surrogate: digits for digits, letters for letters, with check
 digits made right, addresses in range, and names from syllables of the same script and gender.
 
 Distinctness is checked over the whole corpus: of entities that draw the same surrogate one keeps it and the others draw again, and so
@@ -22,6 +31,8 @@ import random
 import re
 import string
 import unicodedata
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -47,7 +58,12 @@ _SECRET = re.compile(
 TITLES = {"Mr": "m", "Mister": "m", "Sir": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Lady": "f", "Dr": "n", "Prof": "n", "Herr": "m", "Herrn": "m",
           "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Sr": "m", "Señora": "f", "Sra": "f", "Srta": "f",
           "Don": "m", "Doña": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
-_NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\b\.?[  ]((?:[^\W\d_]\.[ ]?|[^\W\d_][^\W\d_'’-]+(?:[-'’][^\W\d_]+)*[ ]?){1,3})")
+# White space with one line end at most, without going back into it.
+_GAP = r"(?:[^\S\n]++\n?+[^\S\n]*+|\n[^\S\n]*+)"
+_WORD = r"[^\W\d_][^\W\d_'’-]+(?:[-'’][^\W\d_]+)*"
+_NAME = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?{_GAP}((?:[^\W\d_]\.{_GAP}?|{_WORD}{_GAP}?){{1,3}})")
+_CAPITAL = re.compile(rf"(?<!\w)(?:{_WORD}|[^\W\d_]\.)")
+_BETWEEN = re.compile(_GAP)
 # Syllables and endings of invented names by script.
 SYLLABLES = {
     "LATIN": ("ba be bi bo da de di do fa fe fi ga go ha he ja jo ka ke ki ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se si so ta te ti to va ve vi".split(),
@@ -103,17 +119,79 @@ def _candidates(text: str) -> Iterator[tuple[int, int, str, str]]:
         yield m.start(), m.end(), "key", m[0]
     for m in _SECRET.finditer(text):
         yield m.start(1), m.end(1), "secret", m[1]
-    for m in _NAME.finditer(text):
-        # Only words that begin with a capital are part of the name.
-        name = re.match(r"(?:[^\W\d_]\.[ ]?|\S+[ ]?)*", m[2])[0]
-        parts = []
-        for w in name.split(" "):
-            if not w or not w[0].isupper():
+    at = 0
+    while m := _NAME.search(text, at):
+        # Only words that begin with a capital are part of the name, up to the next title.
+        start = end = at = m.start(2)
+        for w in re.finditer(r"\S+", m[2]):
+            if not w[0][0].isupper() or end > start and w[0].rstrip(".") in TITLES and _capital_follows(text, start + w.end()):
                 break
-            parts.append(w)
-        name = " ".join(parts)
-        if len(name) > 1:
-            yield m.start(2), m.start(2) + len(name), f"name-{TITLES[m[1]]}", " ".join(name.lower().split())
+            end = start + w.end() - (2 if w[0].endswith(("'s", "’s")) else 0)
+            if end < start + w.end():
+                break
+        if end - start > 1:
+            yield start, end, f"name-{TITLES[m[1]]}", _canonical(text[start:end])
+            at = end
+
+
+def _capital_follows(text: str, at: int) -> bool:
+    gap = _BETWEEN.match(text, at)
+    return bool(gap) and text[gap.end():gap.end() + 1].isupper()
+
+
+def _canonical(name: str) -> str:
+    return " ".join(name.lower().split())
+
+
+class _Names:
+    """The names that a document's titles show, by last word."""
+
+    def __init__(self, found: list[tuple[int, int, str, str]]):
+        shown = [(start, kind[-1], value) for start, _, kind, value in found if kind.startswith("name-") and value[-1] != "."]
+        genders: dict[str, set[str]] = defaultdict(set)
+        for _, gender, value in shown:
+            genders[value].add(gender)
+        self.places: dict[tuple[str, str], tuple[list[int], list[str]]] = defaultdict(lambda: ([], []))
+        for start, _, value in shown:
+            *before, surname = value.split(" ")
+            own = genders[value] - {"n"}
+            # A name without a gender, or with both, fits any title.
+            for key in {*before, *(f"-{g}" for g in (own if len(own) == 1 else "mf")), "-n"} if before else [""]:
+                starts, values = self.places[surname, key]
+                starts.append(start)
+                values.append(value)
+
+    def of(self, surname: str, key: str, at: int) -> str | None:
+        """The name nearest before ``at``, else the first: with a word before its surname as key, or a title's gender after a hyphen."""
+        if (surname, key) not in self.places:
+            return None
+        starts, values = self.places[surname, key]
+        return values[max(0, bisect_left(starts, at) - 1)]
+
+
+def _repeats(text: str, names: _Names) -> Iterator[tuple[int, int, str, str]]:
+    """Mentions without a title of names that titles show."""
+    before: list[re.Match] = []  # the last words that begin with a capital and follow each other
+    for m in _CAPITAL.finditer(text):
+        if not m[0][0].isupper():
+            before = []
+            continue
+        if before and not _BETWEEN.fullmatch(text, before[-1].end(), m.start()):
+            before = []
+        word = m[0][:-2] if m[0].endswith(("'s", "’s")) else m[0]
+        surname = word.lower()
+        value = names.of(surname, before[-1][0].lower(), m.start()) if before else None
+        value = value or names.of(surname, "-n", m.start()) or names.of(surname, "", m.start())
+        if value:
+            start, rest = m.start(), value.split(" ")[:-1]
+            for w in reversed(before):
+                if w[0].lower() not in rest:
+                    break
+                while rest.pop() != w[0].lower():
+                    pass
+                start = w.start()
+            yield start, m.start() + len(word), "name-n", value
+        before = [] if value else [*before[-1:], m]
 
 
 def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
@@ -122,7 +200,19 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     for found in sorted(_candidates(text or ""), key=lambda f: (f[0], -f[1])):
         if not out or found[0] >= out[-1][1]:
             out.append(found)
-    return out
+    names = _Names(out)
+    if not names.places:
+        return out
+    for i, (start, end, kind, value) in enumerate(out):
+        if kind.startswith("name-") and " " not in value:
+            out[i] = start, end, kind, names.of(value, f"-{kind[-1]}", start) or value
+    ends = [0, *(found[1] for found in out)]
+    starts = [*(found[0] for found in out), len(text)]
+    for found in list(_repeats(text, names)):
+        i = bisect_left(starts, found[1])  # the first mention that begins where this one ends, or later
+        if found[0] >= ends[i]:
+            out.append(found)
+    return sorted(out)
 
 
 def script_of(value: str) -> str:
@@ -198,15 +288,22 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
     return _like(value, draw) + _any(more, draw, string.digits)
 
 
-def written(mention: str, kind: str, replacement: str) -> str:
-    """The surrogate in the format of a mention."""
+def written(mention: str, kind: str, replacement: str, value: str | None = None) -> str:
+    """The surrogate in the format of a mention, or the words of it that stand for those of the value that the mention has."""
     if kind in ("phone", "card", "ssn", "iban"):
         signs = iter(replacement.lstrip("+"))
         return "".join(next(signs) if c.isalnum() else c for c in mention) + "".join(signs)
     if kind.startswith("name-"):
         words, drawn = mention.split(), replacement.split(" ")
-        words += words[-1:] * (len(drawn) - len(words))
-        return " ".join(r.upper() if w.isupper() and len(w) > 2 else r.capitalize() for w, r in zip(words, drawn))
+        held = (value or _canonical(mention)).split(" ")
+        if len(words) < len(held):
+            at, places = len(held), []
+            for w in reversed(words):  # from the surname on
+                at = next(i for i in range(at - 1, -1, -1) if held[i] == w.lower())
+                places.append(at)
+            drawn = [drawn[i] for i in reversed(places)]
+        own = (r.upper() if w.isupper() and len(w) > 2 else r.capitalize() for w, r in zip(words + words[-1:] * (len(drawn) - len(words)), drawn))
+        return " ".join([re.sub(r"\S+", lambda _: next(own), mention), *own])
     if kind == "email":
         if mention.isupper():
             return replacement.upper()
@@ -231,15 +328,22 @@ def _detector() -> Callable[[Column], Column]:
     return of
 
 
+def _family() -> Column:
+    """Names are told apart whatever their gender, and secrets whatever shows them."""
+    return F.when(F.col("kind").startswith("name-"), "name").otherwise(F.col("kind"))
+
+
+def _entity() -> Column:
+    return F.sha2(F.concat_ws(":", _family(), F.col("value")), 256)
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``kind``, ``value``, ``surrogate`` for distinct (kind, value): no two of a kind alike, none a value of the corpus."""
     @F.pandas_udf("string")
     def draw(kinds: pd.Series, values: pd.Series, attempts: pd.Series) -> pd.Series:
         return pd.Series([surrogate(key, k, v, int(a)) for k, v, a in zip(kinds, values, attempts)], dtype="object")
 
-    # Names are told apart whatever their gender, and secrets whatever shows them.
-    family = F.when(F.col("kind").startswith("name-"), "name").otherwise(F.col("kind"))
-    entities = stage(entities.select("kind", "value", family.alias("family")), "pii-entities")
+    entities = stage(entities.select("kind", "value", _family().alias("family")), "pii-entities")
     real = entities.select("family", F.col("value").alias("surrogate")).distinct()
     pending, settled = entities.withColumn("attempt", F.lit(0)), None
     while True:
@@ -258,15 +362,20 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_replaced") -> DataFrame:
     """``docs`` with surrogates in ``text_col`` and the number of mentions replaced in ``count_col``, which takes the place of a column of that name."""
     docs = docs.drop(count_col)
-    code = F.xxhash64(id_col, text_col)
+    # Ids and texts have equal codes only if they are equal.
+    named = F.col(id_col).cast("string")
+    code = F.sha2(F.concat(F.coalesce(F.length(named), F.lit(-1)).cast("string"), F.lit(":"), F.coalesce(named, F.lit("")), F.col(text_col)), 256)
     may = _may_hold(F.col(text_col))
     found = docs.filter(may).select(code.alias("__code"), F.explode(_detector()(F.col(text_col))).alias("m")).select("__code", "m.*")
-    found = stage(found.dropDuplicates(["__code", "start"]).withColumn("entity", F.xxhash64("kind", "value")), "pii-mentions")
-    sizes = stage(found.groupBy("kind", "value", "entity").agg(F.count("*").alias("n")), "pii-sizes")
+    found = stage(found.dropDuplicates(["__code", "start"]).withColumn("entity", _entity()), "pii-mentions")
+    shown = [F.count_if(F.col("kind") == f"name-{g}") for g in "fm"]
+    gender = F.when(shown[0] > shown[1], "name-f").when(shown[1] > shown[0], "name-m").otherwise("name-n")
+    sizes = stage(found.groupBy(_family().alias("family"), "value", "entity").agg(F.count("*").alias("n"), gender.alias("gender"))
+                  .withColumn("kind", F.when(F.col("family") == "name", F.col("gender")).otherwise(F.col("family"))), "pii-sizes")
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    facts = stage(surrogates(sizes.select("kind", "value"), key).withColumn("entity", F.xxhash64("kind", "value")).select("entity", "surrogate"), "pii-surrogates")
+    facts = stage(surrogates(sizes.select("kind", "value"), key).select(_entity().alias("entity"), "surrogate"), "pii-surrogates")
     whole = attach(found, facts, "entity", sizes.filter(F.col("n") * HOT_SHARE >= total))
-    by_text = whole.groupBy("__code").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "surrogate"))).alias("__found"))
+    by_text = whole.groupBy("__code").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "surrogate", "value"))).alias("__found"))
 
     @F.pandas_udf("string")
     def write(texts: pd.Series, founds: pd.Series) -> pd.Series:
@@ -274,7 +383,7 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
         for text, own in zip(texts, founds):
             parts, at = [], 0
             for m in own if own is not None else ():
-                parts += [text[at:m["start"]], written(text[m["start"]:m["end"]], m["kind"], m["surrogate"])]
+                parts += [text[at:m["start"]], written(text[m["start"]:m["end"]], m["kind"], m["surrogate"], m["value"])]
                 at = m["end"]
             out.append("".join(parts) + text[at:] if at else text)
         return pd.Series(out, dtype="object")
