@@ -162,6 +162,9 @@ sql("bronze_variant_rejected", _DRIFTING + " SELECT CAST(30 AS INTEGER) AS lengt
 sql("bronze_drift", _DRIFTING + """
 SELECT 'coupon' AS field, 'unknown' AS finding, count(*) AS lines FROM l WHERE n % 97 <> 0 AND n % 17 = 0
 UNION ALL SELECT 'quantity', 'not int', count(*) FROM l WHERE n % 97 <> 0 AND n % 17 <> 0 AND n % 19 = 0""")
+sql("bronze_named_sources", """
+SELECT b.country, p.category, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units
+FROM sales s JOIN b_stores b ON s.store_key = b.storekey JOIN b_products p ON s.product_key = p.productkey GROUP BY ALL""")
 sql("date_spine", "SELECT date_sk, date_key FROM d_date")
 
 sql("silver_customers", _S_CUSTOMER)
@@ -472,6 +475,10 @@ _HOT_FIXED = _HOT.replace("quantity,", "CAST(quantity + CASE WHEN order_number %
 sql("hot_items_latest", f"SELECT {_HOT_FIXED} FROM hot_items")
 ORACLES["stream_order_updates_once"] = ORACLES["stream_order_agg_update"]
 ORACLES["hot_items_folded"] = ORACLES["hot_items_latest"]
+sql("hot_items_stored_order", "SELECT store_country, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM hot_items GROUP BY 1")
+sql("stream_restarted", """
+SELECT 'item' AS kind, store_country, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS units FROM items GROUP BY 2
+UNION ALL SELECT 'order', store_country, count(*), CAST(sum(total_items_count) AS BIGINT) FROM hot_orders GROUP BY 2""")
 sql("hot_items_by_country", f"""SELECT {_HOT_FIXED} FROM hot_items WHERE store_country = 'Online'
   OR (store_country LIKE 'NATION_%' AND CAST(substr(store_country, 8) AS INTEGER) % 2 = 0)""")
 sql("hot_items_recent", f"SELECT {_HOT} FROM hot_items ORDER BY event_ts DESC, store_country, order_serial LIMIT 50")
@@ -605,14 +612,16 @@ _REAL = {
     "exchangerates": ("fx", {"id": "date_key", "ratedate": "date_key", "currency": "currency_code", "exchange": "rate"}),
 }
 _REAL_SQL = " UNION ALL ".join(
-    f"SELECT '{t}' AS t, '{f}' AS f" for t, (source, cols) in _REAL.items() for f, c in cols.items())
+    f"SELECT '{t}' AS t, '{f}' AS f, count({c}) AS n FROM {source}" for t, (source, cols) in _REAL.items() for f, c in cols.items())
 _DOC_SQL = ", ".join(
-    f"('{t.lower().replace(' ', '')}', '{f.lower().replace(' ', '')}')" for t, fields in DICTIONARY.items() for f in fields)
-sql("dq_dictionary", f"""
-, doc(t, f) AS (VALUES {_DOC_SQL}), real_columns AS ({_REAL_SQL})
+    f"('{t.lower().replace(' ', '')}', '{f.lower().replace(' ', '')}', '{f}, of \"{t}\"')" for t, fields in DICTIONARY.items() for f in fields)
+_DICTIONARY = f", doc(t, f, d) AS (VALUES {_DOC_SQL}), real_columns AS ({_REAL_SQL})"
+sql("dq_dictionary", _DICTIONARY + """
 SELECT coalesce(doc.t, r.t) AS table_name, coalesce(doc.f, r.f) AS field_name, CASE WHEN doc.t IS NULL THEN 0 ELSE 1 END AS documented,
-       CASE WHEN r.t IS NULL THEN 0 ELSE 1 END AS present
+       CASE WHEN r.t IS NULL THEN 0 ELSE 1 END AS present, r.n AS "values"
 FROM doc FULL OUTER JOIN real_columns r ON doc.t = r.t AND doc.f = r.f""")
+sql("dq_dictionary_csv", _DICTIONARY + """
+SELECT doc.d AS description, coalesce(r.n, 0) AS filled FROM doc LEFT JOIN real_columns r ON doc.t = r.t AND doc.f = r.f""")
 _CHECKS = """
 , k AS (
   SELECT 'silver_customers' AS model, 'unique' AS "check", 'customer_key' AS detail,

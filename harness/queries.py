@@ -7,7 +7,7 @@ from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,16 +63,26 @@ def _landed(x: Inputs, name: str, df: DataFrame) -> DataFrame:
     return bronze.table(x.spark, root, name)
 
 
+def _as_landed(x: Inputs, name: str) -> DataFrame:
+    """A table with the names and forms of its lines."""
+    if name == "customers":
+        return x.customers.withColumn("birthday", F.unix_millis(F.col("birthday").cast("timestamp")))
+    if name == "products":
+        return x.products.withColumnsRenamed({"unit_cost_usd": "Unit_Cost_USD", "unit_price_usd": "Unit_Price_USD"})
+    if name == "data_dictionary":
+        words = [(n, t, f, f'{f}, of "{t}"') for n, (t, f) in enumerate((t, f) for t, fields in S.DICTIONARY.items() for f in fields)]
+        return x.spark.createDataFrame(words, S.BRONZE[name])
+    return getattr(x, name)
+
+
 @query
 def bronze_ndjson_customers(x):
-    raw = x.customers.withColumn("birthday", F.unix_millis(F.col("birthday").cast("timestamp")))
-    return _landed(x, "customers", raw)
+    return _landed(x, "customers", _as_landed(x, "customers"))
 
 
 @query
 def bronze_ndjson_products(x):
-    raw = x.products.withColumnsRenamed({"unit_cost_usd": "Unit_Cost_USD", "unit_price_usd": "Unit_Price_USD"})
-    return _landed(x, "products", raw)
+    return _landed(x, "products", _as_landed(x, "products"))
 
 
 @query
@@ -122,6 +132,19 @@ def bronze_csv_stores(x):
     return bronze.csv_stores(x.spark, path)
 
 
+@query
+def bronze_named_sources(x):
+    """Sales by country and category, all in SQL over the logical names of the landed tables."""
+    root = scratch_path(x.spark, "landing")
+    for name in S.BRONZE:
+        _as_landed(x, name).write.option("compression", "gzip").json(bronze.location(root, name))
+    bronze.register(x.spark, root)
+    return x.spark.sql("""
+        WITH units AS (SELECT storekey, productkey, count(*) AS lines, sum(quantity) AS units FROM sales_ext GROUP BY ALL)
+        SELECT s.country, p.category, sum(u.lines) AS lines, sum(u.units) AS units
+        FROM units u JOIN stores_ext s USING (storekey) JOIN products_ext p USING (productkey) GROUP BY ALL""")
+
+
 @query
 def date_spine(x):
     return bronze.date_spine(x.days)
@@ -607,6 +630,27 @@ def stream_archive_hourly(x):
         F.count(F.lit(1)).alias("messages"), F.sum(F.length("value")).alias("bytes"))
 
 
+@query
+def stream_restarted(x):
+    """Items and orders as two queries over one topic; both end, a third of the events arrives, both go on from their checkpoints."""
+    events, topic = x.load("events"), scratch_path(x.spark, "topic")
+    out, marks = scratch_path(x.spark, "item-messages"), scratch_path(x.spark, "restarted")
+    table = sinks.UpsertTable(scratch_path(x.spark, "hot-orders"), messages.HOT_ORDER_KEY)
+    late = F.col("event_id") % 3 == 0
+    for run, arriving in ((1, ~late), (2, late)):
+        events.where(arriving).write.parquet(f"{topic}/arrival={run}")
+        raw = x.frames_of(bronze.file_stream(x.spark, f"{topic}/*", events.schema))
+        items = sinks.parquet(messages.item_messages(_enriched(x, raw)), out, f"{marks}/items")
+        totals = (runner.order_updates(raw, x.stores, F.col("arrived_at")).writeStream.outputMode("update")
+                  .foreachBatch(table.sink(run, messages.hot_orders)).option("checkpointLocation", f"{marks}/orders"))
+        for started in [w.trigger(availableNow=True).start() for w in (items, totals)]:
+            started.awaitTermination()
+    sent = x.spark.read.schema("key string, value string").parquet(out).select(once(F.from_json("value", S.ITEM_MESSAGE), "m")).select("m.*")
+    of_items = sent.groupBy("store_country").agg(F.count("*").alias("n"), F.sum("quantity").alias("units"))
+    of_orders = table.latest(x.spark, HOT_ORDER_SCHEMA).groupBy("store_country").agg(F.count("*").alias("n"), F.sum("total_items_count").alias("units"))
+    return of_items.withColumn("kind", F.lit("item")).unionByName(of_orders.withColumn("kind", F.lit("order")))
+
+
 # ---- hot tables and their marts ------------------------------------------------------------
 
 
@@ -655,6 +699,18 @@ def hot_items_folded(x):
     return table.latest(x.spark, HOT_ITEM_SCHEMA)
 
 
+@query
+def hot_items_stored_order(x):
+    """Rows of each country and how many of them are stored after an older one in their file."""
+    table = sinks.UpsertTable(scratch_path(x.spark, "hot-items"), messages.HOT_ITEM_KEY)
+    table.write(_hot_items(x), 1, 0)
+    stored = table.versions(x.spark, HOT_ITEM_SCHEMA).select(
+        "store_country", "event_ts", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    before = F.lag("event_ts").over(Window.partitionBy("file").orderBy("place"))
+    return stored.withColumn("before", before).groupBy("store_country").agg(
+        F.count("*").alias("n"), F.count_if(F.col("before") < F.col("event_ts")).alias("out_of_order"))
+
+
 @query
 def hot_items_by_country(x):
     return _item_table(x).latest(x.spark, HOT_ITEM_SCHEMA, COUNTRIES)
@@ -862,11 +918,26 @@ def dq_money_text(x):
         F.coalesce(is_bad_text(price), F.lit(False)).cast("int").alias("is_bad"))
 
 
+def _documented(x: Inputs) -> dict[str, DataFrame]:
+    return {"Sales": x.sales, "Customers": x.customers, "Products": x.products, "Stores": x.stores, "Exchange Rates": x.exchange_rates}
+
+
 @query
 def dq_dictionary(x):
-    tables = {"Sales": x.sales, "Customers": x.customers, "Products": x.products, "Stores": x.stores,
-              "Exchange Rates": x.exchange_rates}
-    return Q.dictionary_coverage(tables)
+    """The landed dictionary against the tables: which documented fields are there, and how many values each column holds."""
+    return Q.dictionary_coverage(_documented(x), _landed(x, "data_dictionary", _as_landed(x, "data_dictionary")), with_values=True)
+
+
+@query
+def dq_dictionary_csv(x):
+    """The same from the dictionary's CSV form, whose descriptions hold commas and quotes: fields that no table fills."""
+    path = scratch_path(x.spark, "csv-dictionary")
+    _as_landed(x, "data_dictionary").drop("id").write.options(header=True, escape='"').csv(path)
+    words = bronze.csv_data_dictionary(x.spark, path)
+    found = Q.dictionary_coverage(_documented(x), words, with_values=True).where("documented = 1")
+    plain = [F.lower(F.regexp_replace(c, "[^A-Za-z0-9]", "")).alias(c) for c in ("table_name", "field_name")]
+    described = words.select(*plain, "description")
+    return found.join(described, ["table_name", "field_name"]).select("description", F.coalesce("values", F.lit(0)).alias("filled"))
 
 
 def _checks(x: Inputs) -> DataFrame:

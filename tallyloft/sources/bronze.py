@@ -97,7 +97,7 @@ def csv_stores(spark: SparkSession, path: str) -> DataFrame:
 
 def csv_data_dictionary(spark: SparkSession, path: str) -> DataFrame:
     schema = S.struct(table_name=S.STR, field_name=S.STR, description=S.STR)
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    return spark.read.schema(schema).options(header=True, enforceSchema=True, escape='"').csv(path)
 
 
 def register(spark: SparkSession, root: str) -> list[str]:
