@@ -345,10 +345,13 @@ class WrittenModel(Model):
 
 def _written(tables: list[DataFrame], width: int, folder: str) -> dict[int, RangeFiles]:
     """Files of about RANGE_CELLS logarithms of the rows (no, key, value) of each table, by number."""
-    scheme = re.match(r"([a-z][a-z0-9+.-]*):/*(?=/)", folder)
-    if scheme and scheme[1] != "file":
-        raise RuntimeError("a language model of this size needs a spark.checkpoint.dir that all executors have as a path")
-    folder = folder[scheme.end():] if scheme else folder
+    # A path without a scheme is one of the cluster's default file system, which need not be the executors' own.
+    spark = tables[0].sparkSession
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = named.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(named).toUri()
+    if whole.getScheme() != "file":
+        raise RuntimeError(f"a language model of this size needs a spark.checkpoint.dir that all executors have as a path, not {whole}")
+    folder = whole.getPath()
     bits = {2 + i: max(0, t.count() * width // RANGE_CELLS).bit_length() for i, t in enumerate(tables)}
 
     @F.pandas_udf("bigint")

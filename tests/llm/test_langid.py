@@ -147,3 +147,16 @@ def test_models_beyond_the_bound_keep_every_n_gram(spark, monkeypatch):
     found = docs.select("doc_id", langid.guess(written, docs, docs["text"]).alias("g")).collect()
     assert {r.doc_id: r.g.lang for r in found} == {i: x for i, _, x in rows}
     assert not any(r.g.rejected for r in found)
+
+
+def test_written_models_refuse_a_folder_that_is_no_path(spark):
+    """Also one without a scheme, where the default file system is another one."""
+    rows = spark.createDataFrame([(1, [0.5])], "key long, value array<double>").selectExpr("2 AS no", "key", "value")
+    with pytest.raises(RuntimeError, match="as a path"):
+        langid._written([rows], 1, "http://host/folder")
+    spark.conf.set("fs.defaultFS", "http://host")
+    try:
+        with pytest.raises(RuntimeError, match="as a path"):
+            langid._written([rows], 1, "/folder")
+    finally:
+        spark.conf.unset("fs.defaultFS")
