@@ -127,16 +127,21 @@ def jdbc_table(
         url, name, column=split_on, lowerBound=low, upperBound=high, numPartitions=splits, properties=properties)
 
 
-def topic_options(servers: str, topic: str, start: str = "earliest", min_partitions: int | None = None) -> dict[str, str]:
+def topic_options(
+    servers: str, topic: str, start: str = "earliest", min_partitions: int | None = None, max_messages: int | None = None
+) -> dict[str, str]:
+    """``max_messages`` bounds a micro-batch, so that the first one from the start does not take the whole topic."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start}
     if min_partitions:
         options["minPartitions"] = str(min_partitions)
+    if max_messages:
+        options["maxOffsetsPerTrigger"] = str(max_messages)
     return options
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, **kwargs) -> DataFrame:
-    """Needs the Kafka connector on the classpath."""
-    return spark.readStream.format("kafka").options(**topic_options(servers, topic, **kwargs)).load()
+    """Needs the Kafka connector on the classpath. A micro-batch takes ``max_messages`` at most, 10 million unless stated."""
+    return spark.readStream.format("kafka").options(**topic_options(servers, topic, **{"max_messages": 10_000_000, **kwargs})).load()
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None, **options) -> DataFrame:

@@ -59,6 +59,7 @@ def test_csv_files(spark, tmp_path):
 def test_topic_options():
     options = bronze.topic_options("h:1", "t", start="latest", min_partitions=24)
     assert options == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest", "minPartitions": "24"}
+    assert bronze.topic_options("h:1", "t", max_messages=500)["maxOffsetsPerTrigger"] == "500"
 
 
 def test_spine_stops_before_its_end(spark):
