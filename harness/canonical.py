@@ -23,8 +23,10 @@ BASE_RATES = [("USD", 1000), ("CAD", 1300), ("GBP", 800), ("AUD", 1500), ("EUR",
 
 # Schemas by path, so that only the first query over a table reads a footer to plan.
 _SCHEMAS: dict[str, StructType] = {}
-# Roots of published gold tables by session and folder.
-_PUBLISHED: dict[tuple[str, str], str] = {}
+# Folders of published gold tables by session, input folder and table.
+_PUBLISHED: dict[tuple[str, str, str], str] = {}
+# Rows per file of a feed, where it holds more than one file per part.
+FEED_ROWS = 500_000
 
 
 def pick(values: list, index: Column) -> Column:
@@ -286,19 +288,8 @@ class Inputs:
 
     @cached_property
     def published(self) -> dict[str, DataFrame]:
-        """The gold tables as written; one build per folder serves all marts of a session."""
-        place = self.spark.sparkContext.applicationId, self.dir
-        if place not in _PUBLISHED:
-            root = scratch_path(self.spark, "gold")
-            star = self.star
-            for name, df in {
-                "dim_customer": star.customer, "dim_product_info": star.product, "dim_stores": star.store, "dim_date": star.date,
-                "fact_sales": facts.order_fact(star), "fact_product_sales": facts.product_fact(star)}.items():
-                df.write.parquet(f"{root}/{name}")
-            _PUBLISHED[place] = root
-        root = _PUBLISHED[place]
-        return {name: self.spark.read.parquet(f"{root}/{name}") for name in (
-            "dim_customer", "dim_product_info", "dim_stores", "dim_date", "fact_sales", "fact_product_sales")}
+        """The gold tables as written, each on its first use; one build per folder serves all marts of a session."""
+        return _Published(self)
 
     @cached_property
     def natural_star(self) -> facts.Star:
@@ -329,3 +320,25 @@ class _Counts(dict):
         else:
             self[name] = self.inputs.load(name).count()
         return self[name]
+
+
+class _Published(dict):
+    """Gold tables by name, built and written when first asked for: a mart over orders builds no product fact."""
+
+    MAKE = {
+        "dim_customer": lambda star: star.customer, "dim_product_info": lambda star: star.product, "dim_stores": lambda star: star.store,
+        "dim_date": lambda star: star.date, "fact_sales": facts.order_fact, "fact_product_sales": facts.product_fact}
+
+    def __init__(self, inputs: Inputs):
+        super().__init__()
+        self.inputs = inputs
+
+    def __missing__(self, name: str) -> DataFrame:
+        spark = self.inputs.spark
+        place = spark.sparkContext.applicationId, self.inputs.dir, name
+        if place not in _PUBLISHED:
+            path = scratch_path(spark, f"gold-{name}")
+            self.MAKE[name](self.inputs.star).write.parquet(path)
+            _PUBLISHED[place] = path
+        self[name] = spark.read.parquet(_PUBLISHED[place])
+        return self[name]
