@@ -668,7 +668,8 @@ def _hot_orders(x: Inputs) -> DataFrame:
 def _item_table(x: Inputs) -> sinks.UpsertTable:
     """A first batch with all items, then one correcting every fourth item, which is delivered twice."""
     table = sinks.UpsertTable(scratch_path(x.spark, "hot-items"), messages.HOT_ITEM_KEY)
-    rows = messages.read_items(messages.item_messages(_items(x)))
+    # Read back from JSON once for the three writes.
+    rows = stage(messages.read_items(messages.item_messages(_items(x))), "read-items")
     serial = F.split_part("order_serial", F.lit("-"), F.lit(2)).cast("bigint")
     corrected = rows.where(serial % 4 == 0).withColumn("quantity", F.col("quantity") + 1)
     table.write(rows, 1, 0)
