@@ -68,3 +68,12 @@ def test_spine_stops_before_its_end(spark):
     days = bronze.date_spine(dims.standard_bounds(spark.range(1)))
     low, high, n, top = days.selectExpr("min(date_key)", "max(date_key)", "count(*)", "max(date_sk)").first()
     assert (low, high, n, top) == (date(2015, 1, 1), date(2021, 12, 30), 2556, 2556)
+
+
+def test_only_objects_are_variants(spark, tmp_path):
+    lines = [' \t{"order_number": 1, "coupon": "C"}', '{"order_number": "x"}', '{"order_number": null}', "[{}]", '"{}"', "7", '{"order', "null", " "]
+    spark.createDataFrame([(s,) for s in lines], "value string").coalesce(1).write.text(str(tmp_path / "sales"))
+    found = bronze.variants(spark, str(tmp_path / "sales"))
+    assert sorted(r.line for r in bronze.rejected_variants(found).collect()) == sorted(["[{}]", '"{}"', "7", '{"order', "null"])
+    assert found.where("v IS NOT NULL").count() == 3
+    assert sorted(map(tuple, bronze.drift(found, "sales").collect())) == [("coupon", "unknown", 1), ("order_number", "not bigint", 1)]
