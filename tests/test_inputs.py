@@ -70,10 +70,10 @@ def test_tasks_are_bounded_and_lower_bounds_stay(spark):
     files, advisory = session.TASK_BYTES
     try:
         spark.conf.set(files, "128MB")
-        spark.conf.set(advisory, "8m")
+        spark.conf.set(advisory, "4m")
         spark.conf.unset(session.FIRST_WIDTH)
         session.configure(spark)
-        assert session._bytes(spark.conf.get(files)) == 16 << 20 and spark.conf.get(advisory) == "8m"
+        assert session._bytes(spark.conf.get(files)) == session.TASK_BYTES[files] and spark.conf.get(advisory) == "4m"
         assert int(spark.conf.get(session.FIRST_WIDTH)) == session.SHUFFLE_WIDTH
     finally:
         for k, v in before.items():
