@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 def test_stages_and_registration():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "decontamination", "mixing"]
     names = entry.queries()
-    assert names.keys() >= {*queries.QUERIES, "pipeline"} and sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert names.keys() >= {*queries.QUERIES, "pipeline"} and sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert entry.oracle_sql().keys() >= queries.ORACLES.keys()
 
 
