@@ -12,7 +12,7 @@ _POSITION_BITS = 33
 
 
 def dense_key(
-    df: DataFrame, order_by: list[str], name: str, rows: int | None = None, one_task_rows: int | None = None
+    df: DataFrame, order_by: list[str], name: str, rows: int | None = None, one_task_rows: int | None = None, ranged: bool = False
 ) -> DataFrame:
     """Equal to ``row_number() over (order by ...)``; ``order_by`` must be unique.
 
@@ -20,14 +20,15 @@ def dense_key(
     range-partitioned, sorted inside each partition and written once with (partition, position);
     only the per-partition counts are then needed to turn positions into global numbers.
     Partition and position are read back from the written table, so numbering and counting
-    cannot disagree.
+    cannot disagree. ``ranged`` says that the partitions of ``df`` are ranges of the first column
+    already, in order, with equal values of it in one of them.
     """
     limit = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
     if rows is not None and rows <= limit:
         number = F.row_number().over(Window.orderBy(*order_by)).cast("bigint")
         return df.select(number.alias(name), "*")
     placed = stage(
-        df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        (df if ranged else df.repartitionByRange(*order_by)).sortWithinPartitions(*order_by)
         .withColumn("_place", F.monotonically_increasing_id()),
         f"dense-{name}",
     )

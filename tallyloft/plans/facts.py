@@ -7,8 +7,9 @@ where the greatest shipment or line stands for the whole order.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloft.functions.scalar import local_amount, margin
@@ -29,6 +30,7 @@ class Star:
 
     ``rows`` holds upper bounds for the dimension sizes. ``hot_from`` names, per key, a narrow table
     with the key distribution of the sales, for when looking for hot keys in the sales costs too much.
+    ``apart`` says that the sales are read from files, where the lines of an order do not lie together.
     """
 
     sales: DataFrame
@@ -39,10 +41,21 @@ class Star:
     date: DataFrame
     rows: dict[str, int | None]
     hot_from: dict[str, DataFrame] = field(default_factory=dict)
+    apart: bool = False
 
     def keys_of(self, key: str) -> DataFrame:
         return self.hot_from.get(key, self.sales)
 
+    @cached_property
+    def hot_orders(self) -> bool:
+        return bool(joins.hot_keys(self.keys_of("order_number"), ["order_number"]))
+
+    @cached_property
+    def in_ranges(self) -> bool:
+        """Ranges of orders hold from the lines to the fact: no order is hot, and no dimension shuffles them."""
+        sizes = [self.rows.get(k) for k in ("product", "store", "customer", "rates", "date")]
+        return all(n is not None and n <= joins.BROADCAST_ROWS for n in sizes) and not self.hot_orders
+
 
 def _product_grain(star: Star) -> DataFrame:
     """Lines summed per (order, product): the widest pre-aggregation both facts can share."""
@@ -54,16 +67,22 @@ def _product_grain(star: Star) -> DataFrame:
     )
 
 
-def _with_product(grain: DataFrame, star: Star, *extra: str) -> DataFrame:
-    columns = ["product_key", "unit_cost_usd", "unit_price_usd", *extra]
-    priced = attach(grain, star.product.select(*columns), "product_key",
-                    rows=star.rows.get("product"), hot_from=star.keys_of("product_key"), row_id=["order_number"])
-    return priced.withColumns({
+def _product_joined(grain: DataFrame, star: Star, *extra: str) -> DataFrame:
+    return attach(grain, star.product.select("product_key", "unit_cost_usd", "unit_price_usd", *extra), "product_key",
+                  rows=star.rows.get("product"), hot_from=star.keys_of("product_key"), row_id=["order_number"])
+
+
+def _priced(df: DataFrame) -> DataFrame:
+    return df.withColumns({
         "total_cost_usd": (F.col("unit_cost_usd") * F.col("quantity")).cast(TOTAL),
         "total_price_usd": (F.col("unit_price_usd") * F.col("quantity")).cast(TOTAL),
     })
 
 
+def _with_product(grain: DataFrame, star: Star, *extra: str) -> DataFrame:
+    return _priced(_product_joined(grain, star, *extra))
+
+
 def _with_store(df: DataFrame, star: Star) -> DataFrame:
     return attach(df, star.store.select("store_key", "store_sk"), "store_key",
                   rows=star.rows.get("store"), hot_from=star.keys_of("store_key"), row_id=["order_number"])
@@ -93,6 +112,26 @@ def _with_dates(df: DataFrame, star: Star) -> DataFrame:
     return attach(df, delivered, "delivery_date", "left", rows=star.rows.get("date"), row_id=["order_number"])
 
 
+def _counted_grain(star: Star) -> DataFrame:
+    """The product grain with the lines of its order. Lines without an order number are left out.
+
+    Lines that lie together by order give both in one shuffle, or in none where the sales come from a join by order; what travels is a line.
+    Where all dimensions are broadcast, the lines go into ranges of orders, which then serve for the key as well.
+    Where an order is hot, lines are summed before they travel, and the count is joined to the written grain.
+    """
+    sales = star.sales.where(F.col("order_number").isNotNull())
+    if star.in_ranges:
+        sales = sales.repartitionByRange("order_number")
+    elif star.hot_orders:
+        grain = stage(_product_grain(replace(star, sales=sales)), "product-grain")
+        per_order = grain.groupBy("order_number").agg(F.sum("line_count").alias("total_line_items"))
+        return _with_line_count(grain, per_order, star)
+    elif star.apart:
+        sales = sales.repartition("order_number")
+    grain = _product_grain(replace(star, sales=sales))
+    return grain.withColumn("total_line_items", F.sum("line_count").over(Window.partitionBy("order_number")))
+
+
 def _lines(star: Star) -> DataFrame:
     """Order lines ready for pricing.
 
@@ -142,11 +181,9 @@ def order_fact(star: Star) -> DataFrame:
     return dense_key(order_rows(star), ORDER_IDENTITY, "order_sk")
 
 
-def product_measures(star: Star, *product_cols: str, grain: DataFrame | None = None) -> DataFrame:
-    """One row per (order, product); ``product_cols`` carries product attributes along for the marts."""
-    lines = _with_product(_product_grain(star) if grain is None else grain, star, *product_cols)
-    keyed = _with_dates(_with_rate(_with_customer(_with_store(lines, star), star), star), star)
-    return keyed.withColumns({
+def product_measured(df: DataFrame) -> DataFrame:
+    """The measures of the product grain, from quantity, unit prices and rate; made last, so that no shuffle carries them."""
+    return _priced(df).withColumns({
         "total_profit_usd": F.col("total_price_usd") - F.col("total_cost_usd"),
         "total_cost_local": local_amount(F.col("total_cost_usd"), F.col("rate")),
         "total_price_local": local_amount(F.col("total_price_usd"), F.col("rate")),
@@ -154,26 +191,48 @@ def product_measures(star: Star, *product_cols: str, grain: DataFrame | None = N
     }).withColumn("total_profit_local", F.col("total_price_local") - F.col("total_cost_local"))
 
 
-def product_rows(star: Star, *extra: str) -> DataFrame:
-    """The product fact without its key. The grain is written once: it is both measured and summed to lines per order."""
-    grain = stage(_product_grain(star), "product-grain")
-    per_order = grain.groupBy("order_number").agg(F.sum("line_count").alias("total_line_items"))
-    return _with_line_count(product_measures(star, "product_sk", grain=grain), per_order, star).select(
+def _product_keyed(grain: DataFrame, star: Star, *product_cols: str) -> DataFrame:
+    lines = _product_joined(grain, star, *product_cols)
+    return _with_dates(_with_rate(_with_customer(_with_store(lines, star), star), star), star)
+
+
+def product_measures(star: Star, *product_cols: str) -> DataFrame:
+    """One row per (order, product); ``product_cols`` carries product attributes along for the marts."""
+    return product_measured(_product_keyed(_product_grain(star), star, *product_cols))
+
+
+def product_parts(star: Star, *extra: str) -> DataFrame:
+    """What ``product_rows`` are made of: all their foreign keys, and in place of the measures the five columns they follow from."""
+    return _product_keyed(_counted_grain(star), star, "product_sk").select(
         F.col("order_number").alias("order_number_bk"), "total_line_items",
         "order_date_fk", "delivery_date_fk",
         F.col("store_sk").alias("store_fk"),
         F.col("customer_key").alias("customer_fk"), "customer_sk",
         F.col("product_sk").alias("product_fk"),
         F.col("exchange_sk").alias("exchange_fk"),
-        F.col("quantity").alias("p_quantity"),
+        "quantity", "unit_cost_usd", "unit_price_usd", "rate", F.col("currency_code").alias("local_currency"), *extra,
+    )
+
+
+def product_columns(parts: DataFrame, *extra: str) -> DataFrame:
+    """The product fact's columns from its parts; ``extra`` names further columns to keep."""
+    kept = [c for c in parts.columns if c == "product_sale_sk"]
+    return product_measured(parts).select(
+        *kept, "order_number_bk", "total_line_items", "order_date_fk", "delivery_date_fk", "store_fk", "customer_fk", "customer_sk",
+        "product_fk", "exchange_fk", F.col("quantity").alias("p_quantity"),
         "total_cost_usd", "total_price_usd", "total_profit_usd",
         "total_cost_local", "total_price_local", "total_profit_local",
-        "profit_margin", F.col("currency_code").alias("local_currency"), *extra,
+        "profit_margin", "local_currency", *extra,
     )
 
 
+def product_rows(star: Star, *extra: str) -> DataFrame:
+    """The product fact without its key."""
+    return product_columns(product_parts(star, *extra), *extra)
+
+
 def product_fact(star: Star) -> DataFrame:
-    return dense_key(product_rows(star), PRODUCT_IDENTITY, "product_sale_sk")
+    return product_columns(dense_key(product_parts(star), PRODUCT_IDENTITY, "product_sale_sk", ranged=star.in_ranges))
 
 
 def priced_inputs(star: Star) -> DataFrame:

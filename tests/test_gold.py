@@ -227,3 +227,29 @@ def test_a_snapshot_row_that_comes_many_times_and_rows_without_a_day(spark, fram
     none = frame("k int, city string, note string, day string", (1, "Z", "z", None))
     assert [(r.city, r.note) for r in scd2.merged(many.unionByName(none), "k", ["city"], "day").collect()] == [("A", "2")]
     assert scd2.merged(none, "k", ["city"], "day").count() == 0
+
+
+def test_product_fact_moves_lines_once(star, spark):
+    lines = [line(order=o, item=i, product=1 + (o + i) % 3, quantity=o % 7 + i, delivered=date(2020, 3, 4 + i)) for o in range(300) for i in (1, 2, 3, 4)]
+    s = star(*lines)
+    plan = facts.product_parts(s)._jdf.queryExecution().toString()
+    plan = plan[plan.index("== Physical Plan"):]
+    assert plan.count("rangepartitioning(order_number") == 1 and "hashpartitioning" not in plan
+    assert "total_price_usd" not in plan
+
+    together = facts.product_fact(s).collect()
+    apart = star(*lines)
+    apart.rows["product"], apart.apart = None, True
+    hot = star(*lines)
+    hot.hot_orders = True
+    for other in (apart, hot):
+        assert not other.in_ranges and sorted(facts.product_fact(other).collect()) == sorted(together)
+    # Product 3 is unknown: its lines count in their order, and make no row.
+    assert {r.total_line_items for r in together} == {4} and {r.product_fk for r in together} == {1, 2}
+    keys = [r.product_sale_sk for r in sorted(together, key=lambda r: (r.order_number_bk, r.product_fk))]
+    assert keys == list(range(1, len(together) + 1))
+
+
+def test_lines_without_an_order_number_are_left_out(star):
+    lines = [line(order=o, item=1) for o in [*range(200), None]]
+    assert facts.product_fact(star(*lines)).count() == 200
