@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from harness.canonical import Inputs
 from tallyloft.operators import quality as Q
 from tallyloft.plans import batch, facts, gold_marts, incremental
+from tallyloft.session import stage
 from tallyloft.sources import bronze
 
 SF = "/root/testdata/sf0.001"
@@ -167,3 +168,32 @@ def test_a_broken_line_and_a_new_field_do_not_stop_the_night(spark, landing, tmp
     assert {(r.field, r.finding, r.lines) for r in out["drift_stores"].collect()} == {("floor", "unknown", 1), ("square_meters", "not decimal(18,2)", 1)}
     assert out["rejected_sales"].count() == 0 and out["drift_sales"].count() == 0
     assert out["dim_stores"].where("store_key = 990").count() == 1 and out["fact_sales"].count() > 0
+
+
+def test_a_changed_member_loads_its_months_only(spark, tmp_path):
+    x = Inputs(spark, SF)
+    star = replace(x.star, hot_from={})
+    product = stage(star.product, "product")
+    orders = x.silver_sales.groupBy("product_key").agg(F.collect_set(F.struct(F.year("order_date"), F.month("order_date"))).alias("m"))
+    key, months = orders.orderBy(F.size("m"), "product_key").first()
+
+    def load(product):
+        return batch.load_facts(spark, str(tmp_path), replace(star, product=product), ("fact_product_sales",))["fact_product_sales"]
+
+    before, written = load(product)
+    assert len(written) > 12
+    keys = {r[:3]: r[3] for r in before.select("order_number_bk", "product_fk", "local_currency", "product_sale_sk").collect()}
+    assert load(product)[1] == []
+    dearer = product.withColumn("unit_price_usd", F.when(F.col("product_key") == key, F.col("unit_price_usd") + 1).otherwise(F.col("unit_price_usd")))
+    after, written = load(dearer)
+    assert written == sorted(tuple(m) for m in months)
+    assert {r[:3]: r[3] for r in after.select("order_number_bk", "product_fk", "local_currency", "product_sale_sk").collect()} == keys
+    whole = facts.product_fact(replace(star, product=dearer)).drop("product_sale_sk")
+    assert after.select(*whole.columns).exceptAll(whole).count() == 0 and after.count() == whole.count()
+
+
+def test_key_states_by_identity(frame):
+    after = frame("a long, b long, c long, sk long, v string", (1, 1, None, 1, "x"), (1, None, 1, 2, "x"), (2, 1, 1, 3, "y"), (None, 1, 1, 4, "z"))
+    before = frame("a long, b long, c long, first long", (1, 1, None, 1), (2, 1, 1, 9), (2, 1, 1, 3), (None, 1, 1, 5))
+    got = incremental.with_key_state(after, before, ["a", "b", "c"], "sk", "first")
+    assert sorted((r.sk, r.v, r.key_state) for r in got.collect()) == [(1, "x", "kept"), (2, "x", "new"), (3, "y", "kept"), (3, "y", "lost"), (4, "z", "lost")]
