@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     # State grows with open orders, so it lives on disk rather than on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Counting a store's rows looks each key up once more before it is written.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 # What one task of a batch job takes on at most, so that its sorts and hash maps do not grow with the tables. A cluster's lower
