@@ -112,6 +112,9 @@ def attach(
     if rows <= max_broadcast and size <= BROADCAST_BYTES:
         return big.join(F.broadcast(unique), on, how)
     keys = [on] if isinstance(on, str) else list(on)
+    if rows < UNBOUNDED:
+        # Counted to be too large. A small file or shuffle says little about that, as running numbers compress well.
+        unique = unique.hint("merge")
     # A stream cannot be searched for hot keys before it runs; foreachBatch hands over plain tables.
     if not big.isStreaming and _codes_agree(big, unique, keys):
         hot = hot_keys(big if hot_from is None else hot_from, keys)

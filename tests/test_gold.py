@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+from dataclasses import replace
 from datetime import date as _date
 
 from datetime import date
@@ -9,7 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyloft.operators import fx, scd2
+from tallyloft.operators import fx, joins, scd2
 from tallyloft.session import stage
 from tallyloft.plans import dims, facts, gold_marts
 
@@ -253,3 +255,65 @@ def test_product_fact_moves_lines_once(star, spark):
 def test_lines_without_an_order_number_are_left_out(star):
     lines = [line(order=o, item=1) for o in [*range(200), None]]
     assert facts.product_fact(star(*lines)).count() == 200
+
+
+def _with_many_members(star, frame, compat=False):
+    """Products and customers too many for a broadcast by their counts; some come twice, some are unknown, as are some stores and days."""
+    lines = [(o, i, date(2019, 5, 5) if o % 41 == 7 else DAY, date(2020, 3, 4 + i % 3) if i % 2 else None, None if o % 29 == 3 else 6 + o % 5,
+              4 if o % 31 == 5 else 3, None if o % 37 == 2 else 1 + (o + i // 2) % 4, 1 + (o * i) % 5, "EUR" if o % 23 == 4 else "GBP")
+             for o in range(200) for i in (1, 2, 3, 4, 5)]
+    small = star(*lines, *lines[:40], (None, 1, DAY, None, 8, 3, 1, 2, "GBP"), compat=compat)
+    product = small.product.unionByName(small.product.where("product_key = 1").withColumns({
+        "product_sk": F.lit(7).cast("bigint"), "unit_price_usd": F.lit("12.00").cast("decimal(15,2)")})).unionByName(
+        small.product.limit(1).withColumns({"product_sk": F.lit(8).cast("bigint"), "product_key": F.lit(None).cast("bigint")}))
+    customer = frame("customer_key long, customer_sk long", (6, 1), (7, 2), (8, 3), (8, 4), (None, 5), (10, 6))
+    small = replace(small, product=product, customer=customer)
+    beyond = joins.BROADCAST_ROWS + 1
+    return small, replace(small, rows=small.rows | {"product": beyond, "customer": beyond})
+
+
+def _plan(df):
+    plan = df._jdf.queryExecution().toString()
+    return plan[plan.index("== Physical Plan"):]
+
+
+def test_many_products_and_customers_give_the_same_facts(star, frame):
+    small, large = _with_many_members(star, frame)
+    hot = replace(large)
+    hot.hot_orders = True
+    assert large.in_late_ranges and large.orders_in_ranges and not large.in_ranges and not hot.in_late_ranges
+    together = replace(large, shared=True)
+    for make, key in ((facts.product_fact, "product_sale_sk"), (facts.order_fact, "order_sk")):
+        want = Counter(make(hot).drop(key).collect())
+        assert sum(want.values()) > 100 and want == Counter(make(small).drop(key).collect())
+        for other in (large, together):
+            got = make(other)
+            rows = got.orderBy(key).collect()
+            assert Counter(got.drop(key).collect()) == want and [r[key] for r in rows] == list(range(1, len(rows) + 1))
+            numbers = [r.order_number_bk for r in rows]
+            if make is facts.product_fact:
+                assert numbers == sorted(numbers)
+    # Lines whose product or customer is unknown count in their order, and one with two customers counts once.
+    assert {r.total_line_items for r in facts.product_fact(large).where("order_number_bk BETWEEN 50 AND 199").collect()} == {5}
+
+
+def test_lines_meet_many_products_and_customers_before_their_ranges(star, frame):
+    _, large = _with_many_members(star, frame)
+    for df in (facts.product_parts(large), facts.order_rows(large)):
+        plan = _plan(df)
+        assert plan.count("rangepartitioning(order_number") == 1 and "hashpartitioning(order_number" not in plan
+
+
+def test_compat_product_fact_moves_single_lines_and_writes_no_local_amounts(star, frame):
+    small, large = _with_many_members(star, frame, compat=True)
+    hot = replace(small)
+    hot.hot_orders = True
+    want = Counter(facts.product_fact_compat(hot).drop("product_sale_sk").collect())
+    assert sum(want.values()) > 100
+    for other in (small, large):
+        got = facts.product_fact_compat(other)
+        assert Counter(got.drop("product_sale_sk").collect()) == want
+        assert sorted(r[0] for r in got.select("product_sale_sk").collect()) == list(range(1, sum(want.values()) + 1))
+        read = _plan(got)
+        read = read[read.index("ReadSchema"):]
+        assert "rate:decimal" in read and "total_cost_local" not in read and "total_profit_usd" not in read

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import Window
 
 from tallyloft.operators import joins
 from tallyloft.operators.keys import dense_key, ntile_of
+from tallyloft.session import stage
 
 
 def test_dense_key_equals_row_number(spark):
@@ -120,3 +122,33 @@ def test_hot_keys_of_text_even_and_no_rows(spark):
     assert sorted(joins.hot_keys(names, ["k"]).values()) == [0.5, 0.5]
     assert joins.hot_keys(spark.range(1000).withColumnRenamed("id", "k"), ["k"]) == {}
     assert joins.hot_keys(names.limit(0), ["k"]) == {}
+
+
+def test_a_side_counted_as_too_large_is_not_broadcast(spark, tmp_path):
+    # Running numbers take next to no room in a file, from which its size would be guessed.
+    spark.range(2000).selectExpr("id AS k", "id + 1 AS v").write.parquet(str(tmp_path / "side"))
+    side, big = spark.read.parquet(str(tmp_path / "side")), spark.range(5000).selectExpr("id % 2500 AS k", "id")
+    for how, rows in (("inner", 4000), ("left", 5000)):
+        joined = joins.attach(big, side, "k", how, rows=joins.BROADCAST_ROWS + 1)
+        plan = joined._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert joined.count() == rows
+
+
+def test_shuffle_files_go_with_their_query_and_written_rows_stay(spark, tmp_path):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {p.name for folder in folders for p in Path(folder).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    written = stage(spark.range(20_000).repartition(16, "id").groupBy(F.col("id") % 100).count(), "grouped")
+    for _ in range(100):
+        if not shuffled() - before:
+            break
+        spark.range(1).count()
+    assert not shuffled() - before and written.agg(F.sum("count")).first()[0] == 20_000
+    assert {p.name.rsplit(".", 2)[1] for p in Path(re.sub("^file:", "", written.inputFiles()[0]).replace("//", "/")).parent.glob("*.parquet")} == {"zstd"}
+    # A result that is asked for twice is made again where its shuffle is gone.
+    counted = spark.range(1000).repartition(4, "id").groupBy("id").count()
+    assert len(counted.collect()) == len(counted.collect()) == 1000
