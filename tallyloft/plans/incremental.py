@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyloft.operators.joins import attach
 from tallyloft.operators.keys import dense_key
-from tallyloft.session import stage
+from tallyloft.session import STORED, stage
 
 MONTH = ["year", "month"]
 _STATE = "load int, year int, month int, row_count bigint, hash_sum decimal(38,0), hash_xor bigint, top_key bigint"
@@ -174,7 +174,7 @@ class MonthlyFact:
             top = max(top, keyed.agg(F.max(self.key)).first()[0] or 0)
             # Keys given by a load that broke off are met again, as its months still differ.
             (finish(keyed.hint("rebalance", *MONTH))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH).parquet(f"{self.path}/months"))
+             .write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression=STORED).partitionBy(*MONTH).parquet(f"{self.path}/months"))
         if changed or gone:
             rows = [(load, *m, *digest, top) for m, digest in now.items()] or [(load, None, None, 0, None, 0, top)]
             self.spark.createDataFrame(rows, _STATE).coalesce(1).write.mode("append").parquet(f"{self.path}/loads")
