@@ -15,7 +15,7 @@ from harness.canonical import Inputs, written_parts
 from tallyloft import schemas as S
 from tallyloft.functions.scalar import is_bad_text, local_amount, money, once, sales_channel
 from tallyloft.operators import clean, fx, quality as Q, reconcile, scd2
-from tallyloft.operators.joins import attach
+from tallyloft.operators.joins import attach, hot_keys
 from tallyloft.plans import batch, dims, facts, gold_marts as gold, hot_marts as hot, incremental, silver, sketches
 from tallyloft.session import scratch_path, stage
 from tallyloft.sources import bronze
@@ -570,7 +570,8 @@ def _store_changes(x: Inputs, parts: int = 3) -> DataFrame:
 @query
 def stream_fresh_stores(x):
     """A third of the stores is renamed half-way: the new name shows in later events only."""
-    events = runner.fresh_order_events(x.frames_of(x.event_feed(days=3)), _store_changes(x), "arrived_at")
+    busy = hot_keys(x.events.select("storekey"), ["storekey"])
+    events = runner.fresh_order_events(x.frames_of(x.event_feed(days=3)), _store_changes(x), "arrived_at", busy=busy)
     return _run(x, "fresh-stores", events.select("order_serial", "event_type", "event_ts", "store_country", "store_city", "total_sales_usd"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,23 +19,39 @@ def with_stores(events: DataFrame, stores: DataFrame, **size) -> DataFrame:
 STORE_COLUMNS = ["country", "state", "square_meters", "open_date"]
 
 
+def _slice(micros: Column, width: Column) -> Column:
+    """The start of the slice of time, ``width`` wide, that a moment lies in; a plain number, so that it ends no state by itself."""
+    return micros - F.pmod(micros, width)
+
+
 def with_fresh_stores(
-    events: DataFrame, changes: DataFrame, max_age: str = "1 day", lateness: str = "10 minutes", salts: int = 8
+    events: DataFrame, changes: DataFrame, max_age: str = "1 day", lateness: str = "10 minutes", salts: int = 8, busy: Iterable | None = None
 ) -> DataFrame:
     """Each event with its store as of the event's time, from a stream of store rows that hold from ``changed_at`` on.
 
     A stream-stream left join under watermarks, then per event the newest change that is not after it. Every store is to be sent again
     at least once per ``max_age``, changed or not: the join looks no further back, so its state is one ``max_age`` of changes. Events
-    need ``event_ts`` and ``order_serial``; a repeated event comes out once, an event without a store with NULLs. The few changes are
-    sent to every salt, so that a store with a third of all events does not end in one task.
+    need ``event_ts`` and ``order_serial``; a repeated event comes out once, an event without a store with NULLs.
+
+    An event looks through the changes of its store in one slice of ``max_age``: a change is sent to the one or two in which it holds. It
+    is also sent to every salt, so that a store with a third of all events does not end in one task. ``busy`` names the stores, as ``hot_keys``
+    finds them in events of before, of which alone this is worth it; any answer gives the same rows.
     """
     columns = events.columns
-    spread = F.pmod(F.xxhash64("order_serial", "event_type"), F.lit(salts))
-    left = events.withWatermark("event_ts", lateness).withColumn("_salt", spread)
+
+    def is_busy(store: str) -> Column:
+        codes = None if busy is None else [c for c in busy if c is not None]
+        return F.lit(True) if codes is None else F.col(store).isNull() | F.xxhash64(store).isin(codes)
+
+    width = F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {max_age})")
+    spread = F.when(is_busy("storekey"), F.pmod(F.xxhash64("order_serial", "event_type"), F.lit(salts))).otherwise(0)
+    left = events.withWatermark("event_ts", lateness).withColumns({"_salt": spread, "_in": _slice(F.unix_micros("event_ts"), width)})
+    at, last = F.unix_micros("_at"), F.when(is_busy("_store"), salts - 1).otherwise(0).cast("bigint")
     right = changes.select(
         F.col("storekey").alias("_store"), F.col("changed_at").alias("_at"), F.struct(*STORE_COLUMNS).alias("_row")).withWatermark(
-        "_at", lateness).withColumn("_for", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    met = left.join(right, (F.col("storekey") == F.col("_store")) & (F.col("_salt") == F.col("_for"))
+        "_at", lateness).withColumn("_holds", F.explode(F.sequence(_slice(at, width), _slice(at + width - 1, width), width))).withColumn(
+        "_for", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    met = left.join(right, (F.col("storekey") == F.col("_store")) & (F.col("_salt") == F.col("_for")) & (F.col("_in") == F.col("_holds"))
                     & (F.col("_at") <= F.col("event_ts")) & (F.col("_at") > F.col("event_ts") - F.expr(f"INTERVAL {max_age}")), "leftOuter")
     newest = met.groupBy(*columns).agg(F.max_by("_row", "_at").alias("_row"))
     return newest.select(*columns, *[F.col(f"_row.{c}").alias(c) for c in STORE_COLUMNS])

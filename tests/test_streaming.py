@@ -11,10 +11,11 @@ from harness.canonical import Inputs
 from harness.queries import HOT_ITEM_SCHEMA, HOT_ORDER_SCHEMA
 from tallyloft import schemas as S
 from tallyloft.operators import fx
+from tallyloft.operators.joins import hot_keys
 from tallyloft.plans import hot_marts
 from tallyloft.sources import bronze
 from tallyloft.streaming import decode, marts as stream_marts, messages, orders, runner, sinks
-from tallyloft.streaming.enrich import enrich
+from tallyloft.streaming.enrich import enrich, with_fresh_stores
 
 SF = "/root/testdata/sf0.001"
 RAW_SCHEMA = S.T.StructType([
@@ -375,3 +376,36 @@ def test_true_local_amount(spark, dims):
     rates = spark.sql("SELECT 'GBP' AS currency_code, DATE'2023-12-30' AS date_key, CAST(0.8 AS DECIMAL(18,6)) AS rate")
     row = fx.normalise(items, fx.daily_rates(rates, F.lit("2024-01-31").cast("date")), ["sales_usd"]).first()
     assert (row.total_sales_usd, float(row.sales_local)) == (20.0, 16.0)
+
+
+def test_fresh_stores_look_through_one_slice_of_changes(spark, tmp_path):
+    """An event takes the newest change of the day before it; only changes of busy stores are sent to every salt."""
+    day = datetime(2024, 1, 1)
+    hours = [0, 5, 24, 24.5, 30, 47, 48, 71, 96]
+    changes = [(s, f"C{s}-{h}", "S", 1, None, day + timedelta(hours=h)) for s in (1, 2) for h in hours]
+    events = [(f"O-{s}-{n}", "ORDER", s, day + timedelta(minutes=30 * n)) for s in (1, 2, 3, None) for n in range(200)]
+    last = day + timedelta(days=9)
+    change_cols = "storekey long, country string, state string, square_meters int, open_date date, changed_at timestamp"
+    event_cols = "order_serial string, event_type string, storekey long, event_ts timestamp"
+    for n, (e, c) in enumerate(((events, changes), ([("end", "ORDER", 1, last)], [(1, "end", "S", 1, None, last)]))):
+        spark.createDataFrame(e, event_cols).coalesce(1).write.parquet(f"{tmp_path}/events/batch={n}")
+        spark.createDataFrame(c, change_cols).coalesce(1).write.parquet(f"{tmp_path}/changes/batch={n}")
+
+    def newest(store, ts):
+        held = [h for h in hours if timedelta(0) <= ts - day - timedelta(hours=h) < timedelta(days=1)]
+        return f"C{store}-{max(held)}" if store in (1, 2) and held else None
+
+    want = {serial: newest(store, ts) for serial, _, store, ts in events}
+    assert len(set(want.values())) > 10 and None in want.values()
+    busy = hot_keys(spark.createDataFrame(events[:200] + events[400:402], event_cols).select("storekey"), ["storekey"])
+    copies = {}
+    for name, options in (("all", {}), ("one", {"busy": busy}), ("none", {"busy": []})):
+        streams = [bronze.file_stream(spark, f"{tmp_path}/{t}/*", cols, max_files=1) for t, cols in (("events", event_cols), ("changes", change_cols))]
+        query = runner.run_to_end(sinks.parquet(with_fresh_stores(*streams, **options), f"{tmp_path}/out-{name}", f"{tmp_path}/marks-{name}"))
+        rows = spark.read.parquet(f"{tmp_path}/out-{name}").where("order_serial <> 'end'").collect()
+        assert {r.order_serial: r.country for r in rows} == want and len(rows) == len(events)
+        first = next(p for p in query.recentProgress if p["batchId"] == 0)
+        copies[name] = sum(o["numRowsUpdated"] for o in first["stateOperators"] if o["operatorName"] == "symmetricHashJoin") - len(events)
+    # A change at the start of a slice holds in no other one.
+    slices = sum(1 if h % 24 == 0 else 2 for h in hours)
+    assert copies == {"all": 2 * 8 * slices, "one": (8 + 1) * slices, "none": 2 * slices}
