@@ -304,7 +304,7 @@ def test_lines_meet_many_products_and_customers_before_their_ranges(star, frame)
         assert plan.count("rangepartitioning(order_number") == 1 and "hashpartitioning(order_number" not in plan
 
 
-def test_compat_product_fact_moves_single_lines_and_writes_no_local_amounts(star, frame):
+def test_compat_product_fact_moves_single_lines_and_writes_no_local_amounts(star, frame, spark):
     small, large = _with_many_members(star, frame, compat=True)
     hot = replace(small)
     hot.hot_orders = True
@@ -314,6 +314,5 @@ def test_compat_product_fact_moves_single_lines_and_writes_no_local_amounts(star
         got = facts.product_fact_compat(other)
         assert Counter(got.drop("product_sale_sk").collect()) == want
         assert sorted(r[0] for r in got.select("product_sale_sk").collect()) == list(range(1, sum(want.values()) + 1))
-        read = _plan(got)
-        read = read[read.index("ReadSchema"):]
-        assert "rate:decimal" in read and "total_cost_local" not in read and "total_profit_usd" not in read
+        written = set(spark.read.parquet(next(f for f in got.inputFiles() if "dense-product_sale_sk" in f)).columns)
+        assert "rate" in written and not written & {"total_cost_local", "total_price_local", "total_profit_usd"}
